@@ -176,14 +176,81 @@ def lookup(df: DataFrame, table: DataFrame, keys, value_cols, fallback: Column,
     return joined.withColumns({c: F.coalesce(F.col(c), fallback) for c in value_cols})
 
 
+# Row bound under which a per-key-set statistics table is broadcast to the join (checked on the
+# materialised table, not guessed); larger tables are sort-merge joined (AQE splits skewed partitions).
+BROADCAST_ROWS = 250_000
+ALL_FOLDS = -1
+
+
+def multi_set_stats(train: DataFrame, key_sets, target: str = TARGET, n_folds: int = N_FOLDS) -> DataFrame:
+    """Out-of-fold and full-train count / mean / std / max for many key sets in one aggregation.
+
+    Each labelled row is replicated once per key set (``explode`` of an array of structs, the Expand of
+    GROUPING SETS) carrying that set's key columns and nulls for the others; ``_set`` tells the sets apart, so
+    a real null key stays distinct from an unused column. Partials per (set, keys, fold) are combined map-side;
+    each partial is then replicated to the folds it is not in and to ``_held`` = -1 (all folds), and combined
+    per (set, keys, held) with at most k parts per group.
+    """
+    from demandspark.session import spread
+
+    universe = list(dict.fromkeys(k for ks in key_sets for k in ks))
+    types = {f.name: f.dataType for f in train.schema.fields}
+    train = spread(train)
+    copies = F.array(*[F.struct(F.lit(i).alias("_set"),
+                                *[(F.col(k) if k in ks else F.lit(None).cast(types[k])).alias(k) for k in universe])
+                       for i, ks in enumerate(key_sets)])
+    x = train.select(F.explode(copies).alias("_x"), F.col(FOLD), F.col(target)).select("_x.*", FOLD, target)
+    partials = x.groupBy("_set", *universe, FOLD).agg(
+        F.count(target).alias("_n"), F.sum(target).alias("_s"), F.avg(target).alias("_m"),
+        (F.var_pop(target) * F.count(target)).alias("_m2"), F.max(target).alias("_mx"))
+    held = F.explode(F.concat(F.filter(F.array(*[F.lit(i) for i in range(n_folds)]), lambda h: h != F.col(FOLD)),
+                              F.array(F.lit(ALL_FOLDS))))
+    comp = (partials.withColumn(HELD, held)
+            .groupBy("_set", *universe, HELD)
+            .agg(F.sum("_n").alias("_N"), F.sum("_s").alias("_S"), F.max("_mx").alias("_MX"),
+                 F.collect_list(F.struct("_n", "_m", "_m2")).alias("_parts")))
+    mean = F.col("_S") / F.col("_N")
+    m2 = F.aggregate("_parts", F.lit(0.0),
+                     lambda acc, p: acc + p["_m2"] + p["_n"] * (p["_m"] - mean) * (p["_m"] - mean))
+    return comp.select("_set", *universe, HELD, F.col("_N").alias("_count"), mean.alias("mean"),
+                       F.when(F.col("_N") > 1, F.sqrt(m2 / (F.col("_N") - 1))).alias("std"),
+                       F.col("_MX").alias("max"))
+
+
+def _sized(table: DataFrame, rows: int, broadcast_rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= broadcast_rows else table
+
+
 def target_encode(train: DataFrame, test: DataFrame, specs=ENCODING_SPECS, target: str = TARGET,
-                  n_folds: int = N_FOLDS) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Adds every spec's column: out-of-fold on ``train`` (needs the ``fold`` column), full-train on ``test``."""
+                  n_folds: int = N_FOLDS, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Adds every spec's column: out-of-fold on ``train`` (needs the ``fold`` column), full-train on ``test``.
+
+    Mean / std / max of all key sets come from one materialised ``multi_set_stats`` table; medians from the
+    distributed exact quantile per key set.
+    """
+    from demandspark.session import cut_lineage
+
     gm = global_mean(train, target)
-    stats_src = train.select(*dict.fromkeys(k for s in specs for k in s.keys), FOLD, target)  # pruned source of every table
+    groups = group_specs(specs)
+    stats_src = train.select(*dict.fromkeys(k for s in specs for k in s.keys), FOLD, target)
     out_train, out_test = train, test
-    for keys, aggs in group_specs(specs).items():
-        value_cols = [_name(keys, a) for a in aggs]
-        out_train = lookup(out_train, oof_table(stats_src, keys, aggs, target, n_folds), keys, value_cols, gm, FOLD)
-        out_test = lookup(out_test, full_table(stats_src, keys, aggs, target), keys, value_cols, gm)
+    algebraic = [(keys, [a for a in aggs if a != "median"]) for keys, aggs in groups.items()
+                 if any(a != "median" for a in aggs)]
+    if algebraic:
+        stats = cut_lineage(multi_set_stats(stats_src, [k for k, _ in algebraic], target, n_folds))
+        sizes = {r["_set"]: (r["oof"], r["full"]) for r in stats.groupBy("_set").agg(
+            F.count_if(F.col(HELD) != ALL_FOLDS).alias("oof"), F.count_if(F.col(HELD) == ALL_FOLDS).alias("full")).collect()}
+        for i, (keys, aggs) in enumerate(algebraic):
+            names = [_name(keys, a) for a in aggs]
+            t = stats.filter(F.col("_set") == i).select(*keys, HELD, *[F.col(a).alias(_name(keys, a)) for a in aggs])
+            n_oof, n_full = sizes.get(i, (0, 0))
+            oof = _sized(t.filter(F.col(HELD) != ALL_FOLDS), n_oof, broadcast_rows)
+            full = _sized(t.filter(F.col(HELD) == ALL_FOLDS).drop(HELD), n_full, broadcast_rows)
+            out_train = lookup(out_train, oof, keys, names, gm, FOLD)
+            out_test = lookup(out_test, full, keys, names, gm)
+    for keys, aggs in groups.items():
+        if "median" in aggs:
+            name = [_name(keys, "median")]
+            out_train = lookup(out_train, oof_table(stats_src, keys, ["median"], target, n_folds), keys, name, gm, FOLD)
+            out_test = lookup(out_test, full_table(stats_src, keys, ["median"], target), keys, name, gm)
     return out_train, out_test, [s.name for s in specs]

@@ -28,9 +28,22 @@ def time_features(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     return df.withColumns(cols)
 
 
-def impute_median(df: DataFrame, cols=IMPUTED_BY_MEDIAN) -> DataFrame:
+def frame_median(df: DataFrame, col: str, distributed: bool = False):
+    """Exact median of a whole frame as a scalar-subquery column.
+
+    Default: Spark's exact ``median`` aggregate, whose partial buffers are value → count maps combined
+    map-side, so its size is the number of *distinct* values — a handful for lane counts and whole-degree
+    temperatures, however many rows. ``distributed=True`` uses the range-bucketed exact quantile instead, for
+    continuous columns whose distinct values are unbounded.
+    """
+    if distributed:
+        return scalar_median(df, col)
+    return df.select(F.median(col)).scalar()
+
+
+def impute_median(df: DataFrame, cols=IMPUTED_BY_MEDIAN, distributed: bool = False) -> DataFrame:
     """Fill nulls with this frame's own exact median (each frame is imputed from itself)."""
-    return df.withColumns({c: F.coalesce(F.col(c), scalar_median(df, c)) for c in cols})
+    return df.withColumns({c: F.coalesce(F.col(c), frame_median(df, c, distributed)) for c in cols})
 
 
 def category_features(df: DataFrame) -> DataFrame:

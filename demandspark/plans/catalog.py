@@ -40,11 +40,18 @@ class Query:
 
 
 def finish(df: DataFrame) -> DataFrame:
-    """Round doubles to 9 digits and fold -0.0 into 0.0 (same as the oracle)."""
+    """Round doubles to 9 digits with the same IEEE arithmetic as the oracle.
+
+    First to 12 digits (absorbs last-ulp differences from summation order: the values here are exact decimals
+    of at most 10 digits, never near a 12-digit tie), then half-up to 9 digits. Engine ``round`` functions
+    disagree on exact decimal ties; these plain floor/multiply steps are bit-identical in both engines.
+    """
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append((F.round(F.col(f.name), 9) + F.lit(0.0)).alias(f.name))
+            c = F.col(f.name).cast("double")
+            twelve = F.floor(c * F.lit(1e12) + F.lit(0.5))
+            cols.append((F.floor(twelve / F.lit(1000.0) + F.lit(0.5)) / F.lit(1e9)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -54,7 +61,8 @@ def sql_finish(body: str, doubles, extra_ctes: str = "", base: bool = True) -> s
     """Wrap ``body`` (a SELECT over the base CTEs) rounding ``doubles`` like ``finish``."""
     inner = O.with_base(body, extra_ctes) if base else body
     if doubles:
-        rep = ", ".join(f"round({c}, 9) + 0.0::DOUBLE AS {c}" for c in doubles)
+        rep = ", ".join(f"floor(floor(CAST({c} AS DOUBLE) * 1e12 + 0.5::DOUBLE) / 1000.0::DOUBLE + 0.5::DOUBLE) / 1e9 AS {c}"
+                        for c in doubles)
         return f"SELECT * REPLACE ({rep}) FROM (\n{inner}\n) q"
     return inner
 

@@ -112,7 +112,7 @@ def r9(expr: str, name: str | None = None) -> str:
 
 # ---- lag CTEs -------------------------------------------------------------------------------------------
 
-def lag_ctes(fallback: str = "0.09394::DOUBLE") -> str:
+def lag_ctes(fallback: str = "0.09394::DOUBLE", src_train: str = "ftrain", src_test: str = "ftest") -> str:
     s = stat_names()
     stats = f"""ref AS (SELECT * FROM ftrain WHERE day = 29),
 stats AS (SELECT geohash, avg(demand) AS {s[0]}, stddev_samp(demand) AS {s[1]}, max(demand) AS {s[2]},
@@ -137,8 +137,8 @@ FROM {src} a LEFT JOIN stats st ON st.geohash = a.geohash
 {chr(10).join(joins)}"""
 
     return f"""{stats},
-ltrain0 AS ({lagged("ftrain", True)}),
-ltest0 AS ({lagged("ftest", False)}),
+ltrain0 AS ({lagged(src_train, True)}),
+ltest0 AS ({lagged(src_test, False)}),
 ltrain AS (SELECT *, coalesce(demand_lag_1day, {s[0]}, {fallback}) AS demand_lag_1day_imputed FROM ltrain0),
 ltest AS (SELECT *, coalesce(demand_lag_1day, {s[0]}, {fallback}) AS demand_lag_1day_imputed FROM ltest0)"""
 
@@ -202,9 +202,18 @@ DOM_SPECS = [s for s in ENCODING_SPECS if s.name in
 ENS_SPECS = [s for s in ENCODING_SPECS if s.name in ("te__geohash__mean", "te__geohash__hour__mean")]
 
 
+def freq_select(src: str) -> str:
+    return (f"SELECT a.*, coalesce(f1.n, 0) AS geohash_freq, coalesce(f2.n, 0) AS gh_prefix4_freq, "
+            f"coalesce(f3.n, 0) AS gh_prefix5_freq FROM {src} a "
+            f"LEFT JOIN (SELECT geohash AS k, count(*) AS n FROM ftrain WHERE geohash IS NOT NULL GROUP BY 1) f1 ON f1.k = a.geohash "
+            f"LEFT JOIN (SELECT gh_prefix4 AS k, count(*) AS n FROM ftrain WHERE gh_prefix4 IS NOT NULL GROUP BY 1) f2 ON f2.k = a.gh_prefix4 "
+            f"LEFT JOIN (SELECT gh_prefix5 AS k, count(*) AS n FROM ftrain WHERE gh_prefix5 IS NOT NULL GROUP BY 1) f3 ON f3.k = a.gh_prefix5")
+
+
 def full_v2_ctes() -> str:
-    """lag CTEs + OOF encodings + domain features for both frames (all 34 encodings)."""
-    return lag_ctes() + f""",
+    """frequency + lag CTEs + OOF encodings + domain features for both frames (all 34 encodings)."""
+    return f"qtrain AS ({freq_select('ftrain')}),\nqtest AS ({freq_select('ftest')}),\n" + lag_ctes(
+        src_train="qtrain", src_test="qtest") + f""",
 etrain AS (SELECT a.*, {te_select(ENCODING_SPECS, True)} FROM ltrain a),
 etest AS (SELECT a.*, {te_select(ENCODING_SPECS, False)} FROM ltest a),
 dtrain AS ({lag_domain_select(f"({domain_select('etrain')})")}),

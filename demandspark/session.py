@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 # small shuffles and splits skewed join partitions at run time.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.driver.memory": "16g",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -62,3 +63,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def default_parallelism_hint() -> int:
     return int(os.environ.get("BENCH_CPUS", "8"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` (default: the cluster's parallelism) before a step
+    that multiplies rows (replication per key set or fold). A frame read back from a checkpoint of a small
+    aggregate often sits in one partition; without this the replicated work would run in one task."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
