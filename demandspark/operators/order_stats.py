@@ -27,6 +27,13 @@ def _cols(group_cols) -> list[str]:
     return [group_cols] if isinstance(group_cols, str) else list(group_cols)
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, cols, how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` where null keys match (a null group is a group), keeping one copy of each key."""
+    r = right.select(*[F.col(c).alias(f"_j_{c}") for c in cols], *[c for c in right.columns if c not in cols])
+    cond = [F.col(c).eqNullSafe(F.col(f"_j_{c}")) for c in cols]
+    return left.join(r, cond, how).drop(*[f"_j_{c}" for c in cols])
+
+
 def histogram(df: DataFrame, group_cols, value_col: str, weight_col: str | None = None) -> DataFrame:
     """(group..., value, _w): total weight per distinct non-null value."""
     g = _cols(group_cols)
@@ -42,7 +49,7 @@ def prefix_weights(hist: DataFrame, group_cols, value_col: str, buckets: int = D
     splits = hist.groupBy(*g).agg(
         F.percentile_approx(value_col, probs, max(1000, 50 * buckets)).alias("_splits"))
     if g:
-        hb = hist.join(splits, g, "inner")
+        hb = _join_null_safe(hist, splits, g)
         split_col = F.col("_splits")
     else:  # one row: a scalar subquery, no join
         hb = hist
@@ -61,7 +68,7 @@ def prefix_weights(hist: DataFrame, group_cols, value_col: str, buckets: int = D
         F.sum("_bw").over(by_group).alias("_n"),
     )
     inside = Window.partitionBy(*g, "_b").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
-    return (hb.join(offsets, g + ["_b"], "inner")
+    return (_join_null_safe(hb, offsets, g + ["_b"])
             .withColumn("_before", F.col("_off") + F.coalesce(F.sum("_w").over(inside), F.lit(0)))
             .drop("_off", "_b"))
 

@@ -630,3 +630,17 @@ Q["err_high_by_category"] = Query(
     lambda s, d: finish(err.high_error_by(_errors_frame(s, d), "RoadType")),
     sql_finish("SELECT RoadType, count(*) AS count FROM res WHERE abs_err > 0.10::DOUBLE AND RoadType IS NOT NULL "
                "GROUP BY RoadType ORDER BY count DESC, RoadType", [], ERR_CTE))
+
+
+# ---- streaming ------------------------------------------------------------------------------------------------
+
+def _stream_panel(spark, d):
+    import uuid
+
+    from demandspark.streaming.panel_stream import events_source_path, panel_stream, read_events_stream, run_to_table
+    events = read_events_stream(spark, events_source_path(d))
+    return finish(run_to_table(panel_stream(events, watermark=None), "panel_" + uuid.uuid4().hex[:12]))
+
+
+Q["stream_panel"] = Query(_stream_panel, sql_finish(
+    "SELECT * FROM panel", ["demand", "NumberofLanes", "Temperature"]), ["demand", "NumberofLanes", "Temperature"])
