@@ -35,9 +35,10 @@ def encoding_features(df: DataFrame) -> DataFrame:
     })
 
 
-def rank_feature(df: DataFrame) -> DataFrame:
-    """``gh_rank``: tie-averaged percentile rank of the cell-mean encoding within this frame."""
-    return pct_rank(df, GH_MEAN, "gh_rank")
+def rank_feature(df: DataFrame, frame_col: str | None = None) -> DataFrame:
+    """``gh_rank``: tie-averaged percentile rank of the cell-mean encoding within this frame (within each
+    ``frame_col`` value when frames are stacked)."""
+    return pct_rank(df, GH_MEAN, "gh_rank", group_cols=[frame_col] if frame_col else None)
 
 
 def lag_features(df: DataFrame) -> DataFrame:
@@ -49,6 +50,6 @@ def lag_features(df: DataFrame) -> DataFrame:
     })
 
 
-def domain_features(df: DataFrame, with_lags: bool = True) -> DataFrame:
-    df = rank_feature(encoding_features(df))
+def domain_features(df: DataFrame, with_lags: bool = True, frame_col: str | None = None) -> DataFrame:
+    df = rank_feature(encoding_features(df), frame_col)
     return lag_features(df) if with_lags else df

@@ -172,8 +172,8 @@ def lookup(df: DataFrame, table: DataFrame, keys, value_cols, fallback: Column,
     cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     if fold_col:
         cond.append(F.col(fold_col) == F.col(HELD))
-    joined = df.join(t, cond, "left").drop(*[f"_k_{k}" for k in keys], *([HELD] if fold_col else []))
-    return joined.withColumns({c: F.coalesce(F.col(c), fallback) for c in value_cols})
+    kept = [c for c in df.columns if c not in value_cols]
+    return df.join(t, cond, "left").select(*kept, *[F.coalesce(F.col(c), fallback).alias(c) for c in value_cols])
 
 
 # Row bound under which a per-key-set statistics table is broadcast to the join (checked on the
@@ -221,36 +221,72 @@ def _sized(table: DataFrame, rows: int, broadcast_rows: int) -> DataFrame:
     return F.broadcast(table) if rows <= broadcast_rows else table
 
 
-def target_encode(train: DataFrame, test: DataFrame, specs=ENCODING_SPECS, target: str = TARGET,
-                  n_folds: int = N_FOLDS, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Adds every spec's column: out-of-fold on ``train`` (needs the ``fold`` column), full-train on ``test``.
+# Both frames can flow through the lookups as one stacked frame: ``_frame`` = 0 labelled, 1 unlabelled; the
+# unlabelled rows carry fold = -1 and so match the all-folds statistics (held = -1) of every table.
+FRAME = "_frame"
+LABELLED, UNLABELLED = 0, 1
+
+
+def stack_frames(train: DataFrame, test: DataFrame) -> DataFrame:
+    te = test.withColumn(FRAME, F.lit(UNLABELLED))
+    if FOLD in train.columns and FOLD not in test.columns:
+        te = te.withColumn(FOLD, F.lit(ALL_FOLDS))
+    return train.withColumn(FRAME, F.lit(LABELLED)).unionByName(te, allowMissingColumns=True)
+
 
-    Mean / std / max of all key sets come from one materialised ``multi_set_stats`` table; medians from the
-    distributed exact quantile per key set.
+def split_frames(rows: DataFrame, train_cols, test_cols) -> tuple[DataFrame, DataFrame]:
+    """Inverse of ``stack_frames``: each side keeps its own columns plus every column added since."""
+    added = [c for c in rows.columns if c not in set(train_cols) | set(test_cols) | {FRAME}]
+    tr = rows.filter(F.col(FRAME) == LABELLED).select(*train_cols, *added)
+    te = rows.filter(F.col(FRAME) == UNLABELLED).select(*test_cols, *added)
+    return tr, te
+
+
+def median_table(train: DataFrame, keys, target: str = TARGET, n_folds: int = N_FOLDS) -> DataFrame:
+    """(K..., _held, median) for every held fold and for _held = -1 (all folds), in one quantile pass."""
+    keys = list(keys)
+    name = _name(keys, "median")
+    held = F.explode(F.concat(F.filter(F.array(*[F.lit(i) for i in range(n_folds)]), lambda h: h != F.col(FOLD)),
+                              F.array(F.lit(ALL_FOLDS))))
+    hist = (train.filter(F.col(target).isNotNull())
+            .groupBy(*keys, FOLD, target).agg(F.count(F.lit(1)).alias("_c"))
+            .withColumn(HELD, held)
+            .groupBy(*keys, HELD, target).agg(F.sum("_c").cast("long").alias("_w")))
+    return exact_quantiles(None, keys + [HELD], target, {name: 0.5}, hist=hist)
+
+
+def encode_rows(rows: DataFrame, specs=ENCODING_SPECS, target: str = TARGET, n_folds: int = N_FOLDS,
+                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Adds every spec's column to a stacked frame: out-of-fold for labelled rows, all-folds for the others.
+
+    Mean / std / max of all key sets come from one materialised ``multi_set_stats`` table (counted per key
+    set to decide broadcast vs sort-merge), medians from one distributed exact-quantile pass per key set.
     """
     from demandspark.session import cut_lineage
 
-    gm = global_mean(train, target)
+    labelled = rows.filter(F.col(FRAME) == LABELLED)
+    gm = global_mean(labelled, target)
     groups = group_specs(specs)
-    stats_src = train.select(*dict.fromkeys(k for s in specs for k in s.keys), FOLD, target)
-    out_train, out_test = train, test
+    stats_src = labelled.select(*dict.fromkeys(k for s in specs for k in s.keys), FOLD, target)
     algebraic = [(keys, [a for a in aggs if a != "median"]) for keys, aggs in groups.items()
                  if any(a != "median" for a in aggs)]
     if algebraic:
         stats = cut_lineage(multi_set_stats(stats_src, [k for k, _ in algebraic], target, n_folds))
-        sizes = {r["_set"]: (r["oof"], r["full"]) for r in stats.groupBy("_set").agg(
-            F.count_if(F.col(HELD) != ALL_FOLDS).alias("oof"), F.count_if(F.col(HELD) == ALL_FOLDS).alias("full")).collect()}
+        sizes = {r["_set"]: r["n"] for r in stats.groupBy("_set").agg(F.count(F.lit(1)).alias("n")).collect()}
         for i, (keys, aggs) in enumerate(algebraic):
             names = [_name(keys, a) for a in aggs]
-            t = stats.filter(F.col("_set") == i).select(*keys, HELD, *[F.col(a).alias(_name(keys, a)) for a in aggs])
-            n_oof, n_full = sizes.get(i, (0, 0))
-            oof = _sized(t.filter(F.col(HELD) != ALL_FOLDS), n_oof, broadcast_rows)
-            full = _sized(t.filter(F.col(HELD) == ALL_FOLDS).drop(HELD), n_full, broadcast_rows)
-            out_train = lookup(out_train, oof, keys, names, gm, FOLD)
-            out_test = lookup(out_test, full, keys, names, gm)
+            t = stats.filter(F.col("_set") == i).select(*keys, HELD, *[F.col(a).alias(n) for a, n in zip(aggs, names)])
+            rows = lookup(rows, _sized(t, sizes.get(i, 0), broadcast_rows), keys, names, gm, FOLD)
     for keys, aggs in groups.items():
         if "median" in aggs:
-            name = [_name(keys, "median")]
-            out_train = lookup(out_train, oof_table(stats_src, keys, ["median"], target, n_folds), keys, name, gm, FOLD)
-            out_test = lookup(out_test, full_table(stats_src, keys, ["median"], target), keys, name, gm)
-    return out_train, out_test, [s.name for s in specs]
+            med = cut_lineage(median_table(stats_src, keys, target, n_folds))
+            rows = lookup(rows, med, keys, [_name(keys, "median")], gm, FOLD)
+    return rows
+
+
+def target_encode(train: DataFrame, test: DataFrame, specs=ENCODING_SPECS, target: str = TARGET,
+                  n_folds: int = N_FOLDS, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Adds every spec's column: out-of-fold on ``train`` (needs the ``fold`` column), full-train on ``test``."""
+    rows = encode_rows(stack_frames(train, test), specs, target, n_folds, broadcast_rows)
+    tr, te = split_frames(rows, train.columns, test.columns)
+    return tr, te, [s.name for s in specs]

@@ -103,5 +103,8 @@ def apply_frequency(df: DataFrame, tables: dict[str, DataFrame], keys: dict[str,
 
 
 def frequency_encode(train: DataFrame, test: DataFrame, keys: dict[str, str] = FREQUENCY_KEYS):
-    tables = frequency_tables(train, keys)
-    return apply_frequency(train, tables, keys), apply_frequency(test, tables, keys)
+    """Counts from the labelled frame applied to both frames in one pass (stacked)."""
+    from demandspark.operators.encoding import split_frames, stack_frames
+
+    rows = apply_frequency(stack_frames(train, test), frequency_tables(train, keys), keys)
+    return split_frames(rows, train.columns, test.columns)

@@ -87,30 +87,41 @@ def impute_lag(df: DataFrame, fallback: Column, mean_col: str = "gh_day48_mean")
     return df.withColumn(IMPUTED, F.coalesce(F.col(LAG), F.col(mean_col), fallback))
 
 
-def add_reference_day_lags(train: DataFrame, test: DataFrame, ref_day: int, entity: str = "geohash",
-                           slot: str = "total_minutes", target: str = TARGET, offsets=OFFSETS,
-                           fallback: Column | float | None = REFERENCE_FALLBACK, mask_ref_day: bool = True,
-                           prefix: str = "gh_day48") -> tuple[DataFrame, DataFrame]:
-    """Adds 7 statistics, 9 lags and the imputed lag to both frames.
+def lag_rows(rows: DataFrame, ref_day: int, entity: str = "geohash", slot: str = "total_minutes",
+             target: str = TARGET, offsets=OFFSETS, fallback: Column | float | None = REFERENCE_FALLBACK,
+             mask_ref_day: bool = True, prefix: str = "gh_day48", labelled: Column | None = None) -> DataFrame:
+    """Adds 7 statistics, 9 lags and the imputed lag to a frame (or to both frames stacked, where
+    ``labelled`` marks the labelled rows: the reference day is read from them and only they are masked).
 
-    ``fallback``: a constant (the reference hard-codes 0.09394), a Column, or None for the labelled frame's
+    ``fallback``: a constant (the reference hard-codes 0.09394), a Column, or None for the labelled rows'
     computed target mean.
     """
-    ref = reference_rows(train, ref_day)
+    is_lab = labelled if labelled is not None else F.lit(True)
+    ref = rows.filter(is_lab & (F.col("day") == ref_day))
     stats = cell_stats(ref, entity, target, prefix=prefix)
     lags = lag_table(ref, entity, slot, target, offsets)
     if fallback is None:
-        fb = train.select(F.avg(target)).scalar()
+        fb = rows.filter(is_lab).select(F.avg(target)).scalar()
     elif isinstance(fallback, Column):
         fb = fallback
     else:
         fb = F.lit(float(fallback))
     s_names, l_names = stat_names(prefix), lag_names(offsets)
+    out = rows.join(stats, entity, "left").join(lags, [entity, slot], "left")
+    if mask_ref_day:
+        keep = ~(is_lab & (F.col("day") == ref_day))
+        out = out.withColumns({c: F.when(keep, F.col(c)) for c in s_names + l_names})
+    return impute_lag(out, fb, s_names[0])
+
 
-    def attach(df: DataFrame, labelled: bool) -> DataFrame:
-        df = df.join(stats, entity, "left").join(lags, [entity, slot], "left")
-        if labelled and mask_ref_day:
-            df = mask_reference_day(df, s_names + l_names, ref_day)
-        return impute_lag(df, fb, s_names[0])
+def add_reference_day_lags(train: DataFrame, test: DataFrame, ref_day: int, entity: str = "geohash",
+                           slot: str = "total_minutes", target: str = TARGET, offsets=OFFSETS,
+                           fallback: Column | float | None = REFERENCE_FALLBACK, mask_ref_day: bool = True,
+                           prefix: str = "gh_day48") -> tuple[DataFrame, DataFrame]:
+    """Both frames in one pass (stacked): one statistics join and one wide lag join for all rows."""
+    from demandspark.operators.encoding import FRAME, LABELLED, split_frames, stack_frames
 
-    return attach(train, True), attach(test, False)
+    rows = stack_frames(train, test)
+    rows = lag_rows(rows, ref_day, entity, slot, target, offsets, fallback, mask_ref_day, prefix,
+                    labelled=F.col(FRAME) == LABELLED)
+    return split_frames(rows, train.columns, test.columns)

@@ -19,9 +19,10 @@ from demandspark.operators import domain as dom
 from demandspark.operators import ensemble as ens
 from demandspark.operators import errors as err
 from demandspark.operators import profile as prof
-from demandspark.operators.encoding import ENCODING_SPECS, FOLD, add_fold, full_table, global_mean, lookup, target_encode
+from demandspark.operators.encoding import (ENCODING_SPECS, FOLD, FRAME, LABELLED, add_fold, encode_rows, split_frames,
+                                            stack_frames, target_encode)
 from demandspark.operators.features import base_features, frequency_encode
-from demandspark.operators.lags import IMPUTED, add_reference_day_lags, cell_stats, lag_names, lag_table, stat_names
+from demandspark.operators.lags import IMPUTED, cell_stats, lag_names, lag_rows, lag_table, stat_names
 from demandspark.operators.matrix import categorical_features, feature_matrix, numeric_features
 from demandspark.plans import oracle as O
 from demandspark.plans.flagship import Frames, build_features
@@ -78,16 +79,22 @@ def base(spark, d) -> Frames:
     return Frames(add_fold(base_features(train)), base_features(test))
 
 
+def _rows_op(fr: Frames, op) -> Frames:
+    """Run ``op`` once on both frames stacked, materialise once, split back."""
+    rows = cut_lineage(op(stack_frames(fr.train, fr.test)))
+    tr, te = split_frames(rows, fr.train.columns, fr.test.columns)
+    return Frames(tr, te, fr.te_cols)
+
+
 def lagged(spark, d, fallback=0.09394) -> Frames:
-    fr = base(spark, d)
-    tr, te = add_reference_day_lags(fr.train, fr.test, REF, fallback=fallback)
-    return Frames(cut_lineage(tr), cut_lineage(te))
+    return _rows_op(base(spark, d), lambda rows: lag_rows(rows, REF, fallback=fallback,
+                                                          labelled=F.col(FRAME) == LABELLED))
 
 
 def encoded(spark, d, specs, lags=True) -> Frames:
     fr = lagged(spark, d) if lags else base(spark, d)
-    tr, te, names = target_encode(fr.train, fr.test, specs)
-    return Frames(cut_lineage(tr), cut_lineage(te), names)
+    out = _rows_op(fr, lambda rows: encode_rows(rows, specs))
+    return Frames(out.train, out.test, [s.name for s in specs])
 
 
 def both(fr: Frames, cols) -> DataFrame:
@@ -507,9 +514,8 @@ ALL_TE = [s.name for s in ENCODING_SPECS]
 
 
 def _te_all(spark, d):
-    fr = base(spark, d)
-    tr, te, names = target_encode(fr.train, fr.test, ENCODING_SPECS)
-    return finish(both(Frames(cut_lineage(tr), cut_lineage(te)), [ROW_KEY] + names))
+    fr = encoded(spark, d, ENCODING_SPECS, lags=False)
+    return finish(both(fr, [ROW_KEY] + fr.te_cols))
 
 
 Q["te_all"] = Query(_te_all, sql_finish(

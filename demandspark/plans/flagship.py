@@ -62,12 +62,31 @@ def with_encodings(fr: Frames, specs=ENCODING_SPECS) -> Frames:
 
 def build_features(spark: SparkSession, data_dir: str, version: int = 2, binding: PanelBinding = BINDING,
                    lag_fallback: Column | float | None = REFERENCE_FALLBACK, checkpoint: bool = True) -> Frames:
-    fr = with_frequency(base_frames(spark, data_dir, binding, checkpoint))
+    """Both frames stacked through every lookup (unlabelled rows carry fold = -1 → all-folds statistics):
+    one frequency, one lag and one encoding lookup chain for all rows, cut after the lags and after the
+    encodings."""
+    from pyspark.sql import functions as F
+
+    from demandspark.operators.encoding import FOLD, FRAME, LABELLED, UNLABELLED, encode_rows, stack_frames
+    from demandspark.operators.features import apply_frequency, frequency_tables
+    from demandspark.operators.lags import lag_rows
+    from demandspark.sources.schemas import TARGET
+
+    fr = base_frames(spark, data_dir, binding, checkpoint=False)
+    if checkpoint:
+        fr = Frames(fr.train, fr.test)
+    rows = stack_frames(fr.train, fr.test)
+    labelled = F.col(FRAME) == LABELLED
+    rows = apply_frequency(rows, frequency_tables(rows.filter(labelled)))
     if version == 2:
-        fr = with_lags(fr, binding, lag_fallback)
+        rows = lag_rows(rows, binding.ref_day, fallback=lag_fallback, labelled=labelled)
     if checkpoint:
-        fr = _cut(fr)
-    fr = with_encodings(fr)
+        rows = cut_lineage(rows)
+    rows = encode_rows(rows, ENCODING_SPECS)
     if checkpoint:
-        fr = _cut(fr)
-    return Frames(domain_features(fr.train, version == 2), domain_features(fr.test, version == 2), fr.te_cols)
+        rows = cut_lineage(rows)
+    rows = domain_features(rows, version == 2, frame_col=FRAME)
+    te_cols = [s.name for s in ENCODING_SPECS]
+    train = rows.filter(labelled).drop(FRAME)
+    test = rows.filter(F.col(FRAME) == UNLABELLED).drop(FRAME, FOLD, TARGET)
+    return Frames(train, test, te_cols)

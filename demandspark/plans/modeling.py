@@ -148,6 +148,21 @@ def model_errors(spark, d) -> DataFrame:
     return err.residuals(blended.join(feats, ROW_KEY), "blend")
 
 
+def feature_matrix_cat(spark, d):
+    """Mixed matrix of the categorical-aware learner: numeric features plus indexed categoricals
+    (``StringIndexer`` fitted on the labelled frame, unseen labels → an extra index), both frames."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+
+    fr = build_features(spark, d)
+    cat = categorical_features(2)
+    tr = feature_matrix(fr.train, with_target=True)
+    te = feature_matrix(fr.test, with_target=False).withColumn(TARGET, F.lit(None).cast("double"))
+    model = Pipeline(stages=[StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in cat]).fit(tr)
+    both = tr.select(F.lit("train").alias("frame"), "*").unionByName(te.select(F.lit("test").alias("frame"), "*"))
+    return model.transform(both)
+
+
 def submission(spark, d):
     return run_models(spark, d).submission
 
@@ -172,6 +187,7 @@ MODEL_QUERIES = {
     "ens_model_grid_best": ens_model_grid_best,
     "ens_model_weights": ens_model_weights,
     "err_model_mae_by_hour": lambda s, d: err.mae_by(model_errors(s, d), "hour"),
+    "feature_matrix_cat": feature_matrix_cat,
     "submission": submission,
     "submission_contract": submission_contract,
     "submission_summary": submission_summary,

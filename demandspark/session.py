@@ -56,9 +56,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder (survives executor loss, truncates the plan)."""
+    """Materialise ``df`` to the shared checkpoint folder (survives executor loss, truncates the plan).
+
+    The frame is persisted first: an RDD checkpoint otherwise recomputes the whole plan a second time for
+    the checkpoint writer. The cache is released once the files are written; reads then come from the
+    reliable checkpoint files."""
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist(blocking=False)
+    return out
 
 
 def default_parallelism_hint() -> int:
