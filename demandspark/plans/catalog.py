@@ -25,7 +25,7 @@ from demandspark.operators.features import base_features, frequency_encode
 from demandspark.operators.lags import IMPUTED, cell_stats, lag_names, lag_rows, lag_table, stat_names
 from demandspark.operators.matrix import categorical_features, feature_matrix, numeric_features
 from demandspark.plans import oracle as O
-from demandspark.plans.flagship import Frames, build_features
+from demandspark.plans.flagship import Frames, base_frames, build_features
 from demandspark.session import cut_lineage
 from demandspark.sources.panel import BINDING, load_frames
 from demandspark.sources.schemas import ROW_KEY, TARGET
@@ -75,13 +75,15 @@ def raw(spark, d):
 
 
 def base(spark, d) -> Frames:
-    train, test = load_frames(spark, d)
-    return Frames(add_fold(base_features(train)), base_features(test))
+    """Base features of both frames over a materialised panel (``events`` is aggregated once)."""
+    return base_frames(spark, d, checkpoint=False, cut_panel=True)
 
 
-def _rows_op(fr: Frames, op) -> Frames:
-    """Run ``op`` once on both frames stacked, materialise once, split back."""
-    rows = cut_lineage(op(stack_frames(fr.train, fr.test)))
+def _rows_op(fr: Frames, op, pre_cut: bool = False) -> Frames:
+    """Run ``op`` once on both frames stacked, materialise once, split back. ``pre_cut`` materialises the
+    stacked input first (for ops that read it several times, like the encodings)."""
+    rows = stack_frames(fr.train, fr.test)
+    rows = cut_lineage(op(cut_lineage(rows) if pre_cut else rows))
     tr, te = split_frames(rows, fr.train.columns, fr.test.columns)
     return Frames(tr, te, fr.te_cols)
 
@@ -93,7 +95,7 @@ def lagged(spark, d, fallback=0.09394) -> Frames:
 
 def encoded(spark, d, specs, lags=True) -> Frames:
     fr = lagged(spark, d) if lags else base(spark, d)
-    out = _rows_op(fr, lambda rows: encode_rows(rows, specs))
+    out = _rows_op(fr, lambda rows: encode_rows(rows, specs), pre_cut=not lags)
     return Frames(out.train, out.test, [s.name for s in specs])
 
 
@@ -487,9 +489,8 @@ TE_QUERIES = {
 
 def _te_oof(specs):
     def fn(spark, d):
-        fr = base(spark, d)
-        tr, _, names = target_encode(fr.train, fr.test, specs)
-        return finish(tr.select(ROW_KEY, *names))
+        fr = encoded(spark, d, specs, lags=False)
+        return finish(fr.train.select(ROW_KEY, *fr.te_cols))
     return fn
 
 
@@ -502,9 +503,8 @@ TE_TEST = _specs("te__geohash__mean", "te__geohash__std", "te__geohash__max", "t
 
 
 def _te_test(spark, d):
-    fr = base(spark, d)
-    _, te, names = target_encode(fr.train, fr.test, TE_TEST)
-    return finish(te.select(ROW_KEY, *names))
+    fr = encoded(spark, d, TE_TEST, lags=False)
+    return finish(fr.test.select(ROW_KEY, *fr.te_cols))
 
 
 Q["te_test_stats"] = Query(_te_test, sql_finish(f"SELECT a.Index, {O.te_select(TE_TEST, False)} FROM ftest a",

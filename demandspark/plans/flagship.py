@@ -30,10 +30,13 @@ class Frames:
 
 
 def base_frames(spark: SparkSession, data_dir: str, binding: PanelBinding = BINDING,
-                checkpoint: bool = True) -> Frames:
-    """Labelled frame with its ``fold``, unlabelled frame, both with base features."""
+                checkpoint: bool = True, cut_panel: bool | None = None) -> Frames:
+    """Labelled frame with its ``fold``, unlabelled frame, both with base features.
+
+    The panel is materialised once (``cut_panel``, default on) so the two frames and every later consumer
+    read it instead of re-aggregating ``events``; ``checkpoint`` also materialises the two frames."""
     panel = load_panel(spark, data_dir)
-    if checkpoint:
+    if checkpoint if cut_panel is None else cut_panel:
         panel = cut_lineage(panel)
     train, test = split_panel(panel, binding)
     fr = Frames(add_fold(base_features(train)), base_features(test))
@@ -72,9 +75,7 @@ def build_features(spark: SparkSession, data_dir: str, version: int = 2, binding
     from demandspark.operators.lags import lag_rows
     from demandspark.sources.schemas import TARGET
 
-    fr = base_frames(spark, data_dir, binding, checkpoint=False)
-    if checkpoint:
-        fr = Frames(fr.train, fr.test)
+    fr = base_frames(spark, data_dir, binding, checkpoint=False, cut_panel=checkpoint)
     rows = stack_frames(fr.train, fr.test)
     labelled = F.col(FRAME) == LABELLED
     rows = apply_frequency(rows, frequency_tables(rows.filter(labelled)))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 # small shuffles and splits skewed join partitions at run time.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
