@@ -256,11 +256,15 @@ def median_table(train: DataFrame, keys, target: str = TARGET, n_folds: int = N_
 
 
 def encode_rows(rows: DataFrame, specs=ENCODING_SPECS, target: str = TARGET, n_folds: int = N_FOLDS,
-                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                broadcast_rows: int = BROADCAST_ROWS, row_key: str = ROW_KEY) -> DataFrame:
     """Adds every spec's column to a stacked frame: out-of-fold for labelled rows, all-folds for the others.
 
-    Mean / std / max of all key sets come from one materialised ``multi_set_stats`` table (counted per key
-    set to decide broadcast vs sort-merge), medians from one distributed exact-quantile pass per key set.
+    Mean / std / max of all key sets come from one materialised ``multi_set_stats`` table; medians from one
+    distributed exact-quantile pass per key set. Each table is counted: tables within ``broadcast_rows`` are
+    broadcast-joined straight onto the wide frame (the joins pipeline in one stage, no shuffle of the frame);
+    larger ones are sort-merge joined onto a narrow (row key, frame, fold, keys) projection, whose result
+    returns to the wide frame with a single join on the row key — the wide frame is shuffled once, not once
+    per large key set.
     """
     from demandspark.session import cut_lineage
 
@@ -268,6 +272,7 @@ def encode_rows(rows: DataFrame, specs=ENCODING_SPECS, target: str = TARGET, n_f
     gm = global_mean(labelled, target)
     groups = group_specs(specs)
     stats_src = labelled.select(*dict.fromkeys(k for s in specs for k in s.keys), FOLD, target)
+    tables = []   # (keys, value names, table, counted rows)
     algebraic = [(keys, [a for a in aggs if a != "median"]) for keys, aggs in groups.items()
                  if any(a != "median" for a in aggs)]
     if algebraic:
@@ -276,11 +281,22 @@ def encode_rows(rows: DataFrame, specs=ENCODING_SPECS, target: str = TARGET, n_f
         for i, (keys, aggs) in enumerate(algebraic):
             names = [_name(keys, a) for a in aggs]
             t = stats.filter(F.col("_set") == i).select(*keys, HELD, *[F.col(a).alias(n) for a, n in zip(aggs, names)])
-            rows = lookup(rows, _sized(t, sizes.get(i, 0), broadcast_rows), keys, names, gm, FOLD)
+            tables.append((keys, names, t, sizes.get(i, 0)))
     for keys, aggs in groups.items():
         if "median" in aggs:
             med = cut_lineage(median_table(stats_src, keys, target, n_folds))
-            rows = lookup(rows, med, keys, [_name(keys, "median")], gm, FOLD)
+            tables.append((keys, [_name(keys, "median")], med, med.count()))
+
+    small = [x for x in tables if x[3] <= broadcast_rows]
+    large = [x for x in tables if x[3] > broadcast_rows]
+    for keys, names, t, _ in small:
+        rows = lookup(rows, F.broadcast(t), keys, names, gm, FOLD)
+    if large:
+        narrow = rows.select(row_key, FRAME, FOLD, *dict.fromkeys(k for keys, _, _, _ in large for k in keys))
+        for keys, names, t, _ in large:
+            narrow = lookup(narrow, t, keys, names, gm, FOLD)
+        found = narrow.select(row_key, FRAME, *[n for _, names, _, _ in large for n in names])
+        rows = rows.join(found, [row_key, FRAME], "left")
     return rows
 
 

@@ -103,3 +103,15 @@ def test_duplicate_reference_slot_raises(spark):
     df = _lag_frames(spark, ref, [])
     with pytest.raises(Exception, match="duplicate"):
         lag_table(df).collect()
+
+
+def test_large_table_path_equals_broadcast_path(spark):
+    df = _frame(spark)
+    specs = [EncodingSpec(("g",), "mean"), EncodingSpec(("g", "h"), "std"), EncodingSpec(("g",), "median")]
+    a, _, names = target_encode(df, df.drop("demand", FOLD), specs)
+    b, _, _ = target_encode(df, df.drop("demand", FOLD), specs, broadcast_rows=0)
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan or "AdaptiveSparkPlan" in plan
+    ra = sorted(tuple(r) for r in a.select("Index", *names).collect())
+    rb = sorted(tuple(r) for r in b.select("Index", *names).collect())
+    assert ra == rb
