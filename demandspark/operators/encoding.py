@@ -6,14 +6,16 @@ over one row) falls back to the labelled frame's global target mean.
 
 Plan per key set, instead of one scan and group-by per fold:
 
-* partials: ``groupBy(K, fold)`` → n, mean, M2 (= var_pop·n), max. Map-side combined, so a hot key costs one
-  row per task. Median partials are value histograms ``(K, fold, value) → count``.
-* complement: each partial row is replicated to the k−1 folds it is *not* in (``explode`` of a k-element
-  array, no join) and combined per (K, held): Σn, Σn·mean, max, and the parallel-variance formula over at most
-  k−1 parts per group. Medians use the distributed exact quantile of ``order_stats`` on the summed
-  histograms.
-* lookup: one null-safe left join per key set on (K, fold = held). AQE broadcasts small tables after
-  measuring them; large ones are sort-merge joined with skewed partitions split.
+* partials: ``groupBy(set, K, fold)`` → n, mean, M2 (= var_pop·n), max for all key sets in one aggregation
+  (``multi_set_stats``). Map-side combined, so a hot key costs one row per task. Median partials are value
+  histograms ``(K, fold, value) → count``.
+* complement: each partial row is replicated to the k−1 folds it is *not* in and to an all-folds slot
+  (``explode`` of a small array, no join) and combined per (set, K, held): Σn, Σn·mean, max, and the
+  parallel-variance formula over at most k parts per group. Medians use the distributed exact quantile of
+  ``order_stats`` on the summed histograms (``median_table``).
+* lookup: one null-safe left join per key set on (K, fold = held), both frames stacked (unlabelled rows carry
+  fold = -1 = all folds). Tables are counted: small ones are broadcast, large ones sort-merge joined onto a
+  narrow projection (see ``encode_rows``).
 """
 
 from __future__ import annotations
@@ -109,61 +111,6 @@ def _name(keys, agg) -> str:
     return EncodingSpec(tuple(keys), agg).name
 
 
-def _other_folds(n_folds: int) -> Column:
-    return F.explode(F.filter(F.array(*[F.lit(i) for i in range(n_folds)]), lambda h: h != F.col(FOLD)))
-
-
-def oof_table(train: DataFrame, keys, aggs, target: str = TARGET, n_folds: int = N_FOLDS) -> DataFrame:
-    """(K..., _held, te columns): aggregates over the labelled rows of K outside fold ``_held``."""
-    keys = list(keys)
-    out = None
-    algebraic = [a for a in aggs if a != "median"]
-    if algebraic:
-        partials = train.groupBy(*keys, FOLD).agg(
-            F.count(target).alias("_n"), F.sum(target).alias("_s"), F.avg(target).alias("_m"),
-            (F.var_pop(target) * F.count(target)).alias("_m2"), F.max(target).alias("_mx"))
-        comp = (partials.withColumn(HELD, _other_folds(n_folds))
-                .groupBy(*keys, HELD)
-                .agg(F.sum("_n").alias("_N"), F.sum("_s").alias("_S"), F.max("_mx").alias("_MX"),
-                     F.collect_list(F.struct("_n", "_m", "_m2")).alias("_parts")))
-        mean = F.col("_S") / F.col("_N")
-        m2 = F.aggregate("_parts", F.lit(0.0),
-                         lambda acc, p: acc + p["_m2"] + p["_n"] * (p["_m"] - mean) * (p["_m"] - mean))
-        cols = {"mean": mean, "std": F.when(F.col("_N") > 1, F.sqrt(m2 / (F.col("_N") - 1))), "max": F.col("_MX")}
-        out = comp.select(*keys, HELD, *[cols[a].alias(_name(keys, a)) for a in algebraic])
-    if "median" in aggs:
-        hist = (train.filter(F.col(target).isNotNull())
-                .groupBy(*keys, FOLD, target).agg(F.count(F.lit(1)).alias("_c"))
-                .withColumn(HELD, _other_folds(n_folds))
-                .groupBy(*keys, HELD, target).agg(F.sum("_c").cast("long").alias("_w")))
-        med = exact_quantiles(None, keys + [HELD], target, {_name(keys, "median"): 0.5}, hist=hist)
-        out = med if out is None else _merge(out, med, keys + [HELD])
-    return out
-
-
-def full_table(train: DataFrame, keys, aggs, target: str = TARGET) -> DataFrame:
-    """(K..., te columns): aggregates over all labelled rows of K (used for the unlabelled frame)."""
-    keys = list(keys)
-    cols = {"mean": F.avg(target), "std": F.stddev_samp(target), "max": F.max(target)}
-    algebraic = [a for a in aggs if a != "median"]
-    out = None
-    if algebraic:
-        out = train.groupBy(*keys).agg(*[cols[a].alias(_name(keys, a)) for a in algebraic])
-    if "median" in aggs:
-        med = exact_quantiles(train, keys, target, {_name(keys, "median"): 0.5})
-        out = med if out is None else _merge(out, med, keys)
-    return out
-
-
-def _merge(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    """Full outer null-safe merge of two per-key tables with disjoint value columns."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    values = [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
-    return left.join(r, cond, "full_outer").select(
-        *[F.coalesce(F.col(k), F.col(f"_r_{k}")).alias(k) for k in keys], *values)
-
-
 def lookup(df: DataFrame, table: DataFrame, keys, value_cols, fallback: Column, fold_col: str | None = None) -> DataFrame:
     """Null-safe left join of ``table`` on ``keys`` (and ``fold_col`` = ``_held``), missing → ``fallback``."""
     keys = list(keys)

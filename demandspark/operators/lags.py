@@ -77,12 +77,6 @@ def lag_table(ref: DataFrame, entity: str = "geohash", slot: str = "total_minute
         "_rows", "_guard", *[f"_c{i}" for i in range(len(all_offsets))])
 
 
-def mask_reference_day(df: DataFrame, cols, ref_day: int, day_col: str = "day") -> DataFrame:
-    """Null ``cols`` on rows of the reference day (leak guard for labelled rows)."""
-    keep = F.col(day_col) != ref_day
-    return df.withColumns({c: F.when(keep, F.col(c)) for c in cols})
-
-
 def impute_lag(df: DataFrame, fallback: Column, mean_col: str = "gh_day48_mean") -> DataFrame:
     return df.withColumn(IMPUTED, F.coalesce(F.col(LAG), F.col(mean_col), fallback))
 

@@ -19,9 +19,8 @@ from demandspark.operators import domain as dom
 from demandspark.operators import ensemble as ens
 from demandspark.operators import errors as err
 from demandspark.operators import profile as prof
-from demandspark.operators.encoding import (ENCODING_SPECS, FOLD, FRAME, LABELLED, add_fold, encode_rows, split_frames,
-                                            stack_frames, target_encode)
-from demandspark.operators.features import base_features, frequency_encode
+from demandspark.operators.encoding import ENCODING_SPECS, FOLD, FRAME, LABELLED, encode_rows, split_frames, stack_frames
+from demandspark.operators.features import frequency_encode
 from demandspark.operators.lags import IMPUTED, cell_stats, lag_names, lag_rows, lag_table, stat_names
 from demandspark.operators.matrix import categorical_features, feature_matrix, numeric_features
 from demandspark.plans import oracle as O

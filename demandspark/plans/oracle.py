@@ -8,9 +8,8 @@ would change arithmetic), and every double output is rounded to 9 digits (+0.0 f
 
 from __future__ import annotations
 
-from demandspark.operators.encoding import ENCODING_SPECS, group_specs
-from demandspark.operators.lags import OFFSETS, lag_names, offset_name, stat_names
-from demandspark.operators.matrix import BASE_NUM, LAG_NUM, V2_CAT
+from demandspark.operators.encoding import ENCODING_SPECS
+from demandspark.operators.lags import OFFSETS, lag_names, stat_names
 
 PANEL = """
 select concat('tdr', cast(u % 2 as string), cast(cast(floor(u / 4) as int) as string), cast(u as string)) as geohash,

@@ -78,7 +78,8 @@ def default_parallelism_hint() -> int:
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over at least ``min_partitions`` (default: the cluster's parallelism) before a step
     that multiplies rows (replication per key set or fold). A frame read back from a checkpoint of a small
-    aggregate often sits in one partition; without this the replicated work would run in one task."""
+    aggregate often sits in one partition; without this the replicated work would run in one task.
+    Meant for materialised frames: counting partitions plans the frame (with AQE, running its shuffles)."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
