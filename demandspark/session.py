@@ -26,6 +26,20 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (applied by the cluster's submit configuration, not by library
+# code): many shuffle partitions that AQE coalesces to ~256 MB, skew splitting on, scans split at 256 MB.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def get_session(master: str | None = None, app: str = "demandspark", shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
