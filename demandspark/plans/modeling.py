@@ -19,7 +19,7 @@ from demandspark.operators import errors as err
 from demandspark.operators.encoding import FOLD
 from demandspark.operators.matrix import categorical_features, feature_matrix, numeric_features
 from demandspark.plans.flagship import build_features
-from demandspark.session import cut_lineage
+from demandspark.session import cut_lineage, session_id
 from demandspark.sources import sinks
 from demandspark.sources.schemas import ROW_KEY, TARGET
 
@@ -53,7 +53,7 @@ def _stack(df: DataFrame, with_target: bool) -> DataFrame:
 
 def run_models(spark: SparkSession, data_dir: str, max_iter: int = QUERY_MAX_ITER,
                num_trees: int = QUERY_NUM_TREES, parallelism: int = 1) -> ModelRun:
-    key = (spark.sparkContext.applicationId, data_dir, max_iter, num_trees)
+    key = (session_id(spark), data_dir, max_iter, num_trees)
     if key in _RUNS:
         return _RUNS[key]
     fr = build_features(spark, data_dir)
