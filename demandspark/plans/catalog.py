@@ -562,22 +562,24 @@ NUM = numeric_features(2)
 CAT = categorical_features(2)
 
 
-def _matrix(spark, d):
-    fr = build_features(spark, d)
-    tr = feature_matrix(fr.train, with_target=True)
-    te = feature_matrix(fr.test, with_target=False).withColumn(TARGET, F.lit(None).cast("double"))
+def _matrix(spark, d, version=2):
+    fr = build_features(spark, d, version=version)
+    tr = feature_matrix(fr.train, version=version, with_target=True)
+    te = feature_matrix(fr.test, version=version, with_target=False).withColumn(TARGET, F.lit(None).cast("double"))
     return tr.select(F.lit("train").alias("frame"), "*").unionByName(te.select(F.lit("test").alias("frame"), "*"))
 
 
-def _matrix_sql() -> str:
-    num = ", ".join(f"coalesce(CAST({c} AS DOUBLE), -999.0::DOUBLE) AS {c}" for c in NUM)
-    cat = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-999') AS {c}" for c in CAT)
+def _matrix_sql(version=2) -> str:
+    num_cols, cat_cols = numeric_features(version), categorical_features(version)
+    num = ", ".join(f"coalesce(CAST({c} AS DOUBLE), -999.0::DOUBLE) AS {c}" for c in num_cols)
+    cat = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-999') AS {c}" for c in cat_cols)
     body = (f"SELECT 'train' AS frame, Index, {num}, {cat}, demand FROM dtrain "
             f"UNION ALL SELECT 'test' AS frame, Index, {num}, {cat}, CAST(NULL AS DOUBLE) AS demand FROM dtest")
-    return sql_finish(body, NUM + [TARGET], O.full_v2_ctes())
+    return sql_finish(body, num_cols + [TARGET], O.full_v2_ctes() if version == 2 else O.full_v1_ctes())
 
 
 Q["feature_matrix"] = Query(lambda s, d: finish(_matrix(s, d)), _matrix_sql(), NUM + [TARGET])
+Q["feature_matrix_v1"] = Query(lambda s, d: finish(_matrix(s, d, 1)), _matrix_sql(1), numeric_features(1) + [TARGET])
 
 
 # ---- ensemble search and error analysis on deterministic stand-in predictors ----------------------------------

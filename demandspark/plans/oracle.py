@@ -233,3 +233,13 @@ scores AS (SELECT g.w1, g.w2, g.w3,
                   1 - sum((p.demand - (g.w1 * p.p1 + g.w2 * p.p2 + g.w3 * p.p3)) ^ 2)
                       / (var_pop(p.demand) * count(p.demand)) AS r2
            FROM grid g, pred p GROUP BY g.w1, g.w2, g.w3)"""
+
+
+def full_v1_ctes() -> str:
+    """v1 flow: frequency + OOF encodings + domain features (no reference-day lags)."""
+    return f"""qtrain AS ({freq_select('ftrain')}),
+qtest AS ({freq_select('ftest')}),
+etrain AS (SELECT a.*, {te_select(ENCODING_SPECS, True)} FROM qtrain a),
+etest AS (SELECT a.*, {te_select(ENCODING_SPECS, False)} FROM qtest a),
+dtrain AS ({domain_select('etrain')}),
+dtest AS ({domain_select('etest')})"""
