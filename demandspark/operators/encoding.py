@@ -202,6 +202,20 @@ def median_table(train: DataFrame, keys, target: str = TARGET, n_folds: int = N_
     return exact_quantiles(None, keys + [HELD], target, {name: 0.5}, hist=hist)
 
 
+def _chain_lookups(rows: DataFrame, tables, fallback: Column) -> DataFrame:
+    """Broadcast left joins of several small tables in a chain, with per-table key names so nothing
+    collides, and one final projection for the fallbacks (one plan analysis per join, not two)."""
+    base_cols = rows.columns
+    values = []
+    for i, (keys, names, t, _) in enumerate(tables):
+        tk = t.select(*[F.col(k).alias(f"_k{i}_{k}") for k in keys], F.col(HELD).alias(f"_h{i}"), *names)
+        cond = [F.col(k).eqNullSafe(F.col(f"_k{i}_{k}")) for k in keys] + [F.col(FOLD) == F.col(f"_h{i}")]
+        rows = rows.join(F.broadcast(tk), cond, "left")
+        values += names
+    kept = [c for c in base_cols if c not in values]
+    return rows.select(*kept, *[F.coalesce(F.col(n), fallback).alias(n) for n in values])
+
+
 def encode_rows(rows: DataFrame, specs=ENCODING_SPECS, target: str = TARGET, n_folds: int = N_FOLDS,
                 broadcast_rows: int = BROADCAST_ROWS, row_key: str = ROW_KEY) -> DataFrame:
     """Adds every spec's column to a stacked frame: out-of-fold for labelled rows, all-folds for the others.
@@ -236,8 +250,8 @@ def encode_rows(rows: DataFrame, specs=ENCODING_SPECS, target: str = TARGET, n_f
 
     small = [x for x in tables if x[3] <= broadcast_rows]
     large = [x for x in tables if x[3] > broadcast_rows]
-    for keys, names, t, _ in small:
-        rows = lookup(rows, F.broadcast(t), keys, names, gm, FOLD)
+    if small:
+        rows = _chain_lookups(rows, small, gm)
     if large:
         narrow = rows.select(row_key, FRAME, FOLD, *dict.fromkeys(k for keys, _, _, _ in large for k in keys))
         for keys, names, t, _ in large:
