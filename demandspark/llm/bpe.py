@@ -24,15 +24,14 @@ from pyspark.sql import functions as F
 
 from demandspark.llm.common import pieces
 
-LEAF_CHARS = 4096
+LEAF_CHARS = 16384
 #: Characters that the window looks for an end in, before a seam inside one long match is joined by tokens.
 NEAR = 256
 
 #: Places where a match of the split pattern ends whatever comes before or after: the classes of characters
 #: differ (an apostrophe may go on with a letter, white space with anything).
-_SEAM = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=[^\p{L}\s])|(?<=\p{N})(?=[^\p{N}\s])|(?<=[^\s\p{L}\p{N}'])(?=[\p{L}\p{N}])")
-_RUNS = [regex.compile(x) for x in (r" ?\p{L}+", r" ?\p{N}+", r" ?[^\s\p{L}\p{N}']+")]
-_CLASSES = [regex.compile(x) for x in (r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}']")]
+_SEAM = regex.compile(r"(?<=\P{White_Space})(?=\p{White_Space})|(?<=\p{L})(?=[^\p{L}\p{White_Space}])|(?<=\p{N})(?=[^\p{N}\p{White_Space}])|(?<=[^\p{White_Space}\p{L}\p{N}'])(?=[\p{L}\p{N}])")
+_CLASSES = [regex.compile(x) for x in (r"\p{L}", r"\p{N}", r"[^\p{White_Space}\p{L}\p{N}']")]
 
 
 class Codec:
@@ -46,6 +45,7 @@ class Codec:
         for token, rank in ranks.items():
             self.table[rank] = token
         self.sizes = np.array([len(x) for x in self.table], np.int64)
+        self.pattern = regex.compile(pattern)
         self.leaf, self.near = max(1, leaf_chars), near
         self.alone = lru_cache(1 << 16)(self._alone)
 
@@ -118,13 +118,13 @@ class Codec:
             reach *= 4
             start = self._left(text, max(0, mid - reach), mid) if start is None else start
             end = self._right(text, mid, min(len(text), mid + reach)) if end is None else end
-        # the seam lies inside a run of one class: only the last match before it may hold more than that run
+        # scanned from a certain end, the last match before the seam is that of the whole text, as far as the seam
+        for m in self.pattern.finditer(text, start, mid):
+            start = m.start()
+        end = self.pattern.match(text, mid, end).end()
         most_x, most_y = self._drop(a, len(text[start:mid].encode()), True), self._drop(b, len(text[mid:end].encode()), False)
-        whole_x, whole_y = (any(c.fullmatch(part) for c in _RUNS) for part in (text[start:mid], text[mid:end]))
         x, y = min(4, most_x), min(4, most_y)
         while True:
-            if x == most_x and (y == most_y or not whole_x) or y == most_y and not whole_y:
-                return self._window(text, start, mid, end, a, b)
             raw = b"".join(self.table[i] for i in (*a[len(a) - x:], *b[:y]))
             ids = self.core._core_bpe.encode_single_piece(raw)
             good_x = x == most_x or self.alone(int(a[len(a) - x - 1]), ids[0])
