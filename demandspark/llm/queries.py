@@ -9,6 +9,7 @@ from demandspark.llm.bpe import round_trip
 from demandspark.llm.common import documents
 from demandspark.llm.exact_dedup import exact_duplicates
 from demandspark.llm.length_histogram import count_tokens
+from demandspark.llm.set_join import similar_documents
 from demandspark.llm.sharding import shard_documents
 from demandspark.llm.url_filter import Rule, judge_pages
 
@@ -38,7 +39,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir)).drop("row")
 
 
+def op10_set_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
+    "op10_set_relations": op10_set_relations,
     "op2_virtual_slots": op2_virtual_slots,
     "op5_length_histogram": op5_length_histogram,
     "op7_link_propagation": op7_link_propagation,
