@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from demandspark.llm.bpe import round_trip
 from demandspark.llm.common import documents
+from demandspark.llm.decontaminate import find_passages
 from demandspark.llm.exact_dedup import exact_duplicates
 from demandspark.llm.length_histogram import count_tokens
+from demandspark.llm.license_scan import scan_licenses
 from demandspark.llm.set_join import similar_documents
 from demandspark.llm.sharding import shard_documents
 from demandspark.llm.url_filter import Rule, judge_pages
@@ -17,6 +19,10 @@ URL_RULES = [Rule("com", "/", True), Rule("example.com", "/en/", False), Rule("w
              Rule("net", "/es/", False), Rule("net", "/fr/", False)]
 
 
+def op1_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_passages(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("row")
+
+
 def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = shard_documents(documents(spark, sf_dir), shards=8)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -27,6 +33,10 @@ def op5_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir))
 
 
+def op6_diagonal_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir)).drop("row")
+
+
 def op7_link_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
@@ -44,12 +54,14 @@ def op10_set_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op10_set_relations": op10_set_relations,
+    "op1_qgram_lemma": op1_qgram_lemma,
     "op2_virtual_slots": op2_virtual_slots,
     "op5_length_histogram": op5_length_histogram,
+    "op6_diagonal_voting": op6_diagonal_voting,
     "op7_link_propagation": op7_link_propagation,
     "op8_tree_bpe": op8_tree_bpe,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_set_relations": op10_set_relations,
 }
 
 ORACLE_SQL = {
