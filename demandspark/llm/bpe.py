@@ -175,24 +175,28 @@ def decode_documents(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
 
 
-def round_trip(docs: DataFrame, ranks: str = RANKS, leaf_chars: int = LEAF_CHARS) -> DataFrame:
-    """Each row's text encoded and the ids decoded: doc_id, n_tokens, ids_sha256, decoded_sha256. One row for
-    each row of ``docs``; null and empty texts have 0 tokens; other columns are not read."""
+def round_trip(docs: DataFrame, ranks: str = RANKS, leaf_chars: int = LEAF_CHARS, keep_ids: bool = False) -> DataFrame:
+    """Each row's text encoded and the ids decoded: doc_id, n_tokens, ids_sha256, decoded_sha256, and ids if they
+    are to be kept. One row for each row of ``docs``; null and empty texts have 0 tokens; other columns are not
+    read."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks, leaf_chars)
         for part in (p for b in batches for p in pieces(b)):
-            n, ids_sha, text_sha = [], [], []
+            n, ids_sha, text_sha, kept = [], [], [], []
             for text in part.column("text"):
                 ids = c.encode(text.as_py())
                 n.append(len(ids))
                 ids_sha.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
                 text_sha.append(hashlib.sha256(c.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                kept.append(ids.astype(np.int32) if keep_ids else None)
+            columns = {"doc_id": part.column("doc_id"), "n_tokens": pa.array(n, pa.int64()),
+                       "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
+            if keep_ids:
+                columns["ids"] = pa.array(kept, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_pydict(columns)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)
 
 
 def token_counts(docs: DataFrame, ranks: str = RANKS, leaf_chars: int = LEAF_CHARS) -> DataFrame:

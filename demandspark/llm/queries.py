@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandspark.llm import lm_score, toxicity
 from demandspark.llm.bpe import round_trip
 from demandspark.llm.common import documents
 from demandspark.llm.decontaminate import find_passages
@@ -29,6 +30,17 @@ def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
 
 
+def op3_subword_bags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score_documents(documents(spark, sf_dir), labels).drop("row")
+
+
+def op4_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").select("doc_id").distinct()
+    docs = documents(spark, sf_dir).join(good.withColumn("good", F.lit(True)), "doc_id", "left")
+    return lm_score.score_documents(docs, F.col("good")).drop("row")
+
+
 def op5_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir))
 
@@ -56,6 +68,8 @@ def op10_set_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_qgram_lemma": op1_qgram_lemma,
     "op2_virtual_slots": op2_virtual_slots,
+    "op3_subword_bags": op3_subword_bags,
+    "op4_cross_entropy": op4_cross_entropy,
     "op5_length_histogram": op5_length_histogram,
     "op6_diagonal_voting": op6_diagonal_voting,
     "op7_link_propagation": op7_link_propagation,
