@@ -3,7 +3,8 @@
 Each document is the set of its word n-grams (64-bit hashes). Sets are indexed by their prefixes: the rarest
 n-grams, of which two sets that link must share one. The index lists are sorted and read in order, so that
 
-* a list in which all entries are one set (exact copies) is skipped at once;
+* a list in which all entries are one set (exact copies) is skipped at once, and so is each entry whose size and
+  position rule out a link with all others of its list;
 * in each list the sets of nearly one size are first compared with the first of them only, and those that link
   to it take over its component as their answer (they are highly similar, so its answers are theirs);
 * what remains to be found are links between different components. Lists are then cut into blocks by component,
@@ -26,8 +27,11 @@ from pyspark.sql import functions as F
 from demandspark.llm.common import pieces, row_key, save, text_buffer
 from demandspark.llm.rolling import NOT_SPACE, kgram_hashes, mix, word_hashes, word_spans
 
+#: Lists up to this length are searched pair by pair for entries that no other can link with, before they are
+#: written; longer ones are left to the blocks.
+SHORT_LIST = 64
 #: Counters of the table that orders n-grams by how often they occur, and bits of the filter on wanted sets.
-COUNTERS = 1 << 19
+COUNTERS = 1 << 18
 FILTER_WORDS = 1 << 17
 
 
@@ -147,24 +151,34 @@ def index_entries(docs: DataFrame, n: int, percent: int, counters: int) -> DataF
             last = int(np.searchsorted(cols[0], cols[0][-1]))
             kept = [c[last:] for c in cols]
             if last:
-                yield from _several([c[:last] for c in cols], edge, False)
+                yield from _several([c[:last] for c in cols], edge, False, percent)
                 edge = False
         if kept is not None:
-            yield from _several(kept, edge, True)
+            yield from _several(kept, edge, True, percent)
 
     ranged = entries.repartitionByRange("token", "set").sortWithinPartitions("token", "set")
     return ranged.mapInArrow(shared, schema)
 
 
-def _several(cols: list[np.ndarray], first: bool, last: bool) -> Iterator[pa.RecordBatch]:
-    token = cols[0]
-    same = np.zeros(len(token) + 1, bool)
-    same[1:-1] = token[1:] == token[:-1]
-    keep = same[1:] | same[:-1]
-    if first:
-        keep |= token == token[0]
-    if last:
-        keep |= token == token[-1]
+def _several(cols: list[np.ndarray], first: bool, last: bool, percent: int) -> Iterator[pa.RecordBatch]:
+    """The entries of whole lists that can link with another of their list. A list that may go on in another
+    partition (the first and the last of one) is kept as it is."""
+    starts = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1]]))
+    sizes = np.diff(np.append(starts, len(cols[0])))
+    open_ = np.zeros(len(starts), bool)
+    open_[0] |= first
+    open_[-1] |= last
+    keep = np.repeat(open_ | (sizes > SHORT_LIST), sizes)
+    rest = cols[2] - cols[3]  # n-grams from this place on: what can be shared if this is the first one
+    for m in range(2, SHORT_LIST + 1):
+        lists = starts[(sizes == m) & ~open_]
+        for i in range(0, len(lists), max(1, 2_000_000 // (m * m))):
+            at = lists[i: i + max(1, 2_000_000 // (m * m)), None] + np.arange(m)
+            n, r = cols[2][at], rest[at]
+            need = -(-percent * (n[:, :, None] + n[:, None, :]) // (100 + percent))
+            can = np.minimum(r[:, :, None], r[:, None, :]) >= need
+            can[:, np.arange(m), np.arange(m)] = False
+            keep[at] = can.any(2)
     yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], ["token", "set", "n_shingles", "pos"])
 
 
