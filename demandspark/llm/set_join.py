@@ -33,6 +33,8 @@ SHORT_LIST = 64
 #: Counters of the table that orders n-grams by how often they occur, and bits of the filter on wanted sets.
 COUNTERS = 1 << 18
 FILTER_WORDS = 1 << 17
+#: Two sets share at most the sum, over this many ranges of hashes, of the fewer that either has there.
+BINS = 256
 
 
 def text_sets(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
@@ -81,13 +83,15 @@ def _each_set(docs: DataFrame, emit: Callable, schema: str, n: int) -> DataFrame
 
 
 def set_names(docs: DataFrame, n: int) -> DataFrame:
-    """row, doc_id, n_shingles and set (its name) of each row."""
+    """row, doc_id, n_shingles, set (its name) and bins (how many of its hashes fall on each of BINS) of each row."""
     def emit(part, sets, seen):
+        bins = [np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=BINS).astype(np.uint32).tobytes() for s in sets]
         yield pa.RecordBatch.from_arrays(
             [part.column("row"), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([set_name(s) for s in sets], pa.int64())], ["row", "doc_id", "n_shingles", "set"])
+             pa.array([set_name(s) for s in sets], pa.int64()), pa.array(bins, pa.binary())],
+            ["row", "doc_id", "n_shingles", "set", "bins"])
 
-    return _each_set(docs, emit, "row bigint, doc_id bigint, n_shingles bigint, set bigint", n)
+    return _each_set(docs, emit, "row bigint, doc_id bigint, n_shingles bigint, set bigint, bins binary", n)
 
 
 def slot_counts(docs: DataFrame, n: int, counters: int) -> np.ndarray:
@@ -182,47 +186,72 @@ def _several(cols: list[np.ndarray], first: bool, last: bool, percent: int) -> I
     yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], ["token", "set", "n_shingles", "pos"])
 
 
-def wanted_sets(docs: DataFrame, names: DataFrame, n: int, words: int = FILTER_WORDS) -> DataFrame:
-    """set and tokens (its sorted hashes, as bytes) for the sets in ``names``. A filter of fixed size lets the
-    scan pass on little else; the join that follows is exact."""
-    bits = names.select(F.pmod("set", F.lit(words)).alias("word"), F.expr("shiftleft(1L, cast(shiftrightunsigned(set, 58) as int))").alias("bit"))
-    table = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    mask = np.zeros(words, np.uint64)
-    mask[table.column("word").to_numpy()] = table.column("bits").to_numpy().astype(np.int64).view(np.uint64)
-    mask = docs.sparkSession.sparkContext.broadcast(mask)
+class RowFilter:
+    """A bit table of fixed size over row keys: lets a scan pass on the rows of a table and little else."""
 
-    def emit(part, sets, seen):
-        out = []
-        for s in sets:
-            name = set_name(s) if len(s) else None
-            if name is None or name in seen:
-                continue
-            seen.add(name)
-            if int(mask.value[name % words]) >> ((name & (1 << 64) - 1) >> 58) & 1:
-                out.append((name, s.tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["set", "tokens"])
+    def __init__(self, rows: DataFrame, words: int = FILTER_WORDS):
+        self.words = words
+        hashed = rows.select(F.xxhash64("row").alias("h"))
+        bits = hashed.select(F.pmod("h", F.lit(words)).alias("word"), F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 58) as int))").alias("bit"))
+        table = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+        self.bits = np.zeros(words, np.int64)
+        self.bits[table.column("word").to_numpy()] = table.column("bits").to_numpy()
+
+    def apply(self, table: DataFrame) -> DataFrame:
+        """The rows of ``table`` (with row) that may be wanted, all that are among them."""
+        shared, columns = table.sparkSession.sparkContext.broadcast(self.bits), table.columns
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                h = batch.column("_h").to_numpy()
+                bits = shared.value[h % len(shared.value)].view(np.uint64)
+                yield batch.filter(pa.array((bits >> (h.view(np.uint64) >> np.uint64(58))) & np.uint64(1) == 1)).select(columns)
+
+        return table.withColumn("_h", F.xxhash64("row")).mapInArrow(run, table.schema)
 
-    found = _each_set(docs.select("text"), emit, "set bigint, tokens binary", n)
-    return found.join(names.select("set"), "set", "left_semi").groupBy("set").agg(F.max("tokens").alias("tokens"))
 
+def _sides(pairs: DataFrame, owners: DataFrame) -> DataFrame:
+    """set and row (one that has it) of both sides of the pairs."""
+    return save(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct().join(owners, "set"), "join-wanted")
 
-def verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs a, b (names of sets) that link, by their whole sets."""
-    names = save(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct(), "join-wanted")
-    sets = save(wanted_sets(docs, names, n), "join-sets")
-    both = pairs.join(sets.select(F.col("set").alias("a"), F.col("tokens").alias("x")), "a").join(
-        sets.select(F.col("set").alias("b"), F.col("tokens").alias("y")), "b")
+
+def _compared(pairs: DataFrame, held: DataFrame, good: Callable) -> DataFrame:
+    """The pairs a, b for whose sets' values in ``held`` (set, value) ``good(x, y)`` holds."""
+    both = pairs.join(held.select(F.col("set").alias("a"), F.col("value").alias("x")), "a").join(
+        held.select(F.col("set").alias("b"), F.col("value").alias("y")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for i in range(len(batch)):
-                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("x", "y"))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+            xs, ys = batch.column("x"), batch.column("y")
+            keep = [good(xs[i].as_buffer(), ys[i].as_buffer()) for i in range(len(batch))]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def verified(docs: DataFrame, names: DataFrame, owners: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs a, b (names of sets) that link: by the bound of their bins first, then by their whole sets."""
+    def enough(shared: int, x: int, y: int) -> bool:
+        return 100 * shared >= percent * (x + y - shared)
+
+    def by_bins(x, y) -> bool:
+        x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+        return enough(int(np.minimum(x, y).sum(dtype=np.int64)), int(x.sum(dtype=np.int64)), int(y.sum(dtype=np.int64)))
+
+    def by_sets(x, y) -> bool:
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        return enough(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))
+
+    wanted = RowFilter(_sides(pairs, owners))
+    bins = wanted.apply(names.select("row", "set", F.col("bins").alias("value")))
+    likely = save(_compared(pairs, save(bins.select("set", "value"), "join-bins"), by_bins), "join-likely")
+    wanted = RowFilter(_sides(likely, owners))
+
+    def emit(part, sets, seen):
+        yield pa.RecordBatch.from_arrays([pa.array([set_name(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["set", "value"])
 
-    return save(both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"), "join-links")
+    sets = _each_set(wanted.apply(docs.select("row", "text")).select("text"), emit, "set bigint, value binary", n)
+    return save(_compared(likely, save(sets, "join-sets"), by_sets), "join-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -246,8 +275,10 @@ def _possible(x: str, y: str, percent: int) -> str:
     return f"least({x}.n_shingles - {x}.pos, {y}.n_shingles - {y}.pos) >= {need}"
 
 
-def set_links(docs: DataFrame, n: int = 5, percent: int = 80, counters: int = COUNTERS) -> DataFrame:
-    """set and label for all sets that link with another set; sets with one label are connected by links."""
+def set_links(docs: DataFrame, names: DataFrame, n: int = 5, percent: int = 80, counters: int = COUNTERS) -> DataFrame:
+    """set and label for all sets that link with another set; sets with one label are connected by links.
+    ``names`` is what ``set_names`` gives for ``docs``, saved."""
+    owners = save(names.where("n_shingles > 0").groupBy("set").agg(F.min("row").alias("row")), "join-owners")
     lists = save(index_entries(docs, n, percent, counters), "join-lists")
     # answers taken over: within each list, sets of about one size against the first of them
     banded = lists.withColumn("band", F.floor(F.log2("n_shingles") * 4))
@@ -255,7 +286,7 @@ def set_links(docs: DataFrame, n: int = 5, percent: int = 80, counters: int = CO
                   .where("c > 1").select("token", "band", "f.*"), "join-firsts")
     stars = banded.alias("x").join(firsts.alias("y"), ["token", "band"]).where("x.set <> y.set").where(_possible("x", "y", percent))
     stars = save(stars.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct(), "join-stars")
-    found = verified(docs, stars, n, percent)
+    found = verified(docs, names, owners, stars, n, percent)
     labels = components(found)
     # what is left: links between components, by blocks of lists
     named = save(lists.join(labels.select(F.col("node").alias("set"), "label"), "set", "left")
@@ -274,7 +305,7 @@ def set_links(docs: DataFrame, n: int = 5, percent: int = 80, counters: int = CO
     for side in "xy":
         pairs = pairs.join(members(side), ["token", *[f"{side}_{c}" for c in ("label", "n_shingles", "pos")]])
     pairs = save(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "join-pairs")
-    more = verified(docs, pairs.join(stars, ["a", "b"], "left_anti"), n, percent)
+    more = verified(docs, names, owners, save(pairs.join(stars, ["a", "b"], "left_anti"), "join-rest"), n, percent)
     return components(found.union(more)).select(F.col("node").alias("set"), "label")
 
 
@@ -288,7 +319,7 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, counters:
     """
     keyed = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     names = save(set_names(keyed, n), "join-names")
-    labels = set_links(keyed, n, percent, counters)
+    labels = set_links(keyed, names, n, percent, counters)
     rows = names.alias("r").join(labels.alias("l"), "set", "left").select(
         "r.row", "r.doc_id", "r.n_shingles", F.when(F.col("r.n_shingles") > 0, F.coalesce("l.label", "r.set")).alias("label"))
     rows = save(rows, "join-rows")
