@@ -11,11 +11,13 @@ def _c(col) -> Column:
 
 
 def r2(y, p) -> Column:
-    """Coefficient of determination 1 - SSres/SStot as one aggregate (may be negative; not ``regr_r2``)."""
+    """Coefficient of determination 1 - SSres/SStot as one aggregate (may be negative; not ``regr_r2``).
+
+    Null where the target is constant (or there is one row), for which it is not defined."""
     y, p = _c(y), _c(p)
     ss_res = F.sum((y - p) * (y - p))
     ss_tot = F.var_pop(y) * F.count(y)
-    return F.lit(1.0) - ss_res / ss_tot
+    return F.lit(1.0) - F.try_divide(ss_res, ss_tot)
 
 
 def skew_unbiased(col) -> Column:

@@ -42,14 +42,15 @@ class LearnerSpec:
 def learner_a(numeric, categorical, max_iter=200, seed=42) -> LearnerSpec:
     """Boosted trees on numeric features plus indexed categoricals (depth 6, step 0.035)."""
     est = GBTRegressor(featuresCol=FEATURES, labelCol=TARGET, maxIter=max_iter, maxDepth=6, stepSize=0.035,
-                       maxBins=256, seed=seed, lossType="squared")
+                       maxBins=256, seed=seed, lossType="squared", validationTol=0.0)
     return LearnerSpec("model_a", est, list(numeric), list(categorical), early_stop_on_held=True)
 
 
 def learner_b(numeric, max_iter=200, seed=42) -> LearnerSpec:
     """Boosted trees on numeric features with column (0.7) and row (0.8) sampling, min 20 rows per leaf."""
     est = GBTRegressor(featuresCol=FEATURES, labelCol=TARGET, maxIter=max_iter, maxDepth=7, stepSize=0.025,
-                       featureSubsetStrategy="0.7", subsamplingRate=0.8, minInstancesPerNode=20, seed=seed)
+                       featureSubsetStrategy="0.7", subsamplingRate=0.8, minInstancesPerNode=20, seed=seed,
+                       validationTol=0.0)
     return LearnerSpec("model_b", est, list(numeric), [], early_stop_on_held=True)
 
 

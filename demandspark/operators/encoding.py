@@ -123,9 +123,6 @@ def lookup(df: DataFrame, table: DataFrame, keys, value_cols, fallback: Column,
     return df.join(t, cond, "left").select(*kept, *[F.coalesce(F.col(c), fallback).alias(c) for c in value_cols])
 
 
-# Row bound under which a per-key-set statistics table is broadcast to the join (checked on the
-# materialised table, not guessed); larger tables are sort-merge joined (AQE splits skewed partitions).
-BROADCAST_ROWS = 250_000
 ALL_FOLDS = -1
 
 
@@ -156,18 +153,15 @@ def multi_set_stats(train: DataFrame, key_sets, target: str = TARGET, n_folds: i
             .groupBy("_set", *universe, HELD)
             .agg(F.sum("_n").alias("_N"), F.sum("_s").alias("_S"), F.max("_mx").alias("_MX"),
                  F.collect_list(F.struct("_n", "_m", "_m2")).alias("_parts")))
-    mean = F.col("_S") / F.col("_N")
+    mean = F.try_divide(F.col("_S"), F.col("_N"))
     m2 = F.aggregate("_parts", F.lit(0.0),
-                     lambda acc, p: acc + p["_m2"] + p["_n"] * (p["_m"] - mean) * (p["_m"] - mean))
+                     lambda acc, p: acc + F.coalesce(p["_m2"] + p["_n"] * (p["_m"] - mean) * (p["_m"] - mean),
+                                                     F.lit(0.0)))  # a fold without a target adds nothing
     return comp.select("_set", *universe, HELD, F.col("_N").alias("_count"), mean.alias("mean"),
                        F.when(F.col("_N") > 1, F.sqrt(m2 / (F.col("_N") - 1))).alias("std"),
                        F.col("_MX").alias("max"))
 
 
-def _sized(table: DataFrame, rows: int, broadcast_rows: int) -> DataFrame:
-    return F.broadcast(table) if rows <= broadcast_rows else table
-
-
 # Both frames can flow through the lookups as one stacked frame: ``_frame`` = 0 labelled, 1 unlabelled; the
 # unlabelled rows carry fold = -1 and so match the all-folds statistics (held = -1) of every table.
 FRAME = "_frame"
@@ -203,29 +197,26 @@ def median_table(train: DataFrame, keys, target: str = TARGET, n_folds: int = N_
 
 
 def _chain_lookups(rows: DataFrame, tables, fallback: Column) -> DataFrame:
-    """Broadcast left joins of several small tables in a chain, with per-table key names so nothing
-    collides, and one final projection for the fallbacks (one plan analysis per join, not two)."""
+    """Left joins of several tables in a chain on the encoding keys themselves (null-safe), with per-table key names so
+    nothing collides, and one final projection for the fallbacks. The tables' sizes are known (they are Parquet), so
+    Spark broadcasts those under its threshold and sort-merge joins the others; the rows are the same either way."""
     base_cols = rows.columns
     values = []
-    for i, (keys, names, t, _) in enumerate(tables):
+    for i, (keys, names, t) in enumerate(tables):
         tk = t.select(*[F.col(k).alias(f"_k{i}_{k}") for k in keys], F.col(HELD).alias(f"_h{i}"), *names)
         cond = [F.col(k).eqNullSafe(F.col(f"_k{i}_{k}")) for k in keys] + [F.col(FOLD) == F.col(f"_h{i}")]
-        rows = rows.join(F.broadcast(tk), cond, "left")
+        rows = rows.join(tk, cond, "left")
         values += names
     kept = [c for c in base_cols if c not in values]
     return rows.select(*kept, *[F.coalesce(F.col(n), fallback).alias(n) for n in values])
 
 
-def encode_rows(rows: DataFrame, specs=ENCODING_SPECS, target: str = TARGET, n_folds: int = N_FOLDS,
-                broadcast_rows: int = BROADCAST_ROWS, row_key: str = ROW_KEY) -> DataFrame:
+def encode_rows(rows: DataFrame, specs=ENCODING_SPECS, target: str = TARGET, n_folds: int = N_FOLDS) -> DataFrame:
     """Adds every spec's column to a stacked frame: out-of-fold for labelled rows, all-folds for the others.
 
-    Mean / std / max of all key sets come from one materialised ``multi_set_stats`` table; medians from one
-    distributed exact-quantile pass per key set. Each table is counted: tables within ``broadcast_rows`` are
-    broadcast-joined straight onto the wide frame (the joins pipeline in one stage, no shuffle of the frame);
-    larger ones are sort-merge joined onto a narrow (row key, frame, fold, keys) projection, whose result
-    returns to the wide frame with a single join on the row key — the wide frame is shuffled once, not once
-    per large key set.
+    Mean / std / max of all key sets come from one materialised ``multi_set_stats`` table, of which each lookup reads
+    its own part; medians from one distributed exact-quantile pass per key set. Rows are never joined back by a row
+    key, which may be null or repeated.
     """
     from demandspark.session import cut_lineage
 
@@ -237,33 +228,22 @@ def encode_rows(rows: DataFrame, specs=ENCODING_SPECS, target: str = TARGET, n_f
     algebraic = [(keys, [a for a in aggs if a != "median"]) for keys, aggs in groups.items()
                  if any(a != "median" for a in aggs)]
     if algebraic:
-        stats = cut_lineage(multi_set_stats(stats_src, [k for k, _ in algebraic], target, n_folds))
-        sizes = {r["_set"]: r["n"] for r in stats.groupBy("_set").agg(F.count(F.lit(1)).alias("n")).collect()}
+        stats = cut_lineage(multi_set_stats(stats_src, [k for k, _ in algebraic], target, n_folds), "_set")
         for i, (keys, aggs) in enumerate(algebraic):
             names = [_name(keys, a) for a in aggs]
             t = stats.filter(F.col("_set") == i).select(*keys, HELD, *[F.col(a).alias(n) for a, n in zip(aggs, names)])
-            tables.append((keys, names, t, sizes.get(i, 0)))
+            tables.append((keys, names, t))
     for keys, aggs in groups.items():
         if "median" in aggs:
             med = cut_lineage(median_table(stats_src, keys, target, n_folds))
-            tables.append((keys, [_name(keys, "median")], med, med.count()))
+            tables.append((keys, [_name(keys, "median")], med))
 
-    small = [x for x in tables if x[3] <= broadcast_rows]
-    large = [x for x in tables if x[3] > broadcast_rows]
-    if small:
-        rows = _chain_lookups(rows, small, gm)
-    if large:
-        narrow = rows.select(row_key, FRAME, FOLD, *dict.fromkeys(k for keys, _, _, _ in large for k in keys))
-        for keys, names, t, _ in large:
-            narrow = lookup(narrow, t, keys, names, gm, FOLD)
-        found = narrow.select(row_key, FRAME, *[n for _, names, _, _ in large for n in names])
-        rows = rows.join(found, [row_key, FRAME], "left")
-    return rows
+    return _chain_lookups(rows, tables, gm)
 
 
 def target_encode(train: DataFrame, test: DataFrame, specs=ENCODING_SPECS, target: str = TARGET,
-                  n_folds: int = N_FOLDS, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame, list[str]]:
+                  n_folds: int = N_FOLDS) -> tuple[DataFrame, DataFrame, list[str]]:
     """Adds every spec's column: out-of-fold on ``train`` (needs the ``fold`` column), full-train on ``test``."""
-    rows = encode_rows(stack_frames(train, test), specs, target, n_folds, broadcast_rows)
+    rows = encode_rows(stack_frames(train, test), specs, target, n_folds)
     tr, te = split_frames(rows, train.columns, test.columns)
     return tr, te, [s.name for s in specs]

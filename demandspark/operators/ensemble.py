@@ -59,7 +59,7 @@ def grid(stats: DataFrame, steps: int = GRID_STEPS) -> DataFrame:
     w2 = F.col("_j") / F.lit(float(steps))
     w3 = (F.lit(steps) - F.col("_i") - F.col("_j")) / F.lit(float(steps))
     pts = pts.select("*", w1.alias("w1"), w2.alias("w2"), w3.alias("w3"))
-    return pts.select("w1", "w2", "w3", (F.lit(1.0) - _quad(F.col("w1"), F.col("w2"), F.col("w3")) / F.col("sstot"))
+    return pts.select("w1", "w2", "w3", (F.lit(1.0) - F.try_divide(_quad(F.col("w1"), F.col("w2"), F.col("w3")), F.col("sstot")))
                       .alias("r2"))
 
 
@@ -79,12 +79,12 @@ def _face_candidates() -> Column:
         cands.append((w, _g(i, i)))
     for i, j in ((1, 2), (1, 3), (2, 3)):
         den = _g(i, i) + _g(j, j) - F.lit(2.0) * _g(i, j)
-        wi = (_g(j, j) - _g(i, j)) / den
-        wj = (_g(i, i) - _g(i, j)) / den
+        wi = F.try_divide(_g(j, j) - _g(i, j), den)
+        wj = F.try_divide(_g(i, i) - _g(i, j), den)
         w = [zero, zero, zero]
         w[i - 1], w[j - 1] = wi, wj
         cands.append((w, F.when((den > 0) & (wi >= 0) & (wj >= 0),
-                                (_g(i, i) * _g(j, j) - _g(i, j) * _g(i, j)) / den)))
+                                F.try_divide(_g(i, i) * _g(j, j) - _g(i, j) * _g(i, j), den))))
     # full support: adj(G)·1 / 1ᵀadj(G)1, objective det / 1ᵀadj(G)1
     c11 = _g(2, 2) * _g(3, 3) - _g(2, 3) * _g(2, 3)
     c12 = -(_g(1, 2) * _g(3, 3) - _g(1, 3) * _g(2, 3))
@@ -96,7 +96,7 @@ def _face_candidates() -> Column:
     s = r1 + r2 + r3
     det = _g(1, 1) * c11 + _g(1, 2) * c12 + _g(1, 3) * c13
     feasible = (det > 0) & (s > 0) & (r1 >= 0) & (r2 >= 0) & (r3 >= 0)
-    cands.append(([r1 / s, r2 / s, r3 / s], F.when(feasible, det / s)))
+    cands.append(([F.try_divide(r, s) for r in (r1, r2, r3)], F.when(feasible, F.try_divide(det, s))))
     return F.array(*[F.struct(w[0].alias("w1"), w[1].alias("w2"), w[2].alias("w3"), obj.alias("obj"))
                      for w, obj in cands])
 
@@ -105,7 +105,7 @@ def optimal_weights(stats: DataFrame) -> DataFrame:
     """(w1, w2, w3, r2): exact simplex optimum of the blend R² (unclipped blend, as the search scores)."""
     c = stats.select("sstot", F.explode(_face_candidates()).alias("_c")).select("sstot", "_c.*")
     best = c.filter(F.col("obj").isNotNull()).orderBy(F.col("obj").asc(), F.col("w1").desc(), F.col("w2").desc()).limit(1)
-    return best.select("w1", "w2", "w3", (F.lit(1.0) - F.col("obj") / F.col("sstot")).alias("r2"))
+    return best.select("w1", "w2", "w3", (F.lit(1.0) - F.try_divide("obj", "sstot")).alias("r2"))
 
 
 def blend(df: DataFrame, weights: DataFrame, preds=PREDS, out: str = "blend", clipped: str | None = "blend_clipped",

@@ -30,7 +30,7 @@ V1_BASE_NUM = BASE_NUM[:40]
 LAG_NUM = [LAG, IMPUTED] + stat_names() + [offset_name(o) for o in OFFSETS]
 # Categoricals given to the categorical-aware learner (v1 adds the cell and its prefixes).
 V2_CAT = list(CATEGORICAL_COLS)
-V1_CAT = ["RoadType", "Weather", "LargeVehicles", "Landmarks", "geohash", "gh_prefix4", "gh_prefix5", "gh_prefix6"]
+V1_CAT = ["geohash", "gh_prefix4", "gh_prefix5", "gh_prefix6", "RoadType", "Weather", "LargeVehicles", "Landmarks"]
 SENTINEL = -999.0
 
 

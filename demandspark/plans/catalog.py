@@ -51,7 +51,9 @@ def finish(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.col(f.name).cast("double")
             twelve = F.floor(c * F.lit(1e12) + F.lit(0.5))
-            cols.append((F.floor(twelve / F.lit(1000.0) + F.lit(0.5)) / F.lit(1e9)).alias(f.name))
+            nine = F.floor(twelve / F.lit(1000.0) + F.lit(0.5)) / F.lit(1e9)
+            # a long holds 12 digits of values up to some 9e6; larger ones and NaN stay as they are
+            cols.append(F.when(F.isnan(c) | (F.abs(c) >= 9e6), c).otherwise(nine).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -495,7 +497,7 @@ def _te_oof(specs):
 
 for _name, _sp in TE_QUERIES.items():
     _names = [s.name for s in _sp]
-    Q[_name] = Query(_te_oof(_sp), sql_finish(f"SELECT a.Index, {O.te_select(_sp, True)} FROM ftrain a", _names), _names)
+    Q[_name] = Query(_te_oof(_sp), sql_finish(O.te_select(_sp, "ftrain", True), _names), _names)
 
 TE_TEST = _specs("te__geohash__mean", "te__geohash__std", "te__geohash__max", "te__geohash__median",
                  "te__geohash__Weather__hour__mean")
@@ -506,7 +508,7 @@ def _te_test(spark, d):
     return finish(fr.test.select(ROW_KEY, *fr.te_cols))
 
 
-Q["te_test_stats"] = Query(_te_test, sql_finish(f"SELECT a.Index, {O.te_select(TE_TEST, False)} FROM ftest a",
+Q["te_test_stats"] = Query(_te_test, sql_finish(O.te_select(TE_TEST, "ftest", False),
                                                 [s.name for s in TE_TEST]))
 
 ALL_TE = [s.name for s in ENCODING_SPECS]
@@ -518,8 +520,8 @@ def _te_all(spark, d):
 
 
 Q["te_all"] = Query(_te_all, sql_finish(
-    f"SELECT 'train' AS frame, a.Index, {O.te_select(ENCODING_SPECS, True)} FROM ftrain a "
-    f"UNION ALL SELECT 'test' AS frame, a.Index, {O.te_select(ENCODING_SPECS, False)} FROM ftest a", ALL_TE))
+    O.te_select(ENCODING_SPECS, "ftrain", True, "'train' AS frame, ")
+    + " UNION ALL " + O.te_select(ENCODING_SPECS, "ftest", False, "'test' AS frame, "), ALL_TE))
 
 
 # ---- domain features ------------------------------------------------------------------------------------------
@@ -543,8 +545,8 @@ def _dom_frames(spark, d, lags: bool) -> Frames:
 def _dom_sql(cols, lags: bool) -> str:
     src_tr, src_te = ("ltrain", "ltest") if lags else ("ftrain", "ftest")
     ctes = (O.lag_ctes() + ",\n" if lags else "") + (
-        f"etrain AS (SELECT a.*, {O.te_select(O.DOM_SPECS, True)} FROM {src_tr} a),\n"
-        f"etest AS (SELECT a.*, {O.te_select(O.DOM_SPECS, False)} FROM {src_te} a),\n"
+        f"etrain AS ({O.te_rows(O.DOM_SPECS, src_tr, True)}),\n"
+        f"etest AS ({O.te_rows(O.DOM_SPECS, src_te, False)}),\n"
         f"dtrain AS ({O.lag_domain_select('(' + O.domain_select('etrain') + ')') if lags else O.domain_select('etrain')}),\n"
         f"dtest AS ({O.lag_domain_select('(' + O.domain_select('etest') + ')') if lags else O.domain_select('etest')})")
     return sql_finish(sql_both(", ".join([ROW_KEY] + cols), "dtrain", "dtest"), cols, ctes)

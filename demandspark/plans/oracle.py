@@ -12,7 +12,7 @@ from demandspark.operators.encoding import ENCODING_SPECS
 from demandspark.operators.lags import OFFSETS, lag_names, stat_names
 
 PANEL = """
-select concat('tdr', cast(u % 2 as string), cast(cast(floor(u / 4) as int) as string), cast(u as string)) as geohash,
+select lower(to_base(u, 32, 6)) as geohash,
        cast(dy as int) as day,
        concat(cast(cast(floor(m / 60) as int) as string), ':', lpad(cast(m % 60 as string), 2, '0')) as timestamp,
        least(avg(value) / 500, cast(1 as double)) as demand,
@@ -25,7 +25,7 @@ select concat('tdr', cast(u % 2 as string), cast(cast(floor(u / 4) as int) as st
        cast(nullif(max(k) % 6, 0) as double) as NumberofLanes,
        case when min(k) % 11 <> 0 then cast(min(k) * 2 - 60 as double) end as Temperature,
        min(event_id) as Index
-from (select event_id, event_type, value, user_id, user_id % 10 as u, day(ts) as dy,
+from (select event_id, event_type, value, user_id, user_id as u, date_diff('day', DATE '2024-01-01', cast(ts as date)) + 1 as dy,
              cast(hour(ts) * 60 + floor(minute(ts) / 15) * 15 as int) as m,
              cast(regexp_extract(props, '([0-9]+)', 1) as int) as k
       from events) e
@@ -93,8 +93,8 @@ def base_ctes() -> str:
     return f"""panel AS ({PANEL}),
 pp AS (SELECT *, {H} * 60 + {M} AS _tm FROM panel),
 train AS (SELECT {", ".join(RAW)} FROM pp
-          WHERE geohash <> 'tdr117' AND (day <= 29 OR (day = 30 AND _tm < 135))),
-test AS (SELECT {raw_test} FROM pp WHERE geohash <> 'tdr103' AND day = 30 AND _tm BETWEEN 135 AND 825),
+          WHERE day <= 29 OR (day = 30 AND _tm < 135)),
+test AS (SELECT {raw_test} FROM pp WHERE day = 30 AND _tm BETWEEN 135 AND 825),
 ftrain AS (SELECT *, {FOLD} AS fold FROM {_features("train")}),
 ftest AS (SELECT * FROM {_features("test")}),
 gm AS (SELECT avg(demand) AS gm FROM train)"""
@@ -105,10 +105,6 @@ def with_base(body: str, extra_ctes: str = "") -> str:
     return f"WITH {ctes}\n{body}"
 
 
-def r9(expr: str, name: str | None = None) -> str:
-    return f"round({expr}, 9) + 0.0 AS {name or expr}"
-
-
 # ---- lag CTEs -------------------------------------------------------------------------------------------
 
 def lag_ctes(fallback: str = "0.09394::DOUBLE", src_train: str = "ftrain", src_test: str = "ftest") -> str:
@@ -148,26 +144,26 @@ AGG_SQL = {"mean": "avg(b.demand)", "std": "stddev_samp(b.demand)", "max": "max(
            "median": "quantile_cont(b.demand, 0.5)"}
 
 
-def _key_match(keys) -> str:
-    return " AND ".join(f"b.{k} IS NOT DISTINCT FROM a.{k}" for k in keys)
-
-
-def te_oof_expr(keys, agg: str) -> str:
-    return (f"coalesce((SELECT {AGG_SQL[agg]} FROM ftrain b WHERE {_key_match(keys)} AND b.fold <> a.fold), "
-            f"(SELECT gm FROM gm))")
-
-
-def te_full_expr(keys, agg: str) -> str:
-    return f"coalesce((SELECT {AGG_SQL[agg]} FROM ftrain b WHERE {_key_match(keys)}), (SELECT gm FROM gm))"
-
-
-def te_name(keys, agg) -> str:
-    return "te__" + "__".join(keys) + "__" + agg
+def te_rows(specs, src: str, oof: bool) -> str:
+    """``src`` with one column per encoding: a group-by per key set (and held fold), joined back on the keys."""
+    joins, cols = [], []
+    for i, s in enumerate(specs):
+        keys = ", ".join(f"b.{k}" for k in s.keys)
+        match = " AND ".join(f"t{i}.{k} IS NOT DISTINCT FROM a.{k}" for k in s.keys)
+        if oof:
+            table = (f"SELECT {keys}, h.held, {AGG_SQL[s.agg]} AS v FROM ftrain b "
+                     f"JOIN (SELECT unnest(range(5)) AS held) h ON b.fold <> h.held GROUP BY {keys}, h.held")
+            match += f" AND t{i}.held = a.fold"
+        else:
+            table = f"SELECT {keys}, {AGG_SQL[s.agg]} AS v FROM ftrain b GROUP BY {keys}"
+        joins.append(f"LEFT JOIN ({table}) t{i} ON {match}")
+        cols.append(f"coalesce(t{i}.v, (SELECT gm FROM gm)) AS {s.name}")
+    return f"SELECT a.*, {', '.join(cols)} FROM {src} a {' '.join(joins)}"
 
 
-def te_select(specs, oof: bool) -> str:
-    f = te_oof_expr if oof else te_full_expr
-    return ", ".join(f"{f(s.keys, s.agg)} AS {s.name}" for s in specs)
+def te_select(specs, src: str, oof: bool, prefix: str = "") -> str:
+    """Only the row key and the encodings (and the constants of ``prefix``)."""
+    return f"SELECT {prefix}Index, {', '.join(s.name for s in specs)} FROM ({te_rows(specs, src, oof)})"
 
 
 # ---- domain ---------------------------------------------------------------------------------------------
@@ -213,8 +209,8 @@ def full_v2_ctes() -> str:
     """frequency + lag CTEs + OOF encodings + domain features for both frames (all 34 encodings)."""
     return f"qtrain AS ({freq_select('ftrain')}),\nqtest AS ({freq_select('ftest')}),\n" + lag_ctes(
         src_train="qtrain", src_test="qtest") + f""",
-etrain AS (SELECT a.*, {te_select(ENCODING_SPECS, True)} FROM ltrain a),
-etest AS (SELECT a.*, {te_select(ENCODING_SPECS, False)} FROM ltest a),
+etrain AS ({te_rows(ENCODING_SPECS, 'ltrain', True)}),
+etest AS ({te_rows(ENCODING_SPECS, 'ltest', False)}),
 dtrain AS ({lag_domain_select(f"({domain_select('etrain')})")}),
 dtest AS ({lag_domain_select(f"({domain_select('etest')})")})"""
 
@@ -222,11 +218,9 @@ dtest AS ({lag_domain_select(f"({domain_select('etest')})")})"""
 def ens_ctes() -> str:
     """Labelled rows with the three deterministic stand-in predictors p1..p3."""
     return lag_ctes() + f""",
-pred AS (SELECT a.Index, a.geohash, a.hour, a.RoadType, a.demand,
-                {te_oof_expr(("geohash", "hour"), "mean")} AS p1,
-                {te_oof_expr(("geohash",), "mean")} AS p2,
-                a.demand_lag_1day_imputed AS p3
-         FROM ltrain a),
+pred AS (SELECT Index, geohash, hour, RoadType, demand, te__geohash__hour__mean AS p1, te__geohash__mean AS p2,
+                demand_lag_1day_imputed AS p3
+         FROM ({te_rows(ENS_SPECS, 'ltrain', True)})),
 grid AS (SELECT i / 20 AS w1, j / 20 AS w2, (20 - i - j) / 20 AS w3
          FROM range(0, 21) gi(i), range(0, 21) gj(j) WHERE i + j <= 20),
 scores AS (SELECT g.w1, g.w2, g.w3,
@@ -239,7 +233,7 @@ def full_v1_ctes() -> str:
     """v1 flow: frequency + OOF encodings + domain features (no reference-day lags)."""
     return f"""qtrain AS ({freq_select('ftrain')}),
 qtest AS ({freq_select('ftest')}),
-etrain AS (SELECT a.*, {te_select(ENCODING_SPECS, True)} FROM qtrain a),
-etest AS (SELECT a.*, {te_select(ENCODING_SPECS, False)} FROM qtest a),
+etrain AS ({te_rows(ENCODING_SPECS, 'qtrain', True)}),
+etest AS ({te_rows(ENCODING_SPECS, 'qtest', False)}),
 dtrain AS ({domain_select('etrain')}),
 dtest AS ({domain_select('etest')})"""

@@ -7,17 +7,17 @@ cluster names none (as in local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the operators rely on. Shuffle partitions are sized per workload by the caller; AQE coalesces
 # small shuffles and splits skewed join partitions at run time.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.driver.memory": "16g",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -68,28 +68,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="demandspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder (survives executor loss, truncates the plan).
-
-    The frame is persisted first: an RDD checkpoint otherwise recomputes the whole plan a second time for
-    the checkpoint writer. The cache is released once the files are written; reads then come from the
-    reliable checkpoint files."""
-    from pyspark import StorageLevel
-
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist(blocking=False)
-    return out
-
-
-def default_parallelism_hint() -> int:
-    return int(os.environ.get("BENCH_CPUS", "8"))
+def cut_lineage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back: survives executor loss, truncates the
+    plan, and later steps read only the columns (and, with ``partition_by``, the part) they need."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/frame-{uuid.uuid4().hex}"
+    df.write.parquet(path, partitionBy=partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -21,7 +21,9 @@ EVENT_TYPE_TO_ROAD = {"click": "Highway", "error": "Street", "purchase": "Reside
 K_MOD6_TO_WEATHER = {0: "Sunny", 1: "Foggy", 2: "Rainy", 3: "Snowy", 4: "Windy"}
 USER_MOD3_TO_LARGE_VEHICLES = {0: "Allowed", 1: "Not Allowed"}
 USER_MOD3_TO_LANDMARKS = {0: "Yes", 1: "No"}
-CELL_COUNT = 10
+#: Day 1 of the panel's day numbers, and the fewest characters of a cell (cells nest by prefix).
+FIRST_DAY = "2024-01-01"
+CELL_CHARS = 6
 SLOT_MINUTES = 15
 DEMAND_SCALE = 500.0
 
@@ -34,8 +36,6 @@ class PanelBinding:
     target_day: int = 30              # the day to predict (day 49)
     target_start: int = 135           # first target-day slot of the unlabelled frame (2:15)
     target_end: int = 825             # last target-day slot of the unlabelled frame (13:45)
-    unseen_cell: str = "tdr117"       # cell kept out of the labelled frame (fallback paths)
-    absent_cell: str = "tdr103"       # cell kept out of the unlabelled frame (overlap < 100 %)
 
 
 BINDING = PanelBinding()
@@ -48,12 +48,23 @@ def _case(col: Column, mapping: dict) -> Column:
     return expr
 
 
+def cell_of(user_id: Column) -> Column:
+    """Cell of a user: the id in base 32, at least CELL_CHARS characters. Every user is a cell of its own, and
+    cells with a common prefix are ids from one range."""
+    digits = F.lower(F.conv(user_id.cast("string"), 10, 32))
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(CELL_CHARS)), "0")
+
+
+def day_number(ts: Column) -> Column:
+    """Days from FIRST_DAY on, which is day 1."""
+    return (F.datediff(ts, F.lit(FIRST_DAY).cast("date")) + 1).cast("int")
+
+
 def panel_from_events(events: DataFrame) -> DataFrame:
-    u = F.col("user_id") % CELL_COUNT
     e = events.select(
         "event_id", "event_type", "value", "user_id",
-        u.alias("u"),
-        F.dayofmonth("ts").alias("dy"),
+        F.col("user_id").alias("u"),
+        day_number(F.col("ts")).alias("dy"),
         (F.hour("ts") * 60 + F.floor(F.minute("ts") / SLOT_MINUTES) * SLOT_MINUTES).cast("int").alias("m"),
         F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
     )
@@ -66,11 +77,9 @@ def panel_from_events(events: DataFrame) -> DataFrame:
         F.max("user_id").alias("_umax"),
         F.min("event_id").alias("Index"),
     )
-    u = F.col("u")
     m = F.col("m")
     return g.select(
-        F.concat(F.lit("tdr"), (u % 2).cast("string"), F.floor(u / 4).cast("int").cast("string"),
-                 u.cast("string")).alias("geohash"),
+        cell_of(F.col("u")).alias("geohash"),
         F.col("dy").cast("int").alias("day"),
         F.concat(F.floor(m / 60).cast("int").cast("string"), F.lit(":"),
                  F.lpad((m % 60).cast("string"), 2, "0")).alias("timestamp"),
@@ -88,11 +97,8 @@ def panel_from_events(events: DataFrame) -> DataFrame:
 def split_panel(panel: DataFrame, binding: PanelBinding = BINDING) -> tuple[DataFrame, DataFrame]:
     tm = slot_minutes("timestamp")
     b = binding
-    train = panel.filter((F.col("geohash") != b.unseen_cell)
-                         & ((F.col("day") <= b.ref_day) | ((F.col("day") == b.target_day) & (tm < b.target_start))))
-    test = (panel.filter((F.col("geohash") != b.absent_cell) & (F.col("day") == b.target_day)
-                         & tm.between(b.target_start, b.target_end))
-            .drop("demand"))
+    train = panel.filter((F.col("day") <= b.ref_day) | ((F.col("day") == b.target_day) & (tm < b.target_start)))
+    test = panel.filter((F.col("day") == b.target_day) & tm.between(b.target_start, b.target_end)).drop("demand")
     return train, test
 
 

@@ -22,8 +22,8 @@ from demandspark.operators import features as fe
 from demandspark.operators.features import frequency_tables
 from demandspark.operators.lags import IMPUTED, REFERENCE_FALLBACK, cell_stats, lag_table, reference_rows, stat_names
 from demandspark.session import ensure_checkpoint_dir
-from demandspark.sources.panel import (CELL_COUNT, DEMAND_SCALE, EVENT_TYPE_TO_ROAD, K_MOD6_TO_WEATHER, SLOT_MINUTES,
-                                       USER_MOD3_TO_LANDMARKS, USER_MOD3_TO_LARGE_VEHICLES, _case)
+from demandspark.sources.panel import (DEMAND_SCALE, EVENT_TYPE_TO_ROAD, K_MOD6_TO_WEATHER, SLOT_MINUTES,
+                                       USER_MOD3_TO_LANDMARKS, USER_MOD3_TO_LARGE_VEHICLES, _case, cell_of, day_number)
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -52,7 +52,7 @@ def panel_stream(events: DataFrame, watermark: str | None = "30 minutes") -> Dat
         events = events.withWatermark("ts", watermark)
     e = events.select(
         "ts", "event_id", "event_type", "value", "user_id",
-        (F.col("user_id") % CELL_COUNT).alias("u"),
+        F.col("user_id").alias("u"),
         F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"))
     g = e.groupBy(F.window("ts", f"{SLOT_MINUTES} minutes").alias("w"), "u").agg(
         F.avg("value").alias("_avg"), F.min("event_type").alias("_etype"), F.min("k").alias("_kmin"),
@@ -60,11 +60,9 @@ def panel_stream(events: DataFrame, watermark: str | None = "30 minutes") -> Dat
         F.min("event_id").alias("Index"))
     start = F.col("w.start")
     m = F.hour(start) * 60 + F.minute(start)
-    u = F.col("u")
     return g.select(
-        F.concat(F.lit("tdr"), (u % 2).cast("string"), F.floor(u / 4).cast("int").cast("string"),
-                 u.cast("string")).alias("geohash"),
-        F.dayofmonth(start).cast("int").alias("day"),
+        cell_of(F.col("u")).alias("geohash"),
+        day_number(start).alias("day"),
         F.concat(F.floor(m / 60).cast("int").cast("string"), F.lit(":"),
                  F.lpad((m % 60).cast("string"), 2, "0")).alias("timestamp"),
         F.least(F.col("_avg") / DEMAND_SCALE, F.lit(1.0)).alias("demand"),

@@ -105,13 +105,21 @@ def test_duplicate_reference_slot_raises(spark):
         lag_table(df).collect()
 
 
-def test_large_table_path_equals_broadcast_path(spark):
+def test_encodings_do_not_depend_on_the_join(spark):
     df = _frame(spark)
     specs = [EncodingSpec(("g",), "mean"), EncodingSpec(("g", "h"), "std"), EncodingSpec(("g",), "median")]
-    a, _, names = target_encode(df, df.drop("demand", FOLD), specs)
-    b, _, _ = target_encode(df, df.drop("demand", FOLD), specs, broadcast_rows=0)
-    plan = b._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan or "AdaptiveSparkPlan" in plan
-    ra = sorted(tuple(r) for r in a.select("Index", *names).collect())
-    rb = sorted(tuple(r) for r in b.select("Index", *names).collect())
-    assert ra == rb
+    odd = df.withColumn("Index", F.when(F.col("Index") % 2 == 0, F.col("Index")))  # null and repeated row keys
+    got = []
+    for threshold in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        out, _, names = target_encode(odd, odd.drop("demand", FOLD), specs)
+        got.append(sorted(str(tuple(r)) for r in out.select("Index", *names).collect()))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got[0] == got[1] and len(got[0]) == df.count()
+
+
+def test_std_ignores_a_fold_without_targets(spark):
+    rows = [(1, "a", None, 0), (2, "a", 0.1, 1), (3, "a", 0.5, 2), (4, "a", 0.3, 3)]
+    df = spark.createDataFrame(rows, f"Index long, g string, demand double, {FOLD} int")
+    out, _, names = target_encode(df, df.drop("demand", FOLD), [EncodingSpec(("g",), "std")])
+    assert {r["Index"]: round(r[names[0]], 9) for r in out.collect()}[1] == 0.2

@@ -74,3 +74,14 @@ def test_write_submission_csv(spark, tmp_path):
     sinks.write_submission(sub, out, inputs=inputs, expected_rows=2)
     back = spark.read.option("header", True).csv(out)
     assert back.columns == ["Index", "demand"] and back.count() == 2
+
+
+def test_undefined_scores_are_null_and_equal_predictors_do_not_fail(spark):
+    from demandspark.functions.metrics import r2
+    from demandspark.operators import ensemble as ens
+    same = spark.createDataFrame([(0.5, 0.4), (0.5, 0.6)], "y double, p double")
+    assert same.agg(r2("y", "p").alias("r")).first()["r"] is None
+    rows = [(i / 10, i / 12, i / 12, i / 12) for i in range(8)]
+    df = spark.createDataFrame(rows, "demand double, p1 double, p2 double, p3 double")
+    best = ens.optimal_weights(ens.gram_stats(df, "demand")).first()
+    assert abs(best["w1"] + best["w2"] + best["w3"] - 1) < 1e-9 and best["r2"] > 0.9

@@ -49,3 +49,28 @@ def test_csv_round_trip_with_declared_schema(spark, tmp_path):
     back = read_train_csv(spark, path)
     assert back.columns == cols
     assert back.exceptAll(train.select(*cols)).count() == 0 and train.select(*cols).exceptAll(back).count() == 0
+
+
+def test_csv_without_row_key_and_with_nan(spark, tmp_path):
+    from demandspark.sources.readers import nan_to_null, read_test_csv
+    from demandspark.sources.schemas import ROW_KEY, TEST_SCHEMA
+    names = [f.name for f in TEST_SCHEMA.fields if f.name != ROW_KEY]
+    row = ["1" if f.dataType.typeName() != "string" else "7:15" for f in TEST_SCHEMA.fields if f.name != ROW_KEY]
+    (tmp_path / "t.csv").write_text(",".join(names) + "\n" + ",".join(row) + "\n")
+    got = read_test_csv(spark, str(tmp_path / "t.csv"))
+    assert got.columns == TEST_SCHEMA.fieldNames() and got.first()[ROW_KEY] is not None
+    df = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
+    assert [r.x for r in nan_to_null(df).collect()] == [None, 1.0]
+
+
+def test_panel_grows_with_events(spark):
+    from pyspark.sql import functions as F
+
+    from demandspark.sources.panel import panel_from_events
+    events = spark.range(60_000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1704067200) + (F.col("id") % 4000) * 900).alias("ts"),
+        F.lit("click").alias("event_type"), F.lit(10.0).alias("value"), (F.col("id") % 50_021).alias("user_id"),
+        F.lit('{"k": 3}').alias("props"))
+    panel = panel_from_events(events)
+    assert panel.count() == 60_000 and panel.select("geohash").distinct().count() == 50_021
+    assert panel.agg(F.max("day")).first()[0] == 42
