@@ -406,7 +406,7 @@ Q["lag_correlation"] = Query(
 Q["lag_baseline_r2"] = Query(
     lambda s, d: finish(_pairs(s, d).agg(F.count(F.lit(1)).alias("pairs"), r2("demand_target", "demand_ref").alias("r2"))),
     sql_finish(f"SELECT count(*) AS pairs, 1 - sum((demand_target - demand_ref) ^ 2) / "
-               f"(var_pop(demand_target) * count(demand_target)) AS r2 FROM ({PAIRS_SQL})", ["r2"]))
+               f"nullif(var_pop(demand_target) * count(demand_target), 0) AS r2 FROM ({PAIRS_SQL})", ["r2"]))
 
 STATS = stat_names()
 LAGS = lag_names()
