@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cmp_to_key
 
 import numpy as np
 import pyarrow as pa
@@ -86,7 +87,8 @@ def bags(texts: DataFrame) -> DataFrame:
 def train(sample: list[tuple[int, np.ndarray, np.ndarray]], prior: float, dims: int = 8, epochs: int = 8, rate: float = 0.1,
           scale: float = 10.0, batch: int = 32, least: int = 6, seed: int = 7) -> Model:
     """Embeddings and softmax by minibatch Adagrad on the cross-entropy; classes weigh the same in training, and
-    ``prior`` (share of toxic texts) is put back into the bias at the end. ``sample``: label, buckets, counts."""
+    ``prior`` (share of toxic texts) is put back into the bias at the end. ``sample``: label, buckets, counts; it is
+    thinned out in place."""
     rng = np.random.default_rng(seed)
     n = 1 << BUCKET_BITS
     e = rng.normal(0, 0.05, (n, dims)).astype(np.float32)
@@ -97,7 +99,8 @@ def train(sample: list[tuple[int, np.ndarray, np.ndarray]], prior: float, dims:
     texts = np.bincount(np.concatenate([s[1] for s in sample] or [np.zeros(0, np.int32)]), minlength=n)
     common = texts >= least
     e[~common] = 0
-    sample = [(y, i[common[i]], c[common[i]] / c.sum()) for y, i, c in sample]
+    for at, (y, i, c) in enumerate(sample):  # in place, so that the longer arrays go
+        sample[at] = (y, i[common[i]], c[common[i]] / c.sum())
     sample = [s for s in sample if len(s[1])]
     labels = np.array([s[0] for s in sample], np.int64)
     share = [max(1, int((labels == c).sum())) for c in (0, 1)]
@@ -151,10 +154,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # at most ``sample`` rows of two numbers
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
     table = bags(texts).toArrow()
-    rows = [(y, np.frombuffer(i, np.int32), np.frombuffer(c, np.float32)) for y, i, c in
-            zip(*(table.column(c).to_pylist() for c in ("label", "buckets", "counts")), strict=True)]
-    rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))  # whatever order the tasks ended in
-    return train(rows, counts.get(1, 0) / max(1, sum(counts.values())))
+    rows = [(y.as_py(), np.frombuffer(i.as_buffer(), np.int32), np.frombuffer(c.as_buffer(), np.float32)) for y, i, c in
+            zip(*(table.column(c) for c in ("label", "buckets", "counts")), strict=True)]
+    del table
+    rows.sort(key=cmp_to_key(_order))  # whatever order the tasks ended in
+    model = train(rows, counts.get(1, 0) / max(1, sum(counts.values())))
+    del rows
+    pa.default_memory_pool().release_unused()
+    return model
+
+
+def _order(x: tuple, y: tuple) -> int:
+    """Order of sample rows; contents are looked at only where label and length are the same."""
+    a, b = (x[0], len(x[1])), (y[0], len(y[1]))
+    if a == b:
+        a, b = ([r[1].tobytes(), r[2].tobytes()] for r in (x, y))
+    return (a > b) - (a < b)
 
 
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
