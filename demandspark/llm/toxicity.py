@@ -142,7 +142,7 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labelled rows (``labels``: doc_id, toxic) that are not held out. At most ``sample`` of
-    them are used, taken by a hash of their id; rows without a label, or with one besides 0 and 1, are left out.
+    them are used, taken by a hash of their id, the largest text of a repeated id; rows without a label, or with one besides 0 and 1, are left out.
     Without both classes the model gives every text the prior."""
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("label"))
@@ -151,17 +151,28 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     for label, most in ((1, sample // 2), (0, sample - min(sample // 2, counts.get(1, 0)))):
         some = known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         chosen = some if chosen is None else chosen.union(some)
-    # at most ``sample`` rows of two numbers
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
-    table = bags(texts).toArrow()
-    rows = [(y.as_py(), np.frombuffer(i.as_buffer(), np.int32), np.frombuffer(c.as_buffer(), np.float32)) for y, i, c in
-            zip(*(table.column(c) for c in ("label", "buckets", "counts")), strict=True)]
-    del table
-    rows.sort(key=cmp_to_key(_order))  # whatever order the tasks ended in
-    model = train(rows, counts.get(1, 0) / max(1, sum(counts.values())))
-    del rows
-    pa.default_memory_pool().release_unused()
-    return model
+    # at most ``sample`` rows of two numbers; one text for each, however often an id is repeated
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text"))
+    return train_in_task(bags(texts.select("label", "text")), counts.get(1, 0) / max(1, sum(counts.values())))
+
+
+def train_in_task(sample: DataFrame, prior: float) -> Model:
+    """The model of ``sample`` (label, buckets, counts; bounded), trained in one task: the driver gets the weights
+    only. The task sorts its rows, so a repeated one gives the same model."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(y.as_py(), np.frombuffer(i.as_py(), np.int32), np.frombuffer(c.as_py(), np.float32)) for batch in batches
+                for y, i, c in zip(*(batch.column(x) for x in ("label", "buckets", "counts")), strict=True)]
+        rows.sort(key=cmp_to_key(_order))
+        model = train(rows, prior)
+        yield pa.RecordBatch.from_pydict({
+            "embeddings": pa.array([model.embeddings.tobytes()], pa.binary()), "softmax": pa.array([model.softmax.tobytes()], pa.binary()),
+            "bias": pa.array([model.bias.tobytes()], pa.binary()), "scale": pa.array([model.scale], pa.float64())})
+
+    trained = sample.repartition(1).mapInArrow(run, "embeddings binary, softmax binary, bias binary, scale double").head()
+    if trained is None:  # no rows, no task
+        return train([], prior)
+    embeddings, softmax, bias = (np.frombuffer(trained[c], np.float32) for c in ("embeddings", "softmax", "bias"))
+    return Model(embeddings.reshape(1 << BUCKET_BITS, -1), softmax.reshape(-1, 2), bias, trained["scale"])
 
 
 def _order(x: tuple, y: tuple) -> int:
