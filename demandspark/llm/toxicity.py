@@ -142,8 +142,8 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labelled rows (``labels``: doc_id, toxic) that are not held out. At most ``sample`` of
-    them are used, taken by a hash of their id, the largest text of a repeated id; rows without a label, or with one besides 0 and 1, are left out.
-    Without both classes the model gives every text the prior."""
+    them are used, taken by a hash of their id, the largest text of a repeated id; rows without a label, or with
+    one besides 0 and 1, are left out. Without both classes the model gives every text the prior."""
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("label"))
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -260,6 +260,14 @@ def test_toxicity_learns_subwords(spark):
     assert none.where("predicted = 1").count() == 0
 
 
+def test_toxicity_sample_is_bounded_for_repeated_ids(spark):
+    rows = [(i, prose(i % 7, 30) + (" grumblax" if i % 3 == 0 else "")) for i in range(80)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(80)], "doc_id bigint, toxic int")
+    once, often = (toxicity.fit(spark.createDataFrame(r, "doc_id bigint, text string"), labels) for r in (rows, rows + rows[1:3] * 40))
+    assert once.embeddings.any() and once.embeddings.shape == (1 << toxicity.BUCKET_BITS, 8)
+    assert all(np.array_equal(getattr(once, x), getattr(often, x)) for x in ("embeddings", "softmax", "bias"))
+
+
 def test_lm_score(spark):
     rows = [(i, prose(i, 60) if i % 2 else " ".join(f"q{(i * 7 + j) % 23}" for j in range(60))) for i in range(100)] + [(200, None), (201, "")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
