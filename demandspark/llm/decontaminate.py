@@ -1,10 +1,10 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Benchmark items are cut into overlapping probes. A text holds a probe within ``edits`` edits only if, in some
-band of neighbouring diagonals (place in the text minus place in the probe), they share at least
-length + 1 - q (edits + 1) q-grams. Shared q-grams are counted per probe and band (bands overlap, so that no
-match is split), the regions that reach the bound are kept, and each is verified by an alignment within the band.
-Letters A-Z and a-z, and all white space, are taken as equal.
+A passage is any window of ``length`` bytes of a benchmark item. A text holds it within ``edits`` edits only if, in
+some band of neighbouring diagonals (place in the text minus place in the item), they share at least
+length + 1 - q (edits + 1) q-grams of the window. Shared q-grams are sorted by item, band (bands overlap, so that no
+match is split) and place; every window in which enough of them lie is kept and verified by an alignment within the
+band. Letters A-Z and a-z, and all white space, are taken as equal.
 """
 
 from __future__ import annotations
@@ -30,61 +30,59 @@ _FILTER_BITS = 22
 
 
 @dataclass(frozen=True)
-class Probe:
+class Item:
     item: int
-    start: int
     text: bytes
+    window: int
     edits: int
     q: int
 
     @property
     def least(self) -> int:
-        """Shared q-grams that a match within the budget has at least."""
-        return len(self.text) + 1 - self.q * (self.edits + 1)
+        """Shared q-grams that a window has at least, if it matches within the budget."""
+        return self.window + 1 - self.q * (self.edits + 1)
 
 
-def make_probes(item: int, text: str | None, q: int, length: int, rate: float) -> list[Probe]:
-    """Probes of one item, every half length and at its end. Items of fewer than q bytes have none."""
+def make_item(item: int, text: str | None, q: int, length: int, rate: float) -> Item | None:
+    """The item with its budget. One of fewer than q bytes is one q-gram of all of them: found by exact match."""
     raw = _FOLD[np.frombuffer((text or "").strip().encode(), np.uint8)].tobytes()
-    starts = sorted({*range(0, max(1, len(raw) - length + 1), length // 2), max(0, len(raw) - length)})
-    out = []
-    for s in starts:
-        part = raw[s: s + length]
-        if len(part) >= q:
-            # as many edits as the rate allows and the lemma can still filter
-            out.append(Probe(item, s, part, max(0, min(int(rate * len(part)), len(part) // q - 1)), q))
-    return out
+    if not raw:
+        return None
+    window, q = min(length, len(raw)), min(q, len(raw))
+    # as many edits as the rate allows and the lemma can still filter
+    return Item(item, raw, window, max(0, min(int(rate * window), window // q - 1)), q)
 
 
 class Index:
-    """All q-grams of some probes, sorted by hash."""
+    """All q-grams of some items of one q, sorted by hash."""
 
-    def __init__(self, probes: list[Probe], q: int):
-        self.probes, self.q = probes, q
-        grams = [char_hashes(np.frombuffer(p.text, np.uint8), q, _VALUES) for p in probes]
+    def __init__(self, items: list[Item], q: int):
+        self.items, self.q = items, q
+        grams = [char_hashes(np.frombuffer(p.text, np.uint8), q, _VALUES) for p in items]
         hashes = np.concatenate([*grams, np.zeros(0, np.uint64)])
-        owner = np.repeat(np.arange(len(probes)), [len(g) for g in grams])
+        owner = np.repeat(np.arange(len(items)), [len(g) for g in grams])
         place = np.concatenate([*[np.arange(len(g)) for g in grams], np.zeros(0, np.int64)])
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.owner, self.place = hashes[order], owner[order], place[order]
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[(self.hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-        self.width = np.array([p.edits + 1 for p in probes], np.int64)
-        self.least = np.array([p.least for p in probes], np.int64)
+        self.width = np.array([p.edits + 1 for p in items], np.int64)
+        self.least = np.array([p.least for p in items], np.int64)
+        self.window = np.array([p.window for p in items], np.int64)
+        self.last = np.array([len(p.text) - p.window for p in items], np.int64)
 
     def regions(self, buf: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Rows (text, probe, first diagonal of the band) that reach the bound; diagonals count from the text's start."""
+        """Rows (text, item, first diagonal of the band, first and last start of windows) that reach the bound;
+        diagonals count from the text's start."""
         h = char_hashes(buf, self.q, _VALUES)
         hit = np.flatnonzero(self.filter[(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
         lo = np.searchsorted(self.hashes, h[hit], "left")
         many = np.searchsorted(self.hashes, h[hit], "right") - lo
         hit, lo, many = hit[many > 0], lo[many > 0], many[many > 0]
-        if not len(hit):
-            return np.zeros((0, 3), np.int64)
         row = np.searchsorted(at, hit, "right") - 1
         inside = hit + self.q <= at[row + 1]
         hit, lo, many, row = hit[inside], lo[inside], many[inside], row[inside]
-        found = []
+        found = [np.zeros((0, 5), np.int64)]
         # a few million shared q-grams at a time, cut between texts
         cuts = np.cumsum(many)
         start = 0
@@ -98,40 +96,84 @@ class Index:
 
     def _bands(self, hit: np.ndarray, lo: np.ndarray, many: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
         entry = np.repeat(lo - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-        probe, row, pos = self.owner[entry], np.repeat(row, many), np.repeat(hit, many)
-        diagonal = pos - at[row] - self.place[entry]
-        band = diagonal // self.width[probe]  # two widths each, at every width: each diagonal is in two
-        keys = np.stack([np.concatenate([row, row]), np.concatenate([probe, probe]), np.concatenate([band, band - 1])], 1)
-        order = np.lexsort(keys.T[::-1])
-        keys = keys[order]
-        new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)]))
-        counts = np.diff(np.append(new, len(keys)))
-        keys = keys[new][counts >= self.least[keys[new][:, 1]]]
-        keys[:, 2] *= self.width[keys[:, 1]]
-        return keys
+        item, row, pos, place = self.owner[entry], np.repeat(row, many), np.repeat(hit, many), self.place[entry]
+        band = (pos - at[row] - place) // self.width[item]  # two widths each, at every width: each diagonal is in two
+        row, item, place = (np.concatenate([x, x]) for x in (row, item, place))
+        band = np.concatenate([band, band - 1])
+        order = np.lexsort((place, band, item, row))
+        row, item, band, place = row[order], item[order], band[order], place[order]
+        new = np.concatenate([[True], (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])])
+        key = np.cumsum(new)
+        # the bound is reached by each run of `least` shared q-grams that one window holds
+        i = np.arange(len(key))
+        j = i + self.least[item] - 1
+        i, j = i[j < len(key)], j[j < len(key)]
+        i, j = i[key[i] == key[j]], j[key[i] == key[j]]
+        first = np.maximum(0, place[j] - (self.window - self.q)[item[i]])
+        last = np.minimum(place[i], self.last[item[i]])
+        i, first, last = i[first <= last], first[first <= last], last[first <= last]
+        if not len(i):
+            return np.zeros((0, 5), np.int64)
+        # both ends only grow within a key: runs that touch are one range of starts
+        head = np.flatnonzero(np.concatenate([[True], (key[i][1:] != key[i][:-1]) | (first[1:] > last[:-1] + 1)]))
+        tail = np.append(head[1:], len(i)) - 1
+        k = i[head]
+        return np.stack([row[k], item[k], band[k] * self.width[item[k]], first[head], last[tail]], 1)
+
+
+def window_distances(windows: np.ndarray, regions: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the fewest edits that turn the window into some part of the region's first ``sizes`` bytes, and
+    where that part ends."""
+    steps = np.arange(regions.shape[1] + 1, dtype=np.int32)
+    row = np.zeros((len(windows), len(steps)), np.int32)
+    best = np.empty_like(row)
+    for i in range(windows.shape[1]):
+        best[:, 0] = i + 1
+        np.minimum(row[:, :-1] + (regions != windows[:, i: i + 1]), row[:, 1:] + 1, out=best[:, 1:])
+        row = np.minimum.accumulate(best - steps, axis=1) + steps
+    row[steps > sizes[:, None]] = windows.shape[1] + 1
+    return row.min(1), row.argmin(1)
 
 
 def band_distance(probe: bytes, region: bytes) -> tuple[int, int]:
     """Fewest edits that turn the probe into some part of the region, and where that part ends."""
     if (found := region.find(probe)) >= 0:
         return 0, found + len(probe)
-    r = np.frombuffer(region, np.uint8)
-    steps = np.arange(len(r) + 1)
-    row = np.zeros(len(r) + 1, np.int64)
-    for i, c in enumerate(probe, 1):
-        best = np.empty_like(row)
-        best[0] = i
-        best[1:] = np.minimum(row[:-1] + (r != c), row[1:] + 1)
-        row = np.minimum.accumulate(best - steps) + steps
-    return int(row.min()), int(row.argmin())
+    edits, end = window_distances(*(np.frombuffer(x, np.uint8)[None] for x in (probe, region)), np.array([len(region)]))
+    return int(edits[0]), int(end[0])
+
+
+def matches(item: Item, text: np.ndarray, diagonal: int, first: int, last: int) -> Iterator[tuple[int, int, int, int]]:
+    """Start and end in the (folded) text, start in the item and edits of each window that matches in the band."""
+    m, width = item.window, item.edits + 1
+    raw = np.frombuffer(item.text, np.uint8)
+    span = 2 * width + m + item.edits
+    for a in range(first, last + 1, 256):
+        starts = np.arange(a, min(last + 1, a + 256))
+        lo = np.maximum(0, diagonal + starts)
+        sizes = np.minimum(len(text), diagonal + starts + span) - lo
+        place = lo[:, None] + np.arange(span)
+        regions = text[np.minimum(place, len(text) - 1)]
+        windows = raw[starts[:, None] + np.arange(m)]
+        edits, ends = np.full(len(starts), m + 1), np.zeros(len(starts), np.int64)
+        for d in range(span - m, -1, -1):
+            same = (d + m <= sizes) & (regions[:, d: d + m] == windows).all(1)
+            edits[same], ends[same] = 0, d + m
+        rest = np.flatnonzero(edits > 0) if item.edits else []
+        if len(rest):
+            edits[rest], ends[rest] = window_distances(windows[rest], regions[rest], sizes[rest])
+        for k in np.flatnonzero(edits <= item.edits):
+            end = int(lo[k] + ends[k])
+            yield max(0, end - m), end, int(starts[k]), int(edits[k])
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, q: int = 12, length: int = 100, rate: float = 0.05,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Passages of ``benchmark`` (item_id, text) in ``docs`` (doc_id, text): row, doc_id, item_id, start and end
-    (bytes of the text's UTF-8), probes (that were found), edits (fewest of one).
+    (bytes of the text's UTF-8), probes (windows of the item that were found), edits (fewest of one).
 
-    A passage is ``length`` bytes of an item (all of it, if it is shorter) with at most ``rate`` edits a byte.
+    A passage is any ``length`` bytes of an item (all of it, if it is shorter) with at most ``rate`` edits a byte. An
+    item of fewer than ``q`` bytes is found by exact match.
     The benchmark is looked for in blocks of a fixed number of bytes, each in one pass over all documents, so
     neither side has to be small. Null and empty texts and items match nothing; an item in several rows is one
     item; repeated rows of ``docs`` are reported each. No probes or no rows give an empty result.
@@ -145,30 +187,34 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, q: int = 12, length: in
     blocks = -(-total // block_bytes) or 1
     for block in range(blocks):
         rows = sized.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).select("item_id", "text").collect()
-        index = Index([p for i, t in sorted(rows) for p in make_probes(i, t, q, length, rate)], q)
-        if index.probes:
-            out = out.unionByName(keyed.mapInArrow(_finder(docs, index), schema))
+        made = [x for i, t in sorted(rows) if (x := make_item(i, t, q, length, rate))]
+        indexes = [Index([x for x in made if x.q == size], size) for size in sorted({x.q for x in made})]
+        if indexes:
+            out = out.unionByName(keyed.mapInArrow(_finder(docs, indexes), schema))
     if blocks == 1:
         return out
     return out.groupBy("row", "doc_id", "item_id").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("probes").alias("probes"), F.min("edits").alias("edits"))
 
 
-def _finder(docs: DataFrame, index: Index):
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+def _finder(docs: DataFrame, indexes: list[Index]):
+    shared = docs.sparkSession.sparkContext.broadcast(indexes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = shared.value
         for part in (p for b in batches for p in pieces(b, limit=2 << 20)):
             buf, at = text_buffer(part.column("text"))
             found: dict[tuple[int, int], list] = {}
-            for row, probe, diagonal in ix.regions(buf, at).tolist():
-                p = ix.probes[probe]
-                lo = max(0, diagonal)
-                hi = min(int(at[row + 1] - at[row]), diagonal + 2 * (p.edits + 1) + len(p.text) + p.edits)
-                edits, end = band_distance(p.text, _FOLD[buf[at[row] + lo: at[row] + hi]].tobytes())
-                if edits <= p.edits:
-                    found.setdefault((row, p.item), []).append((max(0, lo + end - len(p.text)), lo + end, p.start, edits))
+            folded = _FOLD[buf]
+            for ix in shared.value:
+                regions, whole = ix.regions(buf, at), ix.window == ix.q
+                for row, k in np.unique(regions[whole[regions[:, 1]]][:, :2], axis=0).tolist():  # items of one q-gram
+                    item, text = ix.items[k], folded[at[row]: at[row + 1]].tobytes()
+                    for start in {text.find(item.text), text.rfind(item.text)} - {-1}:
+                        found.setdefault((row, item.item), []).append((start, start + ix.q, 0, 0))
+                for row, k, diagonal, first, last in regions[~whole[regions[:, 1]]].tolist():
+                    item, text = ix.items[k], folded[at[row]: at[row + 1]]
+                    for match in matches(item, text, diagonal, first, last):
+                        found.setdefault((row, item.item), []).append(match)
             if found:
                 ids, keys = part.column("doc_id").to_pylist(), part.column("row").to_pylist()
                 rows = [(keys[r], ids[r], item, min(x[0] for x in m), max(x[1] for x in m), len({x[2] for x in m}), min(x[3] for x in m))

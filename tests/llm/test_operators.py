@@ -194,6 +194,25 @@ def test_decontaminate(spark, docs, tmp_path):
     assert decontaminate.drop_leaks(docs, benchmark).count() == docs.count() - 1
 
 
+def test_decontaminate_at_every_offset(spark):
+    r = random.Random(9)
+    item = "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(270)).strip()
+    texts = ["0123456789" * 20 + item[a: a + 100].strip() + "9876543210" * 20 for a in range(len(item) - 100)]
+    near = [t[:260] + "#" + t[261:] for t in texts]
+    rows = [(i, t) for i, t in enumerate([*texts, *near])] + [(9001, "so it is Shor T, as said"), (9002, "so it is shor, as said")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(1, item), (2, "shor t"), (3, ""), (4, None)], "item_id bigint, text string")
+    got = {(x.doc_id, x.item_id): x for x in decontaminate.find_passages(docs, benchmark).collect()}
+    assert set(got) == {(i, 1) for i in range(len(rows) - 2)} | {(9001, 2)}
+    assert (got[(9001, 2)].start, got[(9001, 2)].end) == (9, 15)
+
+
+def test_decontaminate_without_a_shared_gram_inside_a_row(spark):
+    docs = spark.createDataFrame([(1, "abcdef"), (2, "ghijkl")], "doc_id bigint, text string").coalesce(1)
+    benchmark = spark.createDataFrame([(1, "abcdefghijkl")], "item_id bigint, text string")
+    assert decontaminate.find_passages(docs, benchmark).count() == 0
+
+
 def test_band_distance():
     assert decontaminate.band_distance(b"abcdef", b"xxabcdefyy") == (0, 8)
     assert decontaminate.band_distance(b"abcdef", b"xxabXdefyy")[0] == 1
