@@ -53,6 +53,22 @@ def row_key() -> Column:
     return F.monotonically_increasing_id()
 
 
+def numbered(docs: DataFrame, label: str) -> DataFrame:
+    """``docs`` with a key ``_row`` for each row, saved: a scan that is planned anew may cut its files otherwise, and
+    number the rows otherwise, so all later steps read this table."""
+    return save(docs.withColumn("_row", row_key()), label)
+
+
+def by_number(rows: DataFrame) -> DataFrame:
+    """What the operators look at of a numbered table: row, doc_id and text."""
+    return rows.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """A numbered table less the rows named in ``gone`` (row), without the numbers."""
+    return rows.join(gone.select(F.col("row").alias("_row")), "_row", "left_anti").drop("_row")
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column in one array, and the offset where each row begins (one more at the
     end). Null is empty."""

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import pieces, row_key, save, text_buffer
+from demandspark.llm.common import by_number, numbered, pieces, row_key, save, text_buffer, without
 from demandspark.llm.rolling import FOLDED, char_hashes
 
 #: Bytes of benchmark text that one pass over the documents looks for.
@@ -179,18 +179,25 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, q: int = 12, length: in
     item; repeated rows of ``docs`` are reported each. No probes or no rows give an empty result.
     """
     keyed = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _passages(keyed, False, benchmark, q, length, rate, block_bytes)
+
+
+def _passages(keyed: DataFrame, saved: bool, benchmark: DataFrame, q: int = 12, length: int = 100, rate: float = 0.05,
+              block_bytes: int = BLOCK_BYTES) -> DataFrame:
     schema = "row bigint, doc_id bigint, item_id bigint, start bigint, end bigint, probes bigint, edits bigint"
-    out = docs.sparkSession.createDataFrame([], schema)
+    out = keyed.sparkSession.createDataFrame([], schema)
     items = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     sized = save(items.withColumn("key", F.monotonically_increasing_id()), "benchmark-items")
     total = sized.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
+    if blocks > 1 and not saved:  # read once for each block
+        keyed = save(keyed, "leak-docs")
     for block in range(blocks):
         rows = sized.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).select("item_id", "text").collect()
         made = [x for i, t in sorted(rows) if (x := make_item(i, t, q, length, rate))]
         indexes = [Index([x for x in made if x.q == size], size) for size in sorted({x.q for x in made})]
         if indexes:
-            out = out.unionByName(keyed.mapInArrow(_finder(docs, indexes), schema))
+            out = out.unionByName(keyed.mapInArrow(_finder(keyed, indexes), schema))
     if blocks == 1:
         return out
     return out.groupBy("row", "doc_id", "item_id").agg(
@@ -226,7 +233,6 @@ def _finder(docs: DataFrame, indexes: list[Index]):
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold a passage of the benchmark; all columns are kept. ``docs`` is read
-    twice and has to give the same rows in the same order, as a Parquet table does."""
-    gone = save(find_passages(docs, benchmark).select(F.col("row").alias("_row")).distinct(), "leaks")
-    return docs.withColumn("_row", row_key()).join(gone, "_row", "left_anti").drop("_row")
+    """``docs`` without the rows that hold a passage of the benchmark; all columns are kept."""
+    rows = numbered(docs, "leak-docs")
+    return without(rows, save(_passages(by_number(rows), True, benchmark).select("row").distinct(), "leaks"))

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import row_key, save
+from demandspark.llm.common import by_number, numbered, row_key, save, without
 
 BLOCK_BYTES = 4096
 _CARRIED = "row bigint, doc_id bigint, n bigint, sha string, pos bigint"
@@ -66,8 +66,12 @@ def name_keys(rows: DataFrame) -> DataFrame:
 def name_texts(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): row, doc_id, sha, level, name. Texts are equal exactly if
     level and name are. A null text is an empty one, and has one empty block."""
-    blocks = docs.select(
-        row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+    return _name_rows(docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"), block_bytes)
+
+
+def _name_rows(keyed: DataFrame, block_bytes: int) -> DataFrame:
+    blocks = keyed.select(
+        "row", "doc_id",
         F.coalesce("text", F.lit("")).cast("binary").alias("bin"),
     ).select("row", "doc_id", "bin", F.sha2("bin", 256).alias("sha"),
              F.expr(f"greatest(1L, cast(ceil(octet_length(bin) / {block_bytes}) as bigint))").alias("n"))
@@ -104,7 +108,11 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
     Of equal texts the row with the largest doc_id stays; of repeated rows with that doc_id, one. A null
     doc_id counts as smaller than any other. An empty table gives an empty result; other columns are not read.
     """
-    texts = save(name_texts(docs, block_bytes), "text-names")
+    return _grouped(name_texts(docs, block_bytes))
+
+
+def _grouped(named: DataFrame) -> DataFrame:
+    texts = save(named, "text-names")
     groups = save(texts.groupBy("level", "name").agg(
         F.max(F.struct("doc_id", "row")).alias("stays"), F.count(F.lit(1)).alias("size"),
     ).where("size > 1"), "text-groups")
@@ -117,8 +125,6 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
 
 
 def drop_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` without the rows that an equal text with a larger doc_id replaces; all columns are kept.
-
-    ``docs`` is read twice and has to give the same rows in the same order, as a Parquet table does."""
-    gone = exact_duplicates(docs, block_bytes).where(~F.col("kept")).select(F.col("row").alias("_row"))
-    return docs.withColumn("_row", row_key()).join(gone, "_row", "left_anti").drop("_row")
+    """``docs`` without the rows that an equal text with a larger doc_id replaces; all columns are kept."""
+    rows = numbered(docs, "copied-docs")
+    return without(rows, _grouped(_name_rows(by_number(rows), block_bytes)).where(~F.col("kept")))

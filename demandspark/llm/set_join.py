@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import pieces, row_key, save, text_buffer
+from demandspark.llm.common import by_number, numbered, pieces, save, text_buffer, without
 from demandspark.llm.rolling import NOT_SPACE, kgram_hashes, mix, word_hashes, word_spans
 
 #: Lists up to this length are searched pair by pair for entries that no other can link with, before they are
@@ -315,9 +315,12 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, counters:
 
     Null and empty texts have the empty set and link with nothing, as do texts of white space. Repeated rows are
     equal sets. A null doc_id is never the smallest unless alone. An empty table gives an empty result. ``docs``
-    is read several times and has to give the same rows in the same order, as a Parquet table does.
+    is read once, numbered and saved; all later steps read that.
     """
-    keyed = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _similar(by_number(numbered(docs.select("doc_id", "text"), "join-docs")), n, percent, counters)
+
+
+def _similar(keyed: DataFrame, n: int, percent: int, counters: int) -> DataFrame:
     names = save(set_names(keyed, n), "join-names")
     labels = set_links(keyed, names, n, percent, counters)
     rows = names.alias("r").join(labels.alias("l"), "set", "left").select(
@@ -333,8 +336,8 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, counters:
 
 def drop_similar(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row, that of the smallest doc_id, of each group that links connect."""
-    gone = similar_documents(docs, n, percent).where(~F.col("kept")).select(F.col("row").alias("_row"))
-    return docs.withColumn("_row", row_key()).join(gone, "_row", "left_anti").drop("_row")
+    rows = numbered(docs, "similar-docs")
+    return without(rows, _similar(by_number(rows), n, percent, COUNTERS).where(~F.col("kept")))
 
 
 __all__ = ["components", "drop_similar", "set_links", "similar_documents"]

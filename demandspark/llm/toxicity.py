@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import pieces, row_key, text_buffer
+from demandspark.llm.common import by_number, numbered, pieces, row_key, text_buffer, without
 from demandspark.llm.rolling import FOLDED, NOT_SPACE, char_hashes, mix, word_hashes, word_spans
 
 BUCKET_BITS = 18
@@ -220,15 +220,17 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
 
     Only the text is looked at. Null and empty texts get the share of toxic texts as score, repeated rows the
     same score; an empty table gives an empty result, and one without labels the prior for all."""
-    model = fit(docs, labels, sample)
-    keyed = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _scored(docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, threshold, sample)
+
+
+def _scored(keyed: DataFrame, labels: DataFrame, threshold: float, sample: int) -> DataFrame:
+    model = fit(keyed, labels, sample)
     return score_texts(keyed, model).select(
         "row", "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """``docs`` without the rows predicted toxic; all columns are kept. ``docs`` is read twice and has to give the
-    same rows in the same order, as a Parquet table does."""
-    gone = score_documents(docs, labels, threshold).where("predicted = 1").select(F.col("row").alias("_row"))
-    return docs.withColumn("_row", row_key()).join(gone, "_row", "left_anti").drop("_row")
+    """``docs`` without the rows predicted toxic; all columns are kept."""
+    rows = numbered(docs, "scored-docs")
+    return without(rows, _scored(by_number(rows), labels, threshold, SAMPLE).where("predicted = 1"))

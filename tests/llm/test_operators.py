@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from demandspark.llm import (bpe, decontaminate, exact_dedup, length_histogram, license_scan, lm_score, set_join, sharding,
+from demandspark.llm import (bpe, common, decontaminate, exact_dedup, length_histogram, license_scan, lm_score, set_join, sharding,
                              toxicity, url_filter)
 
 SCHEMA = "doc_id bigint, text string, row string, name string, label string"
@@ -118,6 +118,41 @@ def test_set_join_of_a_large_group_of_near_copies(spark, tmp_path):
     assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in found) == sorted(brute_components(rows))
 
 
+def test_rows_keep_their_numbers_when_files_are_cut_anew(spark, tmp_path, monkeypatch):
+    """Each save changes how the next scan cuts the files, as executors that come and go do."""
+    size, item = "spark.sql.files.maxPartitionBytes", prose(900, 40)
+    near = [prose(i, 60) for i in range(300, 330)]
+    rows = [*enumerate([prose(i, 5 + i) for i in range(200)]), *[(300 + i, t) for i, t in enumerate(near)],
+            *[(400 + i, edited(t, 30)) for i, t in enumerate(near)], *[(500 + i, t) for i, t in enumerate(near)],
+            *[(600 + i, f"{prose(950 + i, 30)} {item}") for i in range(30)]]
+    random.Random(4).shuffle(rows)
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    benchmark = spark.createDataFrame([(1, item), (2, prose(901, 40))], "item_id bigint, text string")
+    was, calls = spark.conf.get(size), []
+
+    def other(df, label, real=common.save):
+        out = real(df, label)
+        calls.append(label)
+        spark.conf.set(size, ["1000", "128m"][len(calls) % 2])
+        return out
+
+    for module in (common, set_join, exact_dedup, decontaminate):
+        monkeypatch.setattr(module, "save", other)
+    try:
+        similar = {r.doc_id: r.component_id for r in set_join.similar_documents(docs).collect()}
+        kept = [sorted(r.doc_id for r in f.select("doc_id").collect()) for f in (
+            set_join.drop_similar(docs), exact_dedup.drop_duplicates(docs), decontaminate.drop_leaks(docs, benchmark))]
+        leaks = {r.doc_id for r in decontaminate.find_passages(docs, benchmark, block_bytes=300).collect()}
+    finally:
+        spark.conf.set(size, was)
+    ids = sorted(i for i, _ in rows)
+    assert similar == {i: 300 + i % 100 if 300 <= i < 600 else i for i in ids}
+    assert kept[0] == [i for i in ids if not 400 <= i < 600]
+    assert kept[1] == [i for i in ids if not 300 <= i < 400]
+    assert kept[2] == [i for i in ids if i < 600] and leaks == set(range(600, 630))
+
+
 def test_sharding(docs, rows, spark):
     out, maps = sharding.shard_documents(docs, shards=4, slots=64)
     found = out.collect()
