@@ -1,115 +1,104 @@
-"""Out-of-fold model fitting with any ``pyspark.ml`` regressor.
+"""Out-of-fold fitting of boosted learners over one saved matrix.
 
-For each fold f: fit on rows with ``fold != f``, predict the held rows (their out-of-fold prediction) and the
-unlabelled frame; the unlabelled prediction is the mean over the k fold models. Each fit is a distributed
-MLlib job over a persisted, assembled matrix; the driver only loops over the k folds (as ``CrossValidator``
-does) and, with ``parallelism`` > 1, submits several folds' jobs at once.
+For each fold f a model is grown on the rows with ``fold != f``, cut by the loss on the held rows, and predicts the
+held rows (their out-of-fold prediction) and the unlabelled frame, whose prediction is the mean over the fold models.
+As in the reference the held fold chooses the rounds and is then scored, which is slightly optimistic.
 
-Early stopping on the held fold (the reference's behaviour: optimistic, since the stopping fold is then
-scored) is available for learners with ``validationIndicatorCol`` (GBT) via ``early_stop_on_held``.
+All learners share one assembled matrix, written to the shared folder: a fit scans it with the fold as a pushed
+filter, and nothing is cached by this module. Each fit is a distributed MLlib job; the driver only loops over the folds
+(as ``CrossValidator`` does) and, with ``parallelism`` > 1, has several folds' jobs under way at once.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.feature import StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.metrics import N_FOLDS, r2
-from demandspark.operators.encoding import FOLD
+from demandspark.operators.boosting import FEATURES, PREDICTION, BoostingConfig, boost, gain_importances, node_table
+from demandspark.operators.encoding import FOLD, FRAME, LABELLED, UNLABELLED
+from demandspark.session import cut_lineage
 from demandspark.sources.schemas import ROW_KEY, TARGET
 
-FEATURES = "features"
-PREDICTION = "prediction"
-VALID = "_is_valid"
 
-
-@dataclass
+@dataclass(frozen=True)
 class LearnerSpec:
+    """A learner: its settings, the numeric columns it sees, and the categorical ones (indexed, few levels)."""
+
     name: str
-    estimator: object                 # an unfitted pyspark.ml regressor
-    numeric: list[str]
-    categorical: list[str]
-    early_stop_on_held: bool = False
-
-
-def learner_a(numeric, categorical, max_iter=200, seed=42) -> LearnerSpec:
-    """Boosted trees on numeric features plus indexed categoricals (depth 6, step 0.035)."""
-    est = GBTRegressor(featuresCol=FEATURES, labelCol=TARGET, maxIter=max_iter, maxDepth=6, stepSize=0.035,
-                       maxBins=256, seed=seed, lossType="squared", validationTol=0.0)
-    return LearnerSpec("model_a", est, list(numeric), list(categorical), early_stop_on_held=True)
-
-
-def learner_b(numeric, max_iter=200, seed=42) -> LearnerSpec:
-    """Boosted trees on numeric features with column (0.7) and row (0.8) sampling, min 20 rows per leaf."""
-    est = GBTRegressor(featuresCol=FEATURES, labelCol=TARGET, maxIter=max_iter, maxDepth=7, stepSize=0.025,
-                       featureSubsetStrategy="0.7", subsamplingRate=0.8, minInstancesPerNode=20, seed=seed,
-                       validationTol=0.0)
-    return LearnerSpec("model_b", est, list(numeric), [], early_stop_on_held=True)
-
-
-def learner_c(numeric, num_trees=100, seed=42) -> LearnerSpec:
-    """Bagged trees for diversity: depth 6, row 0.8, column 0.7, min 15 rows per leaf."""
-    est = RandomForestRegressor(featuresCol=FEATURES, labelCol=TARGET, numTrees=num_trees, maxDepth=6,
-                                subsamplingRate=0.8, featureSubsetStrategy="0.7", minInstancesPerNode=15, seed=seed)
-    return LearnerSpec("model_c", est, list(numeric), [])
-
-
-def prepare(train: DataFrame, test: DataFrame, spec: LearnerSpec) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Index categoricals (fitted on the labelled frame, unseen → extra index) and assemble vectors."""
-    stages, cat_idx = [], []
-    for c in spec.categorical:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"))
-        cat_idx.append(f"{c}__idx")
-    cols = spec.numeric + cat_idx
-    stages.append(VectorAssembler(inputCols=cols, outputCol=FEATURES, handleInvalid="keep"))
+    config: BoostingConfig
+    numeric: tuple[str, ...]
+    categorical: tuple[str, ...] = ()
+
+    @property
+    def columns(self) -> list[str]:
+        return [*self.numeric, *self.categorical]
+
+
+@dataclass
+class Matrix:
+    """One row for each row of both frames: row key, fold (-1: unlabelled), target, and a vector of ``columns``."""
+
+    rows: DataFrame
+    columns: list[str]
+
+    def of(self, spec: LearnerSpec) -> DataFrame:
+        """The learner's part of the vector, cut out while scanning."""
+        if spec.columns == self.columns:
+            return self.rows
+        cut = VectorSlicer(inputCol=FEATURES, outputCol="_own", indices=[self.columns.index(c) for c in spec.columns])
+        return cut.transform(self.rows).drop(FEATURES).withColumnRenamed("_own", FEATURES)
+
+
+def assemble(train: DataFrame, test: DataFrame, specs: list[LearnerSpec]) -> Matrix:
+    """The matrix of all columns that the learners see, saved once. Categoricals are indexed on the labelled frame;
+    levels it does not have share one further index."""
+    numeric = list(dict.fromkeys(c for s in specs for c in s.numeric))
+    categorical = list(dict.fromkeys(c for s in specs for c in s.categorical))
+    stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in categorical]
+    stages.append(VectorAssembler(inputCols=[*numeric, *[f"{c}__idx" for c in categorical]], outputCol=FEATURES, handleInvalid="keep"))
     model = Pipeline(stages=stages).fit(train)
-    keep_tr = [ROW_KEY, FOLD, TARGET, FEATURES]
-    return model.transform(train).select(*keep_tr), model.transform(test).select(ROW_KEY, FEATURES), cols
+    tr = model.transform(train).select(ROW_KEY, FOLD, TARGET, FEATURES)
+    te = model.transform(test).select(ROW_KEY, F.lit(-1).alias(FOLD), F.lit(None).cast("double").alias(TARGET), FEATURES)
+    return Matrix(cut_lineage(tr.unionByName(te)), [*numeric, *categorical])
 
 
 @dataclass
 class FoldResult:
     oof: DataFrame          # Index, fold, prediction
     test: DataFrame         # Index, fold, prediction (one row per fold model)
-    last_model: object
-    feature_names: list[str]
+    models: list
+    columns: list[str]
+    rounds: list[int]       # rounds kept by each fold's model
+    losses: list[list[float]] = field(default_factory=list)
 
 
-def fit_folds(train: DataFrame, test: DataFrame, spec: LearnerSpec, n_folds: int = N_FOLDS,
-              parallelism: int = 1) -> FoldResult:
-    tr, te, cols = prepare(train, test, spec)
-    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
-    te = te.persist(StorageLevel.MEMORY_AND_DISK)
+def fit_folds(matrix: Matrix, spec: LearnerSpec, n_folds: int = N_FOLDS, parallelism: int = 1) -> FoldResult:
+    rows = matrix.of(spec)
+    labelled, unlabelled = rows.filter(F.col(FOLD) >= 0), rows.filter(F.col(FOLD) < 0)
 
     def one(f: int):
-        est = spec.estimator.copy()
-        if spec.early_stop_on_held and est.hasParam("validationIndicatorCol"):
-            fit_df = tr.withColumn(VALID, F.col(FOLD) == f)
-            est = est.setValidationIndicatorCol(VALID)
-        else:
-            fit_df = tr.filter(F.col(FOLD) != f)
-        model = est.fit(fit_df)
-        oof = model.transform(tr.filter(F.col(FOLD) == f)).select(ROW_KEY, FOLD, PREDICTION)
-        tp = model.transform(te).select(ROW_KEY, F.lit(f).alias(FOLD), PREDICTION)
-        return model, oof, tp
+        held = labelled.filter(F.col(FOLD) == f)
+        model, losses = boost(spec.config, labelled.filter(F.col(FOLD) != f), held, f)
+        oof = model.transform(held).select(ROW_KEY, FOLD, PREDICTION)
+        tp = model.transform(unlabelled).select(ROW_KEY, F.lit(f).alias(FOLD), PREDICTION)
+        return model, losses, oof, tp
 
     if parallelism > 1:
         with ThreadPoolExecutor(parallelism) as pool:
             results = list(pool.map(one, range(n_folds)))
     else:
         results = [one(f) for f in range(n_folds)]
-    oof = results[0][1]
-    tp = results[0][2]
-    for _, o, t in results[1:]:
+    oof, tp = results[0][2:]
+    for _, _, o, t in results[1:]:
         oof, tp = oof.unionByName(o), tp.unionByName(t)
-    return FoldResult(oof, tp, results[-1][0], cols)
+    models = [r[0] for r in results]
+    return FoldResult(oof, tp, models, spec.columns, [m.getNumTrees for m in models], [r[1] for r in results])
 
 
 def test_mean(test_preds: DataFrame) -> DataFrame:
@@ -127,15 +116,24 @@ def score_summary(oof: DataFrame, labels: DataFrame) -> DataFrame:
     """One row: out-of-fold R² over all rows, mean and population std of the per-fold R²."""
     j = oof.join(labels.select(ROW_KEY, TARGET), ROW_KEY)
     overall = j.agg(r2(TARGET, PREDICTION).alias("oof_r2"))
-    per_fold = fold_scores(oof, labels).agg(F.avg("r2").alias("fold_mean"), F.stddev_pop("r2").alias("fold_std"))
-    return overall.select("oof_r2", per_fold.select("fold_mean").scalar().alias("fold_mean"),
-                          per_fold.select("fold_std").scalar().alias("fold_std"))
+    per_fold = fold_scores(oof, labels).agg(F.struct(F.avg("r2").alias("m"), F.stddev_pop("r2").alias("s"))).scalar()
+    return overall.withColumn("_f", per_fold).select("oof_r2", F.col("_f.m").alias("fold_mean"), F.col("_f.s").alias("fold_std"))
 
 
 def importances(result: FoldResult, top: int = 25) -> DataFrame:
-    """Top feature importances of the last fold's model (MLlib's are normalised to sum 1)."""
-    spark = result.oof.sparkSession
-    imp = result.last_model.featureImportances.toArray().tolist()
-    rows = list(zip(result.feature_names, [float(v) for v in imp]))
-    df = spark.createDataFrame(rows, "feature string, importance double")
-    return df.orderBy(F.col("importance").desc(), F.col("feature")).limit(top)
+    """Top features by gain of the last fold's model, unnormalised."""
+    return gain_importances(node_table(result.models[-1]), result.columns, top)
+
+
+def order_categories(train: DataFrame, test: DataFrame, columns, n_folds: int = N_FOLDS) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Categoricals of any number of levels as numbers for threshold splits: the smoothed mean target of the level
+    over the other folds (labelled rows) or all folds (unlabelled rows). Along this order the best split of the
+    levels in two is a threshold, so no bins are spent on single levels; a level that was not seen gets the global
+    mean. But for that mean, labelled rows never see their own fold."""
+    from demandspark.operators.encoding import EncodingSpec, encode_rows, stack_frames
+
+    specs = [EncodingSpec((c,), "smooth") for c in columns]
+    rows = encode_rows(stack_frames(train, test), specs, TARGET, n_folds)
+    names = [s.name for s in specs]
+    return (rows.filter(F.col(FRAME) == LABELLED).select(*train.columns, *names),
+            rows.filter(F.col(FRAME) == UNLABELLED).select(*test.columns, *names), names)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.numeric import clip
+from demandspark.operators.encoding import FOLD
 from demandspark.operators.lags import IMPUTED
 from demandspark.operators.order_stats import pct_rank
 
@@ -37,8 +38,10 @@ def encoding_features(df: DataFrame) -> DataFrame:
 
 def rank_feature(df: DataFrame, frame_col: str | None = None) -> DataFrame:
     """``gh_rank``: tie-averaged percentile rank of the cell-mean encoding within this frame (within each
-    ``frame_col`` value when frames are stacked)."""
-    return pct_rank(df, GH_MEAN, "gh_rank", group_cols=[frame_col] if frame_col else None)
+    ``frame_col`` value when frames are stacked). The encoding is one value for each cell and fold, so the rank is
+    found for those and looked up by them."""
+    keys = [c for c in ("geohash", FOLD) if c in df.columns]
+    return pct_rank(df, GH_MEAN, "gh_rank", group_cols=[frame_col] if frame_col else None, key_cols=keys)
 
 
 def lag_features(df: DataFrame) -> DataFrame:

@@ -4,22 +4,25 @@ For a key set K and a row in fold f, the encoding is an aggregate of the target
 the same K in the *other* folds; the unlabelled frame uses all labelled rows. Missing (unseen key, or a std
 over one row) falls back to the labelled frame's global target mean.
 
-Plan per key set, instead of one scan and group-by per fold:
-
-* partials: ``groupBy(set, K, fold)`` → n, mean, M2 (= var_pop·n), max for all key sets in one aggregation
-  (``multi_set_stats``). Map-side combined, so a hot key costs one row per task. Median partials are value
-  histograms ``(K, fold, value) → count``.
-* complement: each partial row is replicated to the k−1 folds it is *not* in and to an all-folds slot
-  (``explode`` of a small array, no join) and combined per (set, K, held): Σn, Σn·mean, max, and the
-  parallel-variance formula over at most k parts per group. Medians use the distributed exact quantile of
-  ``order_stats`` on the summed histograms (``median_table``).
-* lookup: one null-safe left join per key set on (K, fold = held), both frames stacked (unlabelled rows carry
-  fold = -1 = all folds). Tables are counted: small ones are broadcast, large ones sort-merge joined onto a
-  narrow projection (see ``encode_rows``).
+Key sets form a lattice, and only its top reads rows:
+
+* **Finest grain.** One aggregate of the rows by all keys and the fold: count, sum and maximum of the target.
+* **Anchors.** A few wide key sets (``ANCHORS``) that hold all others, each merged from the finest grain. A key set
+  belongs to the first anchor that holds its keys, or the keys that determine them (``DEPENDS``).
+* **Key sets.** Each merges from its anchor's partials into one row of per-fold sums for each of its keys, and from
+  these into one array of values: of all folds, and without fold 0, 1, ...
+* **Lookup.** The arrays are brought back to the anchors' keys, so that rows join one table for each anchor (four,
+  whatever the number of encodings) and pick by their fold. The anchor without a cell is small and bounded by the
+  categories; the rows move at most three times, however large the tables are.
+
+Second moments do not merge by plain sums without losing digits: ``std`` partials (mean and squared deviations by
+fold) come from the rows, for the key sets that ask for them only, and combine by the parallel formula. Medians use the
+exact quantiles of ``order_stats`` on summed value histograms.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,9 +32,14 @@ from demandspark.functions.metrics import N_FOLDS, hash_fold
 from demandspark.operators.order_stats import exact_quantiles
 from demandspark.sources.schemas import ROW_KEY, TARGET
 
+log = logging.getLogger(__name__)
+
 FOLD = "fold"
 HELD = "_held"
-AGGS = ("mean", "std", "max", "median")
+#: Mean, deviation, maximum and median of the target, and the mean drawn towards the global one.
+AGGS = ("mean", "std", "max", "median", "smooth")
+#: Rows at the global mean that ``smooth`` adds to each key.
+SMOOTH_ROWS = 1.0
 
 
 @dataclass(frozen=True)
@@ -87,18 +95,6 @@ ENCODING_SPECS = [_spec(k, a) for k, a in [
 ]]
 
 
-def group_specs(specs) -> dict[tuple[str, ...], list[str]]:
-    """Key set → aggregates, in first-appearance order (34 specs → 30 key sets)."""
-    out: dict[tuple[str, ...], list[str]] = {}
-    for s in specs:
-        if s.agg not in AGGS:
-            raise ValueError(f"unknown aggregate {s.agg!r}")
-        out.setdefault(s.keys, [])
-        if s.agg not in out[s.keys]:
-            out[s.keys].append(s.agg)
-    return out
-
-
 def add_fold(df: DataFrame, key: str = ROW_KEY, n_folds: int = N_FOLDS) -> DataFrame:
     return df.withColumn(FOLD, hash_fold(key, n_folds))
 
@@ -111,55 +107,161 @@ def _name(keys, agg) -> str:
     return EncodingSpec(tuple(keys), agg).name
 
 
-def lookup(df: DataFrame, table: DataFrame, keys, value_cols, fallback: Column, fold_col: str | None = None) -> DataFrame:
-    """Null-safe left join of ``table`` on ``keys`` (and ``fold_col`` = ``_held``), missing → ``fallback``."""
-    keys = list(keys)
-    t = table.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                     *([F.col(HELD)] if fold_col else []), *value_cols)
-    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    if fold_col:
-        cond.append(F.col(fold_col) == F.col(HELD))
-    kept = [c for c in df.columns if c not in value_cols]
-    return df.join(t, cond, "left").select(*kept, *[F.coalesce(F.col(c), fallback).alias(c) for c in value_cols])
+ALL_FOLDS = -1
 
+# Columns that another column determines, and the anchors that lookups go through, narrowest domain first.
+DEPENDS = {"gh_prefix4": "geohash", "gh_prefix5": "geohash", "gh_prefix6": "geohash", "peak_hour": "hour",
+           "morning_peak": "hour", "evening_peak": "hour", "road_type_ord": "RoadType"}
+ANCHORS = [
+    ("RoadType", "Weather", "hour", "large_veh_bin", "NumberofLanes"),
+    ("geohash", "Weather", "hour"),
+    ("geohash", "day"),
+    ("geohash", "NumberofLanes", "landmarks_bin", "large_veh_bin"),
+]
 
-ALL_FOLDS = -1
 
+@dataclass
+class Anchor:
+    """Key columns that rows are looked up by, and the specs (by their place) that are looked up there."""
 
-def multi_set_stats(train: DataFrame, key_sets, target: str = TARGET, n_folds: int = N_FOLDS) -> DataFrame:
-    """Out-of-fold and full-train count / mean / std / max for many key sets in one aggregation.
-
-    Each labelled row is replicated once per key set (``explode`` of an array of structs, the Expand of
-    GROUPING SETS) carrying that set's key columns and nulls for the others; ``_set`` tells the sets apart, so
-    a real null key stays distinct from an unused column. Partials per (set, keys, fold) are combined map-side;
-    each partial is then replicated to the folds it is not in and to ``_held`` = -1 (all folds), and combined
-    per (set, keys, held) with at most k parts per group.
-    """
-    from demandspark.session import spread
-
-    universe = list(dict.fromkeys(k for ks in key_sets for k in ks))
-    types = {f.name: f.dataType for f in train.schema.fields}
-    train = spread(train)
-    copies = F.array(*[F.struct(F.lit(i).alias("_set"),
-                                *[(F.col(k) if k in ks else F.lit(None).cast(types[k])).alias(k) for k in universe])
-                       for i, ks in enumerate(key_sets)])
-    x = train.select(F.explode(copies).alias("_x"), F.col(FOLD), F.col(target)).select("_x.*", FOLD, target)
-    partials = x.groupBy("_set", *universe, FOLD).agg(
-        F.count(target).alias("_n"), F.sum(target).alias("_s"), F.avg(target).alias("_m"),
-        (F.var_pop(target) * F.count(target)).alias("_m2"), F.max(target).alias("_mx"))
-    held = F.explode(F.concat(F.filter(F.array(*[F.lit(i) for i in range(n_folds)]), lambda h: h != F.col(FOLD)),
-                              F.array(F.lit(ALL_FOLDS))))
-    comp = (partials.withColumn(HELD, held)
-            .groupBy("_set", *universe, HELD)
-            .agg(F.sum("_n").alias("_N"), F.sum("_s").alias("_S"), F.max("_mx").alias("_MX"),
-                 F.collect_list(F.struct("_n", "_m", "_m2")).alias("_parts")))
-    mean = F.try_divide(F.col("_S"), F.col("_N"))
-    m2 = F.aggregate("_parts", F.lit(0.0),
-                     lambda acc, p: acc + F.coalesce(p["_m2"] + p["_n"] * (p["_m"] - mean) * (p["_m"] - mean),
-                                                     F.lit(0.0)))  # a fold without a target adds nothing
-    return comp.select("_set", *universe, HELD, F.col("_N").alias("_count"), mean.alias("mean"),
-                       F.when(F.col("_N") > 1, F.sqrt(m2 / (F.col("_N") - 1))).alias("std"),
-                       F.col("_MX").alias("max"))
+    keys: list[str]
+    specs: list[int]
+
+
+def assign_anchors(specs) -> list[Anchor]:
+    """Each spec to the first of ``ANCHORS`` that holds its keys; specs that none holds share one anchor for each set
+    of determining keys. An anchor has the keys that its specs use and no others, so that nothing rests on
+    ``DEPENDS`` but the number of its rows."""
+    found: dict[frozenset, Anchor] = {}
+    for i, s in enumerate(specs):
+        roots = frozenset(DEPENDS.get(k, k) for k in s.keys)
+        home = next((frozenset(a) for a in ANCHORS if roots <= set(a)), roots)
+        anchor = found.setdefault(home, Anchor([], []))
+        anchor.keys += [k for k in s.keys if k not in anchor.keys]
+        anchor.specs.append(i)
+    return list(found.values())
+
+
+def _key(s: EncodingSpec) -> Column:
+    """The key of a row under one spec as text: null keys are left out of it, so they differ from any value."""
+    return F.to_json(F.struct(*s.keys))
+
+
+def _spec_keys(specs, places) -> Column:
+    return F.explode(F.array(*[F.struct(F.lit(i).alias("spec"), _key(specs[i]).alias("key")) for i in places]))
+
+
+def _by_fold(n_folds: int, value) -> Column:
+    """array: value(all folds), value(without fold 0), value(without fold 1), ..."""
+    every = list(range(n_folds))
+    return F.array(*[value([f for f in every if f != held]) for held in [None, *every]])
+
+
+def _total(cols) -> Column:
+    out = F.lit(0.0)
+    for c in cols:
+        out = out + F.coalesce(c, F.lit(0.0))
+    return out
+
+
+def finest_partials(rows: DataFrame, keys, target: str) -> DataFrame:
+    """One row for each combination of all ``keys`` and fold: _n, _s, _x (count, sum and maximum of the target)."""
+    return rows.groupBy(*keys, FOLD).agg(F.count(target).alias("_n"), F.sum(target).alias("_s"), F.max(target).alias("_x"))
+
+
+def anchor_partials(finest: DataFrame, anchors: list[Anchor], keys) -> DataFrame:
+    """The partials of each anchor (``_anchor``), merged from the finest grain; keys of other anchors are null."""
+    types = {f.name: f.dataType for f in finest.schema.fields}
+    copies = F.array(*[F.struct(F.lit(i).alias("_anchor"), *[(F.col(k) if k in a.keys else F.lit(None).cast(types[k])).alias(k) for k in keys])
+                       for i, a in enumerate(anchors)])
+    x = finest.select(F.explode(copies).alias("_c"), FOLD, "_n", "_s", "_x").select("_c.*", FOLD, "_n", "_s", "_x")
+    return x.groupBy("_anchor", *keys, FOLD).agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s"), F.max("_x").alias("_x"))
+
+
+def _at_anchors(anchors: list[Anchor], specs, wanted) -> Column:
+    """(spec, key) of each of the ``wanted`` specs that a row of the anchors' table holds."""
+    out = None
+    for i, a in enumerate(anchors):
+        places = [p for p in a.specs if p in wanted]
+        here = F.array(*[F.struct(F.lit(p).alias("spec"), _key(specs[p]).alias("key")) for p in places])
+        here = here if places else F.array().cast("array<struct<spec:int,key:string>>")
+        out = F.when(F.col("_anchor") == i, here) if out is None else out.when(F.col("_anchor") == i, here)
+    return F.explode(out)
+
+
+def merged_stats(partials: DataFrame, anchors: list[Anchor], specs, n_folds: int) -> DataFrame:
+    """spec, key, values of the means (plain and smoothed) and maxima, merged from the anchors' partials."""
+    wanted = {i for i, s in enumerate(specs) if s.agg in ("mean", "max", "smooth")}
+    x = partials.select(_at_anchors(anchors, specs, wanted).alias("_k"), FOLD, "_n", "_s", "_x").select("_k.*", FOLD, "_n", "_s", "_x")
+    per_fold = [f(F.when(F.col(FOLD) == i, F.col(c))).alias(f"{c}{i}") for i in range(n_folds)
+                for c, f in (("_n", F.sum), ("_s", F.sum), ("_x", F.max))]
+    x = x.groupBy("spec", "key").agg(*per_fold)
+    mean = _by_fold(n_folds, lambda fs: F.try_divide(_total(F.col(f"_s{f}") for f in fs), _total(F.col(f"_n{f}") for f in fs)))
+    top = _by_fold(n_folds, lambda fs: F.greatest(*[F.col(f"_x{f}") for f in fs]) if len(fs) > 1 else F.col(f"_x{fs[0]}"))
+    values = mean
+    if maxima := [i for i in wanted if specs[i].agg == "max"]:
+        values = F.when(F.col("spec").isin(maxima), top).otherwise(values)
+    if smoothed := [i for i in wanted if specs[i].agg == "smooth"]:
+        # every target is in one partial of each anchor
+        overall = partials.filter(F.col("_anchor") == 0).select(F.try_divide(F.sum("_s"), F.sum("_n"))).scalar()
+        smooth = _by_fold(n_folds, lambda fs: (_total(F.col(f"_s{f}") for f in fs) + SMOOTH_ROWS * overall)
+                          / (_total(F.col(f"_n{f}") for f in fs) + SMOOTH_ROWS))
+        values = F.when(F.col("spec").isin(smoothed), smooth).otherwise(values)
+    return x.select("spec", "key", values.alias("values"))
+
+
+def spread_stats(rows: DataFrame, specs, target: str, n_folds: int) -> DataFrame:
+    """spec, key, values of the standard deviations (ddof 1), from the rows: per fold by Spark's own stable
+    aggregate, over folds by the parallel formula."""
+    wanted = [i for i, s in enumerate(specs) if s.agg == "std"]
+    x = rows.select(_spec_keys(specs, wanted).alias("_k"), FOLD, target).select("_k.*", FOLD, target)
+    y = [F.when(F.col(FOLD) == i, F.col(target)) for i in range(n_folds)]
+    x = x.groupBy("spec", "key").agg(*[f(v).alias(f"{c}{i}") for i, v in enumerate(y)
+                                       for c, f in (("_n", F.count), ("_m", F.avg), ("_v", F.var_pop))])
+
+    def std(fs):
+        n = _total(F.col(f"_n{f}") for f in fs)
+        mean = F.try_divide(_total(F.col(f"_n{f}") * F.col(f"_m{f}") for f in fs), n)
+        m2 = _total(F.col(f"_n{f}") * (F.col(f"_v{f}") + (F.col(f"_m{f}") - mean) * (F.col(f"_m{f}") - mean)) for f in fs)
+        return F.when(n > 1, F.sqrt(m2 / (n - 1)))
+
+    return x.select("spec", "key", _by_fold(n_folds, std).alias("values"))
+
+
+def median_stats(rows: DataFrame, spec: int, s: EncodingSpec, target: str, n_folds: int) -> DataFrame:
+    """spec, key, values of one median encoding."""
+    table = median_table(rows, s.keys, target, n_folds).groupBy(*s.keys).agg(
+        F.map_from_entries(F.collect_list(F.struct(HELD, s.name))).alias("_m"))
+    at = F.array(*[F.try_element_at("_m", F.lit(h)) for h in [ALL_FOLDS, *range(n_folds)]])
+    return table.select(F.lit(spec).alias("spec"), _key(s).alias("key"), at.alias("values"))
+
+
+def anchor_tables(rows: DataFrame, specs, target: str = TARGET, n_folds: int = N_FOLDS) -> list[tuple[Anchor, DataFrame]]:
+    """For each anchor the table that rows are looked up in: its keys and, for each of its specs, the array of values."""
+    from demandspark.session import cut_lineage
+
+    anchors = assign_anchors(specs)
+    keys = list(dict.fromkeys(k for a in anchors for k in a.keys))
+    finest = cut_lineage(finest_partials(rows, keys, target))
+    partials = cut_lineage(anchor_partials(finest, anchors, keys))
+    if log.isEnabledFor(logging.INFO):
+        log.info("encodings: %d finest partials, by anchor %s", finest.count(), {
+            r["_anchor"]: r["count"] for r in partials.groupBy("_anchor").count().collect()})
+    parts = []
+    if any(s.agg in ("mean", "max", "smooth") for s in specs):
+        parts.append(merged_stats(partials, anchors, specs, n_folds))
+    if any(s.agg == "std" for s in specs):
+        parts.append(spread_stats(rows, specs, target, n_folds))
+    parts += [median_stats(rows, i, s, target, n_folds) for i, s in enumerate(specs) if s.agg == "median"]
+    stats = parts[0]
+    for p in parts[1:]:
+        stats = stats.unionByName(p)
+    places = partials.select("_anchor", *keys).distinct()
+    wanted = places.select("_anchor", *keys, _at_anchors(anchors, specs, set(range(len(specs)))).alias("_k")).select("_anchor", *keys, "_k.*")
+    back = wanted.join(stats, ["spec", "key"], "left").groupBy("_anchor", *keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("spec", "values"))).alias("_m"))
+    table = cut_lineage(back.select("_anchor", *keys, *[F.try_element_at("_m", F.lit(i)).alias(s.name) for i, s in enumerate(specs)]), "_anchor")
+    return [(a, table.filter(F.col("_anchor") == i).select(*a.keys, *[specs[p].name for p in a.specs])) for i, a in enumerate(anchors)]
 
 
 # Both frames can flow through the lookups as one stacked frame: ``_frame`` = 0 labelled, 1 unlabelled; the
@@ -196,49 +298,25 @@ def median_table(train: DataFrame, keys, target: str = TARGET, n_folds: int = N_
     return exact_quantiles(None, keys + [HELD], target, {name: 0.5}, hist=hist)
 
 
-def _chain_lookups(rows: DataFrame, tables, fallback: Column) -> DataFrame:
-    """Left joins of several tables in a chain on the encoding keys themselves (null-safe), with per-table key names so
-    nothing collides, and one final projection for the fallbacks. The tables' sizes are known (they are Parquet), so
-    Spark broadcasts those under its threshold and sort-merge joins the others; the rows are the same either way."""
-    base_cols = rows.columns
-    values = []
-    for i, (keys, names, t) in enumerate(tables):
-        tk = t.select(*[F.col(k).alias(f"_k{i}_{k}") for k in keys], F.col(HELD).alias(f"_h{i}"), *names)
-        cond = [F.col(k).eqNullSafe(F.col(f"_k{i}_{k}")) for k in keys] + [F.col(FOLD) == F.col(f"_h{i}")]
-        rows = rows.join(tk, cond, "left")
-        values += names
-    kept = [c for c in base_cols if c not in values]
-    return rows.select(*kept, *[F.coalesce(F.col(n), fallback).alias(n) for n in values])
-
-
 def encode_rows(rows: DataFrame, specs=ENCODING_SPECS, target: str = TARGET, n_folds: int = N_FOLDS) -> DataFrame:
-    """Adds every spec's column to a stacked frame: out-of-fold for labelled rows, all-folds for the others.
-
-    Mean / std / max of all key sets come from one materialised ``multi_set_stats`` table, of which each lookup reads
-    its own part; medians from one distributed exact-quantile pass per key set. Rows are never joined back by a row
-    key, which may be null or repeated.
-    """
-    from demandspark.session import cut_lineage
-
-    labelled = rows.filter(F.col(FRAME) == LABELLED)
-    gm = global_mean(labelled, target)
-    groups = group_specs(specs)
-    stats_src = labelled.select(*dict.fromkeys(k for s in specs for k in s.keys), FOLD, target)
-    tables = []   # (keys, value names, table, counted rows)
-    algebraic = [(keys, [a for a in aggs if a != "median"]) for keys, aggs in groups.items()
-                 if any(a != "median" for a in aggs)]
-    if algebraic:
-        stats = cut_lineage(multi_set_stats(stats_src, [k for k, _ in algebraic], target, n_folds), "_set")
-        for i, (keys, aggs) in enumerate(algebraic):
-            names = [_name(keys, a) for a in aggs]
-            t = stats.filter(F.col("_set") == i).select(*keys, HELD, *[F.col(a).alias(n) for a, n in zip(aggs, names)])
-            tables.append((keys, names, t))
-    for keys, aggs in groups.items():
-        if "median" in aggs:
-            med = cut_lineage(median_table(stats_src, keys, target, n_folds))
-            tables.append((keys, [_name(keys, "median")], med))
-
-    return _chain_lookups(rows, tables, gm)
+    """Adds every spec's column to a stacked frame: out-of-fold for labelled rows, all folds for the others, whose fold
+    is -1 and whose target is null. One null-safe join for each anchor; the tables' sizes are known (they are Parquet),
+    so Spark broadcasts those under its threshold and sort-merge joins the others. Rows are never joined back by a
+    row key, which may be null or repeated."""
+    for s in specs:
+        if s.agg not in AGGS:
+            raise ValueError(f"unknown aggregate {s.agg!r}")
+    gm = global_mean(rows.filter(F.col(FRAME) == LABELLED), target)
+    narrow = rows.select(*dict.fromkeys(k for s in specs for k in s.keys), FOLD,
+                         F.when(F.col(FRAME) == LABELLED, F.col(target)).alias(target))
+    names = [s.name for s in specs]
+    out = rows.select(*[c for c in rows.columns if c not in names])
+    kept = out.columns
+    for i, (anchor, table) in enumerate(anchor_tables(narrow, specs, target, n_folds)):
+        t = table.select(*[F.col(k).alias(f"_k{i}_{k}") for k in anchor.keys], *[specs[p].name for p in anchor.specs])
+        out = out.join(t, [F.col(k).eqNullSafe(F.col(f"_k{i}_{k}")) for k in anchor.keys], "left")
+    at = F.col(FOLD) + 1
+    return out.select(*kept, *[F.coalesce(F.get(F.col(n), at), gm).alias(n) for n in names])
 
 
 def target_encode(train: DataFrame, test: DataFrame, specs=ENCODING_SPECS, target: str = TARGET,

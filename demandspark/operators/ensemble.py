@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.numeric import clip
+from demandspark.sources.schemas import ROW_KEY
 
 PREDS = ("p1", "p2", "p3")
 # Grid resolution (step 0.05) and rounding of scores before the tie rule.
@@ -24,6 +25,28 @@ GRID_STEPS = 20
 TIE_DIGITS = 12
 
 
+def stack(long: DataFrame, learners, keys: DataFrame, key: str = ROW_KEY, value: str = "prediction") -> DataFrame:
+    """``keys`` (one row for each ``key``, with whatever columns) with a column p1, p2, ... for each learner of ``long`` (key,
+    learner, prediction).
+
+    The plan itself asserts that the stack is complete: a key that lacks a learner or has one twice, a key that is in
+    one of the two frames only, and a key twice in ``keys`` raise, when the result is written or read."""
+    counts = [F.count_if(F.col("learner") == n).alias(f"_c{i}") for i, n in enumerate(learners)]
+    wide = long.groupBy(F.col(key).alias("_key")).agg(
+        *[F.max(F.when(F.col("learner") == n, F.col(value))).alias(f"p{i + 1}") for i, n in enumerate(learners)], *counts, F.count(F.lit(1)).alias("_all"))
+    known = keys.withColumn("_known", F.lit(1))
+    once = keys.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    wide = wide.join(once, "_key", "full_outer")
+    j = known.join(wide, known[key].eqNullSafe(wide["_key"]), "full_outer")
+    whole = (F.col("_known") == 1) & (F.col("_rows") == 1) & (F.col("_all") == len(learners))
+    for i in range(len(learners)):
+        whole = whole & (F.col(f"_c{i}") == 1)
+    wrong = F.concat(F.lit(f"{key} "), F.coalesce(F.coalesce(F.col(key), F.col("_key")).cast("string"), F.lit("null")),
+                     F.lit(" does not have one prediction of each learner"))
+    checked = j.withColumn("_ok", F.when(F.coalesce(whole, F.lit(False)), F.lit(True)).otherwise(F.raise_error(wrong).cast("boolean")))
+    return checked.filter("_ok").select(*keys.columns, *[f"p{i + 1}" for i in range(len(learners))])
+
+
 def gram_stats(df: DataFrame, y: str, preds=PREDS) -> DataFrame:
     """One row: n, sstot, g11, g12, g13, g22, g23, g33."""
     e = [F.col(p) - F.col(y) for p in preds]
@@ -110,8 +133,8 @@ def optimal_weights(stats: DataFrame) -> DataFrame:
 
 def blend(df: DataFrame, weights: DataFrame, preds=PREDS, out: str = "blend", clipped: str | None = "blend_clipped",
           lo: float = 0.0, hi: float = 1.0) -> DataFrame:
-    """Weighted sum with the weights of a one-row frame (scalar subqueries, no join), optionally clipped."""
-    w = [weights.select(f"w{i + 1}").scalar() for i in range(3)]
-    b = F.col(preds[0]) * w[0] + F.col(preds[1]) * w[1] + F.col(preds[2]) * w[2]
-    df = df.withColumn(out, b)
+    """Weighted sum with the weights of a one-row frame (one scalar subquery, no join), optionally clipped."""
+    df = df.withColumn("_w", weights.select(F.struct("w1", "w2", "w3")).scalar())
+    b = F.col(preds[0]) * F.col("_w.w1") + F.col(preds[1]) * F.col("_w.w2") + F.col(preds[2]) * F.col("_w.w3")
+    df = df.withColumn(out, b).drop("_w")
     return df.withColumn(clipped, clip(out, lo, hi)) if clipped else df

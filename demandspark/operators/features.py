@@ -1,7 +1,7 @@
 """Base features of one frame (time, space, category, numeric, interactions) and frequency encodings.
 
-``base_features`` is one projection over the frame plus two scalar subqueries (the frame's exact medians
-of lanes and temperature); nothing is joined and no Python runs per row.
+``base_features`` is one projection over the frame plus scalar subqueries (the frame's exact medians of lanes and
+temperature, found in one pass); nothing is joined and no Python runs per row.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from demandspark.functions import category as cat
 from demandspark.functions import numeric as num
 from demandspark.functions import space, time
-from demandspark.operators.order_stats import scalar_median
+from demandspark.operators.order_stats import exact_quantiles
 
 IMPUTED_BY_MEDIAN = ["NumberofLanes", "Temperature"]
 
@@ -28,22 +28,30 @@ def time_features(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     return df.withColumns(cols)
 
 
-def frame_median(df: DataFrame, col: str, distributed: bool = False):
-    """Exact median of a whole frame as a scalar-subquery column.
+def frame_medians(df: DataFrame, cols, frame_col: str | None = None) -> DataFrame:
+    """(frame, column, median) of several columns in one exact, distributed pass: (column, value) pairs are counted
+    and ranked over range partitions, so no task holds all values of a column. ``frame`` is null without
+    ``frame_col``."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]))
+    long = df.select((F.col(frame_col) if frame_col else F.lit(None).cast("int")).alias("frame"), pairs.alias("_p")).select("frame", "_p.*")
+    return exact_quantiles(long, ["frame", "column"], "value", {"median": 0.5})
 
-    Default: Spark's exact ``median`` aggregate, whose partial buffers are value → count maps combined
-    map-side, so its size is the number of *distinct* values — a handful for lane counts and whole-degree
-    temperatures, however many rows. ``distributed=True`` uses the range-bucketed exact quantile instead, for
-    continuous columns whose distinct values are unbounded.
-    """
-    if distributed:
-        return scalar_median(df, col)
-    return df.select(F.median(col)).scalar()
 
+def impute_median(df: DataFrame, cols=IMPUTED_BY_MEDIAN, frame_col: str | None = None, frames=()) -> DataFrame:
+    """Fill nulls with the frame's own exact median. Of frames stacked by ``frame_col`` (with the values ``frames``)
+    each is filled from itself. The medians are scalar subqueries over a table of a few rows."""
+    found = frame_medians(df, cols, frame_col)
 
-def impute_median(df: DataFrame, cols=IMPUTED_BY_MEDIAN, distributed: bool = False) -> DataFrame:
-    """Fill nulls with this frame's own exact median (each frame is imputed from itself)."""
-    return df.withColumns({c: F.coalesce(F.col(c), frame_median(df, c, distributed)) for c in cols})
+    def fill(c: str):
+        if not frame_col:
+            return found.filter(F.col("column") == c).select("median").scalar()
+        out = None
+        for v in frames:
+            m = found.filter((F.col("column") == c) & (F.col("frame") == v)).select("median").scalar()
+            out = F.when(F.col(frame_col) == v, m) if out is None else out.when(F.col(frame_col) == v, m)
+        return out
+
+    return df.withColumns({c: F.coalesce(F.col(c), fill(c)) for c in cols})
 
 
 def category_features(df: DataFrame) -> DataFrame:
@@ -56,8 +64,8 @@ def category_features(df: DataFrame) -> DataFrame:
     })
 
 
-def numeric_features(df: DataFrame) -> DataFrame:
-    df = impute_median(df)
+def numeric_features(df: DataFrame, frame_col: str | None = None, frames=()) -> DataFrame:
+    df = impute_median(df, frame_col=frame_col, frames=frames)
     return df.withColumns({"temp_extreme": num.temp_extreme("Temperature"),
                            "temp_band": num.temp_band("Temperature")})
 
@@ -76,11 +84,12 @@ def interaction_features(df: DataFrame) -> DataFrame:
     })
 
 
-def base_features(df: DataFrame) -> DataFrame:
+def base_features(df: DataFrame, frame_col: str | None = None, frames=()) -> DataFrame:
+    """All base features of one frame, or of frames stacked by ``frame_col``."""
     df = time_features(df)
     df = df.withColumns(space.prefixes("geohash"))
     df = category_features(df)
-    df = numeric_features(df)
+    df = numeric_features(df, frame_col, frames)
     return interaction_features(df)
 
 

@@ -77,6 +77,14 @@ def lag_table(ref: DataFrame, entity: str = "geohash", slot: str = "total_minute
         "_rows", "_guard", *[f"_c{i}" for i in range(len(all_offsets))])
 
 
+def day_pairs(train: DataFrame, entity: str = "geohash", slot: str = "timestamp", day: str = "day", target: str = TARGET) -> DataFrame:
+    """Each labelled row with that of its cell and slot one day before: day, entity, slot, demand_target, demand_ref. On
+    two days these are the pairs of the target and the reference day."""
+    here = train.select(day, entity, slot, F.col(target).alias("demand_target"))
+    before = train.select((F.col(day) + 1).alias(day), entity, slot, F.col(target).alias("demand_ref"))
+    return here.join(before, [day, entity, slot])
+
+
 def impute_lag(df: DataFrame, fallback: Column, mean_col: str = "gh_day48_mean") -> DataFrame:
     return df.withColumn(IMPUTED, F.coalesce(F.col(LAG), F.col(mean_col), fallback))
 

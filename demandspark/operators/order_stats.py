@@ -6,11 +6,10 @@ group — possibly a third of all rows — into one task. Instead:
 
 1. ``histogram``: (group, value) → weight. Partial aggregation, so hot groups are combined map-side and
    repeated values collapse.
-2. ``prefix_weights``: split each group's distinct values into ``buckets`` ranges at approximate quantiles
-   (``percentile_approx``: a mergeable sketch per group), total the weight per (group, bucket) — at most
-   ``buckets`` rows per group — and run the running sums of bucket offsets over those few rows and the
-   running sums inside each (group, bucket). A hot group is thus spread over ``buckets`` window partitions.
-   The result is exact; the sketch only decides where the ranges are cut.
+2. ``prefix_weights``: the histogram is range-partitioned by (group, value), into as many partitions as its size
+   asks for, and saved with the partition's number. A first pass totals the weights of each (group, partition); their
+   prefix sums are over one number for each partition. A second pass runs inside each partition. A hot group is thus
+   spread over all partitions that its distinct values fill, and the result is exact.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 32
+from demandspark.session import cut_lineage
 
 
 def _cols(group_cols) -> list[str]:
@@ -42,39 +41,23 @@ def histogram(df: DataFrame, group_cols, value_col: str, weight_col: str | None
             .groupBy(*g, value_col).agg(w.cast("long").alias("_w")))
 
 
-def prefix_weights(hist: DataFrame, group_cols, value_col: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Adds ``_before`` (weight of strictly smaller values in the group) and ``_n`` (group total weight)."""
+def prefix_weights(hist: DataFrame, group_cols, value_col: str, buckets: int | None = None) -> DataFrame:
+    """Adds ``_before`` (weight of strictly smaller values in the group) and ``_n`` (group total weight).
+
+    ``buckets``: number of ranges; by default as many shuffle partitions as the data fill."""
     g = _cols(group_cols)
-    probs = [i / buckets for i in range(1, buckets)]
-    splits = hist.groupBy(*g).agg(
-        F.percentile_approx(value_col, probs, max(1000, 50 * buckets)).alias("_splits"))
-    if g:
-        hb = _join_null_safe(hist, splits, g)
-        split_col = F.col("_splits")
-    else:  # one row: a scalar subquery, no join
-        hb = hist
-        split_col = splits.select("_splits").scalar()
-    # bucket = number of cut points below the value (plain comparisons: codegen, and legal with a subquery)
-    v = F.col(value_col)
-    bucket = sum((F.when(v > F.get(split_col, i), 1).otherwise(0) for i in range(buckets - 1)), F.lit(0))
-    hb = hb.withColumn("_b", bucket).drop("_splits")
-
-    per_bucket = hb.groupBy(*g, "_b").agg(F.sum("_w").alias("_bw"))
-    by_group = Window.partitionBy(*g) if g else Window.partitionBy()
-    offsets = per_bucket.select(
-        *g, "_b",
-        F.coalesce(F.sum("_bw").over(by_group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"),
-        F.sum("_bw").over(by_group).alias("_n"),
-    )
-    inside = Window.partitionBy(*g, "_b").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
-    return (_join_null_safe(hb, offsets, g + ["_b"])
-            .withColumn("_before", F.col("_off") + F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-            .drop("_off", "_b"))
+    ranged = hist.repartitionByRange(*([buckets] if buckets else []), *g, value_col)
+    hb = cut_lineage(ranged.withColumn("_p", F.spark_partition_id()))
+    by_group = Window.partitionBy(*g)
+    offsets = hb.groupBy(*g, "_p").agg(F.sum("_w").alias("_pw")).select(
+        *g, "_p", (F.sum("_pw").over(by_group.orderBy("_p")) - F.col("_pw")).alias("_off"), F.sum("_pw").over(by_group).alias("_n"))
+    inside = F.sum("_w").over(Window.partitionBy(*g, "_p").orderBy(value_col)) - F.col("_w")
+    return (_join_null_safe(hb.withColumn("_in", inside), offsets, g + ["_p"])
+            .withColumn("_before", F.col("_off") + F.col("_in")).drop("_off", "_in", "_p"))
 
 
 def exact_quantiles(df: DataFrame, group_cols, value_col: str, probs: dict[str, float],
-                    weight_col: str | None = None, buckets: int = DEFAULT_BUCKETS,
+                    weight_col: str | None = None, buckets: int | None = None,
                     hist: DataFrame | None = None) -> DataFrame:
     """Per group, quantiles by linear interpolation between closest ranks (as pandas / DuckDB
     ``quantile_cont``). ``probs`` maps output column → probability. Groups with no value are absent."""
@@ -108,15 +91,30 @@ def scalar_median(df: DataFrame, value_col: str) -> Column:
     return exact_median(df, [], value_col, name="_m").select("_m").scalar()
 
 
-def pct_rank(df: DataFrame, value_col: str, out_col: str, group_cols=None,
-             buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Percentile rank with ties averaged: (rank of first tie + (ties - 1)/2) / non-null count.
-
-    Distinct values are ranked (not rows), then joined back; null values get a null rank.
-    """
-    g = _cols(group_cols)
-    pw = prefix_weights(histogram(df, g, value_col), g, value_col, buckets)
-    ranks = pw.select(*[F.col(c).alias(f"_rk_{c}") for c in g], F.col(value_col).alias("_rk_v"),
-                      ((F.col("_before") + (F.col("_w") + 1) / F.lit(2.0)) / F.col("_n")).alias(out_col))
-    cond = [F.col(c).eqNullSafe(F.col(f"_rk_{c}")) for c in g] + [F.col(value_col) == F.col("_rk_v")]
-    return df.join(ranks, cond, "left").drop(*[f"_rk_{c}" for c in g], "_rk_v")
+def pct_rank(df: DataFrame, value_col: str, out_col: str, group_cols=None, key_cols=None,
+             buckets: int | None = None) -> DataFrame:
+    """Percentile rank with ties averaged: (rank of first tie + (ties - 1)/2) / non-null count; null values get a
+    null rank.
+
+    Distinct values are ranked (not rows). With ``key_cols``, which must determine the value within a group, the
+    rank is carried to the keys first and ``df`` is joined on them instead of on the value; keys with two values raise."""
+    g, keys = _cols(group_cols), _cols(key_cols)
+    if not keys:
+        pw = prefix_weights(histogram(df, g, value_col), g, value_col, buckets)
+        found = pw.select(*g, F.col(value_col).alias("_rk_v"), _mid_rank().alias(out_col))
+        cond = F.col(value_col) == F.col("_rk_v")
+    else:
+        cells = cut_lineage(df.filter(F.col(value_col).isNotNull()).groupBy(*g, *keys).agg(
+            F.count(F.lit(1)).alias("_w"), F.min(value_col).alias("_lo"), F.max(value_col).alias("_hi")))
+        one = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(F.raise_error(F.lit("a key with two values to rank")).cast("double"))
+        cells = cells.select(*g, *keys, "_w", one.alias("_rk_v"))
+        pw = prefix_weights(histogram(cells, g, "_rk_v", "_w"), g, "_rk_v", buckets)
+        found = _join_null_safe(cells.drop("_w"), pw.select(*g, "_rk_v", _mid_rank().alias(out_col)), [*g, "_rk_v"])
+        cond = F.col(value_col).isNotNull()
+    right = found.select(*[F.col(c).alias(f"_rk_{c}") for c in [*g, *keys]], *(["_rk_v"] if not keys else []), out_col)
+    on = [F.col(c).eqNullSafe(F.col(f"_rk_{c}")) for c in [*g, *keys]]
+    return df.join(right, [*on, cond], "left").drop(*[f"_rk_{c}" for c in [*g, *keys]], "_rk_v")
+
+
+def _mid_rank() -> Column:
+    return (F.col("_before") + (F.col("_w") + 1) / F.lit(2.0)) / F.col("_n")

@@ -62,8 +62,8 @@ def describe(df: DataFrame, col: str) -> DataFrame:
     base = df.agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
                   F.min(col).alias("min"), F.max(col).alias("max"))
     q = exact_quantiles(df, [], col, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    qs = {n: q.select(n).scalar() for n in ("q25", "q50", "q75")}
-    return base.select("count", "mean", "std", "min", *[v.alias(n) for n, v in qs.items()], "max")
+    qs = q.select(F.struct("q25", "q50", "q75")).scalar()
+    return base.withColumn("_q", qs).select("count", "mean", "std", "min", "_q.q25", "_q.q50", "_q.q75", "max")
 
 
 def skew_kurtosis(df: DataFrame, col: str = TARGET) -> DataFrame:

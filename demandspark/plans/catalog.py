@@ -10,26 +10,29 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandspark.functions.metrics import r2
+from demandspark.operators import cv
 from demandspark.operators import domain as dom
 from demandspark.operators import ensemble as ens
 from demandspark.operators import errors as err
 from demandspark.operators import profile as prof
 from demandspark.operators.encoding import ENCODING_SPECS, FOLD, FRAME, LABELLED, encode_rows, split_frames, stack_frames
 from demandspark.operators.features import frequency_encode
-from demandspark.operators.lags import IMPUTED, cell_stats, lag_names, lag_rows, lag_table, stat_names
+from demandspark.operators.lags import IMPUTED, cell_stats, day_pairs, lag_names, lag_rows, lag_table, stat_names
 from demandspark.operators.matrix import categorical_features, feature_matrix, numeric_features
 from demandspark.plans import oracle as O
 from demandspark.plans.flagship import Frames, base_frames, build_features
 from demandspark.session import cut_lineage
-from demandspark.sources.panel import BINDING, load_frames
+from demandspark.sources.panel import load_binding, load_frames, sample_submission
 from demandspark.sources.schemas import ROW_KEY, TARGET
 
-REF, TGT = BINDING.ref_day, BINDING.target_day
+REF, TGT = O.REF, O.TGT  # in SQL
 
 
 @dataclass
@@ -72,7 +75,9 @@ def sql_finish(body: str, doubles, extra_ctes: str = "", base: bool = True) -> s
 # ---- frame builders ---------------------------------------------------------------------------------------
 
 def raw(spark, d):
-    return load_frames(spark, d)
+    """Labelled frame, unlabelled frame, and the days they are bound to."""
+    days = load_binding(spark, d)
+    return *load_frames(spark, d, days), days
 
 
 def base(spark, d) -> Frames:
@@ -86,18 +91,18 @@ def _rows_op(fr: Frames, op, pre_cut: bool = False) -> Frames:
     rows = stack_frames(fr.train, fr.test)
     rows = cut_lineage(op(cut_lineage(rows) if pre_cut else rows))
     tr, te = split_frames(rows, fr.train.columns, fr.test.columns)
-    return Frames(tr, te, fr.te_cols)
+    return Frames(tr, te, fr.te_cols, fr.binding)
 
 
 def lagged(spark, d, fallback=0.09394) -> Frames:
-    return _rows_op(base(spark, d), lambda rows: lag_rows(rows, REF, fallback=fallback,
-                                                          labelled=F.col(FRAME) == LABELLED))
+    fr = base(spark, d)
+    return _rows_op(fr, lambda rows: lag_rows(rows, fr.binding.ref_day, fallback=fallback, labelled=F.col(FRAME) == LABELLED))
 
 
 def encoded(spark, d, specs, lags=True) -> Frames:
     fr = lagged(spark, d) if lags else base(spark, d)
     out = _rows_op(fr, lambda rows: encode_rows(rows, specs), pre_cut=not lags)
-    return Frames(out.train, out.test, [s.name for s in specs])
+    return Frames(out.train, out.test, [s.name for s in specs], out.binding)
 
 
 def both(fr: Frames, cols) -> DataFrame:
@@ -141,10 +146,11 @@ def _scan_test(spark, d):
 # ---- profiling -----------------------------------------------------------------------------------------------
 
 @reg("aud_shape", sql_finish("SELECT 'train' AS frame, count(*) AS rows, 11 AS columns FROM train "
-                             "UNION ALL SELECT 'test' AS frame, count(*) AS rows, 10 AS columns FROM test", []))
+                             "UNION ALL SELECT 'test' AS frame, count(*) AS rows, 10 AS columns FROM test "
+                             "UNION ALL SELECT 'sample' AS frame, count(*) AS rows, 2 AS columns FROM (SELECT Index, 0 AS demand FROM test)", []))
 def _aud_shape(spark, d):
-    tr, te = raw(spark, d)
-    return prof.shape({"train": tr, "test": te})
+    tr, te, days = raw(spark, d)
+    return prof.shape({"train": tr, "test": te, "sample": sample_submission(te)})
 
 
 def _missing_sql(frame: str, cols) -> str:
@@ -155,7 +161,7 @@ def _missing_sql(frame: str, cols) -> str:
 
 @reg("aud_missing_count", sql_finish(_missing_sql("train", RAW_TRAIN) + " UNION ALL " + _missing_sql("test", RAW_TEST), []))
 def _aud_missing_count(spark, d):
-    tr, te = raw(spark, d)
+    tr, te, days = raw(spark, d)
     return prof.missing_counts(tr, "train").unionByName(prof.missing_counts(te, "test"))
 
 
@@ -166,7 +172,7 @@ FULL OUTER JOIN (SELECT "column", round(missing * 100.0::DOUBLE / rows, 2) AS te
 ON a."column" = b."column"
 WHERE greatest(a.train_pct, b.test_pct) > 0""", ["train_pct", "test_pct"]))
 def _aud_missing_pct(spark, d):
-    tr, te = raw(spark, d)
+    tr, te, days = raw(spark, d)
     return prof.missing_pct(tr, te)
 
 
@@ -178,7 +184,7 @@ UNION ALL SELECT 'test' AS frame,
   (SELECT count(*) FROM test) - (SELECT count(*) FROM (SELECT DISTINCT geohash, day, RoadType, Weather FROM test)),
   (SELECT count(*) FROM test) - (SELECT count(*) FROM (SELECT DISTINCT * FROM test))""", []))
 def _aud_duplicates(spark, d):
-    tr, te = raw(spark, d)
+    tr, te, days = raw(spark, d)
     proj = ["geohash", "day", "RoadType", "Weather"]
     out = None
     for name, df in (("train", tr), ("test", te)):
@@ -223,23 +229,23 @@ def _aud_nunique(spark, d):
        (SELECT count(*) FROM (SELECT geohash FROM train INTERSECT SELECT geohash FROM test WHERE geohash IS NOT NULL))
          * 100.0::DOUBLE / (SELECT count(DISTINCT geohash) FROM test) AS pct_of_test""", ["pct_of_test"]))
 def _aud_cell_overlap(spark, d):
-    tr, te = raw(spark, d)
+    tr, te, days = raw(spark, d)
     return prof.cell_overlap(tr, te)
 
 
 @reg("aud_days", sql_finish("SELECT DISTINCT 'train' AS frame, day FROM train WHERE day IS NOT NULL "
                             "UNION ALL SELECT DISTINCT 'test' AS frame, day FROM test WHERE day IS NOT NULL", []))
 def _aud_days(spark, d):
-    tr, te = raw(spark, d)
+    tr, te, days = raw(spark, d)
     return (prof.distinct_sorted(tr, "day").select(F.lit("train").alias("frame"), "day")
-            .unionByName(prof.distinct_sorted(te, "day").select(F.lit("test").alias("frame"), "day")))
+            .unionByName(prof.distinct_sorted(te, "day").select(F.lit("test").alias("frame"), "day")).orderBy("frame", "day"))
 
 
 @reg("aud_day_range", sql_finish(
     "SELECT 'train' AS frame, min(day) AS min_day, max(day) AS max_day, count(DISTINCT day) AS n_days FROM train "
     "UNION ALL SELECT 'test', min(day), max(day), count(DISTINCT day) FROM test", []))
 def _aud_day_range(spark, d):
-    tr, te = raw(spark, d)
+    tr, te, days = raw(spark, d)
     return (prof.day_range(tr).select(F.lit("train").alias("frame"), "*")
             .unionByName(prof.day_range(te).select(F.lit("test").alias("frame"), "*")))
 
@@ -253,18 +259,18 @@ def _aud_head(spark, d):
     f"SELECT 'train' AS frame, day, count(*) AS rows FROM train WHERE day IN ({REF}, {TGT}) GROUP BY day "
     f"UNION ALL SELECT 'test', day, count(*) FROM test WHERE day IN ({REF}, {TGT}) GROUP BY day", []))
 def _aud_rows_by_day(spark, d):
-    tr, te = raw(spark, d)
-    return (prof.rows_by_day(tr, [REF, TGT]).select(F.lit("train").alias("frame"), "day", "rows")
-            .unionByName(prof.rows_by_day(te, [REF, TGT]).select(F.lit("test").alias("frame"), "day", "rows")))
+    tr, te, days = raw(spark, d)
+    return (prof.rows_by_day(tr, [days.ref_day, days.target_day]).select(F.lit("train").alias("frame"), "day", "rows")
+            .unionByName(prof.rows_by_day(te, [days.ref_day, days.target_day]).select(F.lit("test").alias("frame"), "day", "rows")))
 
 
 @reg("aud_slots_by_day", sql_finish(
     f"SELECT 'train' AS frame, day, count(DISTINCT timestamp) AS slots FROM train WHERE day IN ({REF}, {TGT}) GROUP BY day "
     f"UNION ALL SELECT 'test', day, count(DISTINCT timestamp) FROM test WHERE day IN ({REF}, {TGT}) GROUP BY day", []))
 def _aud_slots_by_day(spark, d):
-    tr, te = raw(spark, d)
-    return (prof.slots_by_day(tr, [REF, TGT]).select(F.lit("train").alias("frame"), "day", "slots")
-            .unionByName(prof.slots_by_day(te, [REF, TGT]).select(F.lit("test").alias("frame"), "day", "slots")))
+    tr, te, days = raw(spark, d)
+    return (prof.slots_by_day(tr, [days.ref_day, days.target_day]).select(F.lit("train").alias("frame"), "day", "slots")
+            .unionByName(prof.slots_by_day(te, [days.ref_day, days.target_day]).select(F.lit("test").alias("frame"), "day", "slots")))
 
 
 def _slot_ov_sql(name, a, b):
@@ -278,8 +284,8 @@ def _slot_ov_sql(name, a, b):
                         _slot_ov_sql("test_target~train_target", f"(SELECT * FROM train WHERE day = {TGT})", f"(SELECT * FROM test WHERE day = {TGT})"),
                         _slot_ov_sql("test_target~train_ref", f"(SELECT * FROM train WHERE day = {REF})", f"(SELECT * FROM test WHERE day = {TGT})")]), []))
 def _aud_slot_overlap(spark, d):
-    tr, te = raw(spark, d)
-    tr_ref, tr_tgt, te_tgt = tr.filter(F.col("day") == REF), tr.filter(F.col("day") == TGT), te.filter(F.col("day") == TGT)
+    tr, te, days = raw(spark, d)
+    tr_ref, tr_tgt, te_tgt = (df.filter(F.col("day") == day) for df, day in ((tr, days.ref_day), (tr, days.target_day), (te, days.target_day)))
     parts = [("train_ref~train_target", tr_ref, tr_tgt), ("test_target~train_target", tr_tgt, te_tgt),
              ("test_target~train_ref", tr_ref, te_tgt)]
     out = None
@@ -292,7 +298,7 @@ def _aud_slot_overlap(spark, d):
 @reg("aud_cells", sql_finish("SELECT 'train' AS frame, count(DISTINCT geohash) AS cells FROM train "
                              "UNION ALL SELECT 'test', count(DISTINCT geohash) FROM test", []))
 def _aud_cells(spark, d):
-    tr, te = raw(spark, d)
+    tr, te, days = raw(spark, d)
     return (tr.agg(F.countDistinct("geohash").alias("cells")).select(F.lit("train").alias("frame"), "cells")
             .unionByName(te.agg(F.countDistinct("geohash").alias("cells")).select(F.lit("test").alias("frame"), "cells")))
 
@@ -301,10 +307,10 @@ def _aud_cells(spark, d):
     f"SELECT 'train' AS frame, count(*) AS groups FROM (SELECT DISTINCT geohash, timestamp FROM train WHERE day = {TGT}) "
     f"UNION ALL SELECT 'test', count(*) FROM (SELECT DISTINCT geohash, timestamp FROM test WHERE day = {TGT})", []))
 def _aud_cell_slot_groups(spark, d):
-    tr, te = raw(spark, d)
-    return (prof.distinct_count(tr.filter(F.col("day") == TGT), ["geohash", "timestamp"], "groups")
+    tr, te, days = raw(spark, d)
+    return (prof.distinct_count(tr.filter(F.col("day") == days.target_day), ["geohash", "timestamp"], "groups")
             .select(F.lit("train").alias("frame"), "groups")
-            .unionByName(prof.distinct_count(te.filter(F.col("day") == TGT), ["geohash", "timestamp"], "groups")
+            .unionByName(prof.distinct_count(te.filter(F.col("day") == days.target_day), ["geohash", "timestamp"], "groups")
                          .select(F.lit("test").alias("frame"), "groups")))
 
 
@@ -312,9 +318,9 @@ def _aud_cell_slot_groups(spark, d):
     f"SELECT count(*) AS overlap FROM (SELECT geohash, timestamp FROM train WHERE day = {TGT} "
     f"INTERSECT SELECT geohash, timestamp FROM test WHERE day = {TGT})", []))
 def _aud_pair_overlap(spark, d):
-    tr, te = raw(spark, d)
-    a = tr.filter(F.col("day") == TGT).select("geohash", "timestamp")
-    b = te.filter(F.col("day") == TGT).select("geohash", "timestamp")
+    tr, te, days = raw(spark, d)
+    a = tr.filter(F.col("day") == days.target_day).select("geohash", "timestamp")
+    b = te.filter(F.col("day") == days.target_day).select("geohash", "timestamp")
     return a.intersect(b).agg(F.count(F.lit(1)).alias("overlap"))
 
 
@@ -325,13 +331,13 @@ def _slots_sql(label: bool) -> str:
 
 
 def _target_slots(spark, d, label):
-    tr, te = raw(spark, d)
+    tr, te, days = raw(spark, d)
     out = None
     for name, df in (("train", tr), ("test", te)):
-        s = prof.target_slots(df.filter(F.col("day") == TGT))
+        s = prof.target_slots(df.filter(F.col("day") == days.target_day))
         s = s.select(F.lit(name).alias("frame"), "minutes", *(["label"] if label else []))
         out = s if out is None else out.unionByName(s)
-    return out
+    return out.orderBy("frame", "minutes")
 
 
 Q["aud_target_slots"] = Query(lambda s, d: finish(_target_slots(s, d, False)), sql_finish(_slots_sql(False), []))
@@ -344,8 +350,8 @@ Q["aud_slot_labels"] = Query(lambda s, d: finish(_target_slots(s, d, True)), sql
        (SELECT count(*) FROM (SELECT geohash FROM train WHERE day = {TGT} AND geohash IS NOT NULL
                               INTERSECT SELECT geohash FROM test WHERE day = {TGT} AND geohash IS NOT NULL)) AS overlap""", []))
 def _aud_target_cells(spark, d):
-    tr, te = raw(spark, d)
-    a, b = tr.filter(F.col("day") == TGT), te.filter(F.col("day") == TGT)
+    tr, te, days = raw(spark, d)
+    a, b = tr.filter(F.col("day") == days.target_day), te.filter(F.col("day") == days.target_day)
     ov = prof.key_overlap(a.filter(F.col("geohash").isNotNull()), b.filter(F.col("geohash").isNotNull()), ["geohash"])
     return ov.select(F.col("left_keys").alias("train_cells"), F.col("right_keys").alias("test_cells"), "overlap")
 
@@ -354,7 +360,8 @@ def _aud_target_cells(spark, d):
     "slots", f"(SELECT geohash, count(DISTINCT timestamp) AS slots FROM train WHERE day = {REF} AND geohash IS NOT NULL GROUP BY geohash)"),
     ["mean", "std", "q25", "q50", "q75"]))
 def _aud_slots_per_cell(spark, d):
-    return prof.slots_per_cell(raw(spark, d)[0].filter(F.col("day") == REF))
+    tr, _, days = raw(spark, d)
+    return prof.slots_per_cell(tr.filter(F.col("day") == days.ref_day))
 
 
 # ---- scalar features (both frames) ---------------------------------------------------------------------------
@@ -387,16 +394,12 @@ for _name, (_cols, _dbl) in FEATURE_QUERIES.items():
 
 # ---- day pairs and lags -----------------------------------------------------------------------------------
 
-PAIRS_SQL = (f"SELECT a.geohash, a.timestamp, a.demand AS demand_target, b.demand AS demand_ref "
-             f"FROM (SELECT * FROM train WHERE day = {TGT}) a JOIN (SELECT * FROM train WHERE day = {REF}) b "
-             f"ON a.geohash = b.geohash AND a.timestamp = b.timestamp")
+PAIRS_SQL = ("SELECT a.day, a.geohash, a.timestamp, a.demand AS demand_target, b.demand AS demand_ref "
+             "FROM train a JOIN train b ON a.geohash = b.geohash AND a.timestamp = b.timestamp AND b.day = a.day - 1")
 
 
 def _pairs(spark, d):
-    tr = raw(spark, d)[0].select("geohash", "timestamp", "day", TARGET)
-    a = tr.filter(F.col("day") == TGT).select("geohash", "timestamp", F.col(TARGET).alias("demand_target"))
-    b = tr.filter(F.col("day") == REF).select("geohash", "timestamp", F.col(TARGET).alias("demand_ref"))
-    return a.join(b, ["geohash", "timestamp"], "inner")
+    return day_pairs(raw(spark, d)[0])
 
 
 Q["join_day_pairs"] = Query(lambda s, d: finish(_pairs(s, d)), sql_finish(PAIRS_SQL, ["demand_target", "demand_ref"]))
@@ -413,7 +416,8 @@ LAGS = lag_names()
 
 
 def _ref(spark, d):
-    return base(spark, d).train.filter(F.col("day") == REF)
+    fr = base(spark, d)
+    return fr.train.filter(F.col("day") == fr.binding.ref_day)
 
 
 Q["lag_cell_stats"] = Query(lambda s, d: finish(cell_stats(_ref(s, d)).select("geohash", *STATS[:4])),
@@ -424,7 +428,7 @@ Q["lag_cell_peaks"] = Query(lambda s, d: finish(cell_stats(_ref(s, d)).select("g
 
 def _unmasked(spark, d):
     fr = base(spark, d)
-    ref = fr.train.filter(F.col("day") == REF)
+    ref = fr.train.filter(F.col("day") == fr.binding.ref_day)
     t = lag_table(ref)
     return Frames(fr.train.join(t, ["geohash", "total_minutes"], "left"), fr.test.join(t, ["geohash", "total_minutes"], "left"))
 
@@ -571,6 +575,22 @@ def _matrix(spark, d, version=2):
     return tr.select(F.lit("train").alias("frame"), "*").unionByName(te.select(F.lit("test").alias("frame"), "*"))
 
 
+def _matrix_cat(spark, d) -> DataFrame:
+    """Mixed matrix of the categorical-aware learner: numeric features plus indexed categoricals (``StringIndexer``
+    fitted on the labelled frame: by count, ties by name; unseen levels share an extra index), both frames."""
+    both_ = cut_lineage(_matrix(spark, d))
+    stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in CAT]
+    return Pipeline(stages=stages).fit(both_.filter(F.col("frame") == "train")).transform(both_)
+
+
+def _matrix_cat_sql() -> str:
+    index = "".join(
+        f" LEFT JOIN (SELECT {c} AS k{i}, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS i{i} FROM m WHERE frame = 'train' GROUP BY {c}) x{i} "
+        f"ON x{i}.k{i} = m.{c}" for i, c in enumerate(CAT))
+    cols = ", ".join(f"CAST(coalesce(i{i}, (SELECT count(DISTINCT {c}) FROM m WHERE frame = 'train')) AS DOUBLE) AS {c}__idx" for i, c in enumerate(CAT))
+    return f"WITH m AS ({_matrix_sql()}) SELECT m.*, {cols} FROM m{index}"
+
+
 def _matrix_sql(version=2) -> str:
     num_cols, cat_cols = numeric_features(version), categorical_features(version)
     num = ", ".join(f"coalesce(CAST({c} AS DOUBLE), -999.0::DOUBLE) AS {c}" for c in num_cols)
@@ -581,6 +601,7 @@ def _matrix_sql(version=2) -> str:
 
 
 Q["feature_matrix"] = Query(lambda s, d: finish(_matrix(s, d)), _matrix_sql(), NUM + [TARGET])
+Q["feature_matrix_cat"] = Query(lambda s, d: finish(_matrix_cat(s, d)), _matrix_cat_sql(), NUM + [TARGET])
 Q["feature_matrix_v1"] = Query(lambda s, d: finish(_matrix(s, d, 1)), _matrix_sql(1), numeric_features(1) + [TARGET])
 
 
@@ -590,13 +611,22 @@ def stand_in_predictions(spark, d) -> DataFrame:
     """Labelled rows with three leakage-safe predictors: p1 = out-of-fold cell-hour mean, p2 = out-of-fold
     cell mean, p3 = imputed reference-day lag."""
     fr = encoded(spark, d, O.ENS_SPECS, True)
-    return fr.train.select(ROW_KEY, "geohash", "hour", "RoadType", TARGET,
+    return fr.train.select(ROW_KEY, FOLD, "geohash", "hour", "RoadType", TARGET,
                            F.col("te__geohash__hour__mean").alias("p1"), F.col("te__geohash__mean").alias("p2"),
                            F.col(IMPUTED).alias("p3"))
 
 
 ENS = O.ens_ctes()
-Q["ens_stack"] = Query(lambda s, d: finish(stand_in_predictions(s, d).select(ROW_KEY, TARGET, "p1", "p2", "p3")),
+
+
+def _stacked(spark, d) -> DataFrame:
+    """The stand-in predictors in long form (one row for each key and predictor), stacked by the row key."""
+    wide = cut_lineage(stand_in_predictions(spark, d).select(ROW_KEY, TARGET, *ens.PREDS))
+    each = F.explode(F.array(*[F.struct(F.lit(p).alias("learner"), F.col(p).alias("prediction")) for p in ens.PREDS]))
+    return ens.stack(wide.select(ROW_KEY, each.alias("_p")).select(ROW_KEY, "_p.*"), ens.PREDS, wide.select(ROW_KEY, TARGET))
+
+
+Q["ens_stack"] = Query(lambda s, d: finish(_stacked(s, d)),
                        sql_finish("SELECT Index, demand, p1, p2, p3 FROM pred", ["demand", "p1", "p2", "p3"], ENS))
 
 
@@ -607,7 +637,40 @@ def _grid(spark, d):
 Q["ens_grid"] = Query(lambda s, d: finish(_grid(s, d)), sql_finish("SELECT w1, w2, w3, r2 FROM scores", ["w1", "w2", "w3", "r2"], ENS))
 BEST_SQL = "SELECT w1, w2, w3, r2 FROM scores ORDER BY round(r2, 12) DESC, w1 DESC, w2 DESC, w3 DESC LIMIT 1"
 Q["ens_grid_best"] = Query(lambda s, d: finish(ens.grid_best(_grid(s, d))), sql_finish(BEST_SQL, ["w1", "w2", "w3", "r2"], ENS))
-Q["ens_weights"] = Query(lambda s, d: finish(ens.optimal_weights(ens.gram_stats(stand_in_predictions(s, d), TARGET))))
+Q["ens_weights"] = Query(lambda s, d: finish(ens.optimal_weights(ens.gram_stats(stand_in_predictions(s, d), TARGET))),
+                         sql_finish(f"SELECT * FROM {O.weights_sql()}", ["w1", "w2", "w3", "r2"], ENS))
+
+
+def _blended(spark, d) -> DataFrame:
+    p = cut_lineage(stand_in_predictions(spark, d).select(ROW_KEY, TARGET, *ens.PREDS))
+    return ens.blend(p, ens.grid_best(ens.grid(ens.gram_stats(p, TARGET)))).select(ROW_KEY, "blend", "blend_clipped")
+
+
+Q["ens_blend"] = Query(
+    lambda s, d: finish(_blended(s, d)),
+    sql_finish("SELECT Index, b AS blend, CASE WHEN b IS NOT NULL THEN least(greatest(b, 0.0::DOUBLE), 1.0::DOUBLE) END AS blend_clipped "
+               f"FROM (SELECT Index, w1 * p1 + w2 * p2 + w3 * p3 AS b FROM pred, ({BEST_SQL}))", ["blend", "blend_clipped"], ENS))
+
+
+# scores of the three stand-in predictors by fold: what the model queries report of fitted learners
+
+def _by_learner(spark, d, score) -> DataFrame:
+    p = cut_lineage(stand_in_predictions(spark, d).select(ROW_KEY, FOLD, TARGET, *ens.PREDS))
+    out = [score(p.select(ROW_KEY, FOLD, F.col(n).alias(cv.PREDICTION)), p).select(F.lit(n).alias("learner"), "*") for n in ens.PREDS]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def _r2_sql(p: str) -> str:
+    return f"1 - sum((demand - {p}) ^ 2) / nullif(var_pop(demand) * count(demand), 0)"
+
+
+FOLD_SQL = " UNION ALL ".join(f"SELECT '{p}' AS learner, fold, {_r2_sql(p)} AS r2 FROM pred GROUP BY fold" for p in ens.PREDS)
+Q["ens_fold_scores"] = Query(lambda s, d: finish(_by_learner(s, d, cv.fold_scores)), sql_finish(FOLD_SQL, ["r2"], ENS))
+Q["ens_fold_summary"] = Query(
+    lambda s, d: finish(_by_learner(s, d, cv.score_summary)),
+    sql_finish(f"SELECT f.learner, any_value(o.oof_r2) AS oof_r2, avg(f.r2) AS fold_mean, stddev_pop(f.r2) AS fold_std FROM ({FOLD_SQL}) f JOIN ("
+               + " UNION ALL ".join(f"SELECT '{p}' AS learner, {_r2_sql(p)} AS oof_r2 FROM pred" for p in ens.PREDS)
+               + ") o ON o.learner = f.learner GROUP BY f.learner", ["oof_r2", "fold_mean", "fold_std"], ENS))
 
 
 def _errors_frame(spark, d) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Shape of the plan: one aggregate of ``events`` into the panel (materialised once to the checkpoint folder,
 so the labelled and unlabelled frames do not each re-scan the events), one projection of base features,
-three frequency lookups, one statistics and one wide lag lookup, 30 encoding lookups (one per key set), then
+three frequency lookups, one statistics and one wide lag lookup, four encoding lookups (one per anchor), then
 the domain projection and one rank join. The frames are checkpointed (reliable checkpoint folder) after the
 base features, after the lags and after the encodings: each block's statistics are then computed from a
 short plan, and a lost executor recomputes at most one block.
@@ -13,13 +13,15 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from demandspark.operators.domain import domain_features
-from demandspark.operators.encoding import ENCODING_SPECS, add_fold, target_encode
-from demandspark.operators.features import base_features, frequency_encode
-from demandspark.operators.lags import REFERENCE_FALLBACK, add_reference_day_lags
+from demandspark.operators.encoding import (ENCODING_SPECS, FOLD, FRAME, LABELLED, UNLABELLED, add_fold, encode_rows, stack_frames)
+from demandspark.operators.features import apply_frequency, base_features, frequency_tables
+from demandspark.operators.lags import REFERENCE_FALLBACK, lag_rows
 from demandspark.session import cut_lineage
-from demandspark.sources.panel import BINDING, PanelBinding, load_panel, split_panel
+from demandspark.sources.panel import PanelBinding, load_binding, load_panel, split_panel
+from demandspark.sources.schemas import TARGET
 
 
 @dataclass
@@ -27,56 +29,43 @@ class Frames:
     train: DataFrame
     test: DataFrame
     te_cols: list[str] = field(default_factory=list)
+    binding: PanelBinding | None = None
 
 
-def base_frames(spark: SparkSession, data_dir: str, binding: PanelBinding = BINDING,
-                checkpoint: bool = True, cut_panel: bool | None = None) -> Frames:
-    """Labelled frame with its ``fold``, unlabelled frame, both with base features.
+def base_rows(spark: SparkSession, data_dir: str, binding: PanelBinding | None = None, cut_panel: bool = True) -> tuple[DataFrame, PanelBinding]:
+    """Both frames with base features, stacked (labelled rows have their ``fold``), and the days they are bound to.
 
-    The panel is materialised once (``cut_panel``, default on) so the two frames and every later consumer
-    read it instead of re-aggregating ``events``; ``checkpoint`` also materialises the two frames."""
+    The panel is materialised once (``cut_panel``), so that ``events`` is aggregated once."""
+    binding = binding or load_binding(spark, data_dir)
     panel = load_panel(spark, data_dir)
-    if checkpoint if cut_panel is None else cut_panel:
-        panel = cut_lineage(panel)
-    train, test = split_panel(panel, binding)
-    fr = Frames(add_fold(base_features(train)), base_features(test))
-    return _cut(fr) if checkpoint else fr
-
-
-def _cut(fr: Frames) -> Frames:
-    return Frames(cut_lineage(fr.train), cut_lineage(fr.test), fr.te_cols)
+    train, test = split_panel(cut_lineage(panel) if cut_panel else panel, binding)
+    return base_features(stack_frames(add_fold(train), test), FRAME, (LABELLED, UNLABELLED)), binding
 
 
-def with_lags(fr: Frames, binding: PanelBinding = BINDING,
-              fallback: Column | float | None = REFERENCE_FALLBACK) -> Frames:
-    train, test = add_reference_day_lags(fr.train, fr.test, binding.ref_day, fallback=fallback)
-    return Frames(train, test, fr.te_cols)
+def base_frames(spark: SparkSession, data_dir: str, binding: PanelBinding | None = None,
+                checkpoint: bool = True, cut_panel: bool | None = None) -> Frames:
+    """Labelled frame with its ``fold``, unlabelled frame, both with base features; ``checkpoint`` materialises the two
+    frames."""
+    rows, binding = base_rows(spark, data_dir, binding, checkpoint if cut_panel is None else cut_panel)
+    fr = split_rows(rows, binding)
+    return _cut(fr) if checkpoint else fr
 
 
-def with_frequency(fr: Frames) -> Frames:
-    train, test = frequency_encode(fr.train, fr.test)
-    return Frames(train, test, fr.te_cols)
+def split_rows(rows: DataFrame, binding: PanelBinding, te_cols=()) -> Frames:
+    return Frames(rows.filter(F.col(FRAME) == LABELLED).drop(FRAME), rows.filter(F.col(FRAME) == UNLABELLED).drop(FRAME, FOLD, TARGET),
+                  list(te_cols), binding)
 
 
-def with_encodings(fr: Frames, specs=ENCODING_SPECS) -> Frames:
-    train, test, names = target_encode(fr.train, fr.test, specs)
-    return Frames(train, test, names)
+def _cut(fr: Frames) -> Frames:
+    return Frames(cut_lineage(fr.train), cut_lineage(fr.test), fr.te_cols, fr.binding)
 
 
-def build_features(spark: SparkSession, data_dir: str, version: int = 2, binding: PanelBinding = BINDING,
+def build_features(spark: SparkSession, data_dir: str, version: int = 2, binding: PanelBinding | None = None,
                    lag_fallback: Column | float | None = REFERENCE_FALLBACK, checkpoint: bool = True) -> Frames:
     """Both frames stacked through every lookup (unlabelled rows carry fold = -1 → all-folds statistics):
     one frequency, one lag and one encoding lookup chain for all rows, cut after the lags and after the
     encodings."""
-    from pyspark.sql import functions as F
-
-    from demandspark.operators.encoding import FOLD, FRAME, LABELLED, UNLABELLED, encode_rows, stack_frames
-    from demandspark.operators.features import apply_frequency, frequency_tables
-    from demandspark.operators.lags import lag_rows
-    from demandspark.sources.schemas import TARGET
-
-    fr = base_frames(spark, data_dir, binding, checkpoint=False, cut_panel=checkpoint)
-    rows = stack_frames(fr.train, fr.test)
+    rows, binding = base_rows(spark, data_dir, binding, cut_panel=checkpoint)
     labelled = F.col(FRAME) == LABELLED
     rows = apply_frequency(rows, frequency_tables(rows.filter(labelled)))
     if version == 2:
@@ -87,7 +76,4 @@ def build_features(spark: SparkSession, data_dir: str, version: int = 2, binding
     if checkpoint:
         rows = cut_lineage(rows)
     rows = domain_features(rows, version == 2, frame_col=FRAME)
-    te_cols = [s.name for s in ENCODING_SPECS]
-    train = rows.filter(labelled).drop(FRAME)
-    test = rows.filter(F.col(FRAME) == UNLABELLED).drop(FRAME, FOLD, TARGET)
-    return Frames(train, test, te_cols)
+    return split_rows(rows, binding, [s.name for s in ENCODING_SPECS])

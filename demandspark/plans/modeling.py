@@ -1,9 +1,9 @@
-"""Model stage of the flagship: three learners × k folds on the feature matrix, stacking, exact ensemble
-weights, error analysis and the validated submission.
+"""Model stage of the flagship: three learners × k folds on one saved matrix, stacking, exact ensemble weights, error
+analysis and the validated submission; and the categorical learner of the first version.
 
-The stage is computed once per (session, data folder) and its outputs are materialised to the checkpoint
-folder; the report queries below are views of that run. Model fitting is not SQL-expressible, so these
-queries are checked by row count and by pytest (SURVEY §2.11, **R**).
+A run is computed once for the state of the data folder's ``events`` (files, sizes and times) and its outputs are
+written to the checkpoint folder; the report queries below are views of that run. Model fitting is not
+SQL-expressible, so these queries are checked by row count and by pytest (SURVEY §2.11, **R**).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandspark.operators import boosting as boo
 from demandspark.operators import cv
 from demandspark.operators import ensemble as ens
 from demandspark.operators import errors as err
@@ -21,11 +22,12 @@ from demandspark.operators.matrix import categorical_features, feature_matrix, n
 from demandspark.plans.flagship import build_features
 from demandspark.session import cut_lineage, session_id
 from demandspark.sources import sinks
+from demandspark.sources.panel import sample_submission
 from demandspark.sources.schemas import ROW_KEY, TARGET
 
-# Iteration caps used by the registered queries (the learners' own defaults are larger).
-QUERY_MAX_ITER = 20
-QUERY_NUM_TREES = 30
+#: Rounds without a lower held loss that end the boosting of the registered queries. The learners' own settings wait
+#: longer; README has the figures. The number of rounds is theirs.
+QUERY_PATIENCE = 10
 LEARNERS = ("model_a", "model_b", "model_c")
 
 
@@ -34,53 +36,84 @@ class ModelRun:
     train: DataFrame          # feature-matrix rows of the labelled frame (with fold)
     oof: DataFrame            # Index, fold, learner, prediction
     test: DataFrame           # Index, learner, prediction (mean of fold models)
+    rounds: DataFrame         # learner, fold, rounds kept, rounds grown
     stacked: DataFrame        # Index, demand, p1, p2, p3 (out-of-fold)
     test_stacked: DataFrame   # Index, p1, p2, p3
     weights: DataFrame        # w1, w2, w3, r2
     importance: DataFrame
     submission: DataFrame     # Index, demand
-    test_keys: DataFrame
+    sample: DataFrame         # Index, demand: the sample of the output
 
 
 _RUNS: dict = {}
 
 
-def _stack(df: DataFrame, with_target: bool) -> DataFrame:
-    cols = [F.max(F.when(F.col("learner") == n, F.col(cv.PREDICTION))).alias(f"p{i + 1}") for i, n in enumerate(LEARNERS)]
-    out = df.groupBy(ROW_KEY).agg(*cols)
-    return out
+def data_state(spark: SparkSession, data_dir: str, table: str = "events") -> tuple:
+    """What identifies the present files of a table: their number, sizes and times."""
+    files = spark.read.parquet(f"{data_dir}/{table}.parquet").select(
+        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("file_size"), F.bit_xor(F.xxhash64("*"))).first())
+
+
+def learners(patience: int | None = None) -> list[cv.LearnerSpec]:
+    """The three learners: A with the categoricals, B and C on numeric columns. ``patience`` replaces their own."""
+    num, cat = tuple(numeric_features(2)), tuple(categorical_features(2))
+    configs = [boo.LEARNER_A, boo.LEARNER_B, boo.LEARNER_C]
+    if patience:
+        configs = [boo.with_patience(c, patience) for c in configs]
+    return [cv.LearnerSpec(n, c, num, cat if n == "model_a" else ()) for n, c in zip(LEARNERS, configs, strict=True)]
 
 
-def run_models(spark: SparkSession, data_dir: str, max_iter: int = QUERY_MAX_ITER,
-               num_trees: int = QUERY_NUM_TREES, parallelism: int = 1) -> ModelRun:
-    key = (session_id(spark), data_dir, max_iter, num_trees)
+def run_models(spark: SparkSession, data_dir: str, patience: int | None = QUERY_PATIENCE, parallelism: int = 5) -> ModelRun:
+    key = (session_id(spark), data_dir, data_state(spark, data_dir), patience)
     if key in _RUNS:
         return _RUNS[key]
     fr = build_features(spark, data_dir)
     train = cut_lineage(feature_matrix(fr.train.select("*"), with_target=True, extra=(ROW_KEY, FOLD)))
     test = cut_lineage(feature_matrix(fr.test, with_target=False))
-    num, cat = numeric_features(2), categorical_features(2)
-    specs = [cv.learner_a(num, cat, max_iter), cv.learner_b(num, max_iter), cv.learner_c(num, num_trees)]
-    oofs, tests, imp = [], [], None
-    for spec in specs:
-        res = cv.fit_folds(train, test, spec, parallelism=parallelism)
-        oofs.append(res.oof.withColumn("learner", F.lit(spec.name)))
-        tests.append(cv.test_mean(res.test).withColumn("learner", F.lit(spec.name)))
-        if spec.name == "model_b":
-            imp = cv.importances(res)
-    oof = cut_lineage(oofs[0].unionByName(oofs[1]).unionByName(oofs[2]))
-    tst = cut_lineage(tests[0].unionByName(tests[1]).unionByName(tests[2]))
-    labels = train.select(ROW_KEY, TARGET)
-    stacked = cut_lineage(_stack(oof, True).join(labels, ROW_KEY))
-    test_stacked = cut_lineage(_stack(tst, False))
+    specs = learners(patience)
+    matrix = cv.assemble(train, test, specs)
+    results = {s.name: cv.fit_folds(matrix, s, parallelism=parallelism) for s in specs}
+    oof = _union([r.oof.withColumn("learner", F.lit(n)) for n, r in results.items()])
+    tst = _union([cv.test_mean(r.test).withColumn("learner", F.lit(n)) for n, r in results.items()])
+    oof, tst = cut_lineage(oof), cut_lineage(tst)
+    rounds = spark.createDataFrame([(n, f, k, len(r.losses[f])) for n, r in results.items() for f, k in enumerate(r.rounds)],
+                                   "learner string, fold int, rounds int, grown int")
+    stacked = cut_lineage(ens.stack(oof, LEARNERS, train.select(ROW_KEY, TARGET)))
+    test_stacked = cut_lineage(ens.stack(tst, LEARNERS, test.select(ROW_KEY)))
     weights = cut_lineage(ens.optimal_weights(ens.gram_stats(stacked, TARGET)))
     blended = ens.blend(test_stacked, weights, out="blend", clipped="blend_clipped")
     submission = sinks.submission_frame(blended, "blend_clipped")
-    run = ModelRun(train, oof, tst, stacked, test_stacked, weights, imp, submission, test.select(ROW_KEY))
+    run = ModelRun(train, oof, tst, rounds, stacked, test_stacked, weights, cut_lineage(cv.importances(results["model_b"])), submission,
+                   sample_submission(test))
     _RUNS[key] = run
     return run
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def v1_learner(patience: int | None = None) -> tuple[boo.BoostingConfig, list[str]]:
+    """Settings and categoricals of the first version's categorical learner: eight categoricals, the cell among
+    them, whose levels are unbounded and therefore ordered by target instead of indexed."""
+    config = boo.LEARNER_A_V1
+    return (boo.with_patience(config, patience) if patience else config), categorical_features(1)
+
+
+def fit_v1(spark: SparkSession, data_dir: str, patience: int | None = QUERY_PATIENCE, parallelism: int = 5) -> cv.FoldResult:
+    fr = build_features(spark, data_dir, version=1)
+    config, cats = v1_learner(patience)
+    train = feature_matrix(fr.train, version=1, with_target=True, extra=(ROW_KEY, FOLD))
+    test = feature_matrix(fr.test, version=1, with_target=False)
+    train, test, ordered = cv.order_categories(cut_lineage(train), cut_lineage(test), cats)
+    spec = cv.LearnerSpec("model_v1", config, (*numeric_features(1), *ordered))
+    return cv.fit_folds(cv.assemble(train, test, [spec]), spec, parallelism=parallelism)
+
+
 # ---- report queries ---------------------------------------------------------------------------------------
 
 def cv_oof_predictions(spark, d):
@@ -93,26 +126,27 @@ def cv_test_predictions(spark, d):
 
 def cv_scores(spark, d):
     r = run_models(spark, d)
-    out = None
-    for n in LEARNERS:
-        s = cv.fold_scores(r.oof.filter(F.col("learner") == n), r.train).select(F.lit(n).alias("learner"), FOLD, "r2")
-        out = s if out is None else out.unionByName(s)
-    return out
+    return _union([cv.fold_scores(r.oof.filter(F.col("learner") == n), r.train).select(F.lit(n).alias("learner"), FOLD, "r2") for n in LEARNERS])
 
 
 def cv_fold_summary(spark, d):
     r = run_models(spark, d)
-    out = None
-    for n in LEARNERS:
-        s = cv.score_summary(r.oof.filter(F.col("learner") == n), r.train).select(F.lit(n).alias("learner"), "*")
-        out = s if out is None else out.unionByName(s)
-    return out
+    return _union([cv.score_summary(r.oof.filter(F.col("learner") == n), r.train).select(F.lit(n).alias("learner"), "*") for n in LEARNERS])
 
 
 def model_importance(spark, d):
     return run_models(spark, d).importance
 
 
+def cv_rounds(spark, d):
+    """Rounds that each fold's model keeps, and rounds that were grown to find them."""
+    return run_models(spark, d).rounds
+
+
+def cv_v1_oof_predictions(spark, d):
+    return fit_v1(spark, d).oof
+
+
 def ens_stack_models(spark, d):
     return run_models(spark, d).stacked
 
@@ -148,28 +182,19 @@ def model_errors(spark, d) -> DataFrame:
     return err.residuals(blended.join(feats, ROW_KEY), "blend")
 
 
-def feature_matrix_cat(spark, d):
-    """Mixed matrix of the categorical-aware learner: numeric features plus indexed categoricals
-    (``StringIndexer`` fitted on the labelled frame, unseen labels → an extra index), both frames."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer
-
-    fr = build_features(spark, d)
-    cat = categorical_features(2)
-    tr = feature_matrix(fr.train, with_target=True)
-    te = feature_matrix(fr.test, with_target=False).withColumn(TARGET, F.lit(None).cast("double"))
-    model = Pipeline(stages=[StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in cat]).fit(tr)
-    both = tr.select(F.lit("train").alias("frame"), "*").unionByName(te.select(F.lit("test").alias("frame"), "*"))
-    return model.transform(both)
+def submission(spark, d):
+    """The submission, checked against the sample within its plan."""
+    r = run_models(spark, d)
+    return sinks.checked_submission(r.submission, r.sample)
 
 
-def submission(spark, d):
-    return run_models(spark, d).submission
+def submission_head(spark, d):
+    return sinks.head(run_models(spark, d).submission)
 
 
 def submission_contract(spark, d):
     r = run_models(spark, d)
-    return sinks.contract_stats(r.submission, r.test_keys)
+    return sinks.contract_stats(r.submission, r.sample)
 
 
 def submission_summary(spark, d):
@@ -181,14 +206,16 @@ MODEL_QUERIES = {
     "cv_test_predictions": cv_test_predictions,
     "cv_scores": cv_scores,
     "cv_fold_summary": cv_fold_summary,
+    "cv_rounds": cv_rounds,
+    "cv_v1_oof_predictions": cv_v1_oof_predictions,
     "model_importance": model_importance,
     "model_summary": model_summary,
     "ens_stack_models": ens_stack_models,
     "ens_model_grid_best": ens_model_grid_best,
     "ens_model_weights": ens_model_weights,
     "err_model_mae_by_hour": lambda s, d: err.mae_by(model_errors(s, d), "hour"),
-    "feature_matrix_cat": feature_matrix_cat,
     "submission": submission,
     "submission_contract": submission_contract,
     "submission_summary": submission_summary,
+    "submission_head": submission_head,
 }

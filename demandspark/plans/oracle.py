@@ -8,8 +8,39 @@ would change arithmetic), and every double output is rounded to 9 digits (+0.0 f
 
 from __future__ import annotations
 
-from demandspark.operators.encoding import ENCODING_SPECS
-from demandspark.operators.lags import OFFSETS, lag_names, stat_names
+from typing import NamedTuple
+
+
+class Spec(NamedTuple):
+    """One encoding: its key columns and its aggregate."""
+
+    keys: tuple
+    agg: str
+
+    @property
+    def name(self) -> str:
+        return f"te__{'__'.join(self.keys)}__{self.agg}"
+
+
+# Fixed values, stated here again so that a wrong list in the operators shows up as a difference.
+ENCODING_SPECS = [Spec(tuple(text.split()[:-1]), text.split()[-1]) for text in (
+    "geohash mean", "geohash std", "geohash max", "geohash median",
+    "gh_prefix4 mean", "gh_prefix5 mean", "gh_prefix6 mean",
+    "RoadType mean", "Weather mean", "NumberofLanes mean",
+    "geohash hour mean", "geohash hour std", "geohash day mean", "geohash Weather mean",
+    "geohash peak_hour mean", "geohash morning_peak mean", "geohash evening_peak mean",
+    "geohash landmarks_bin mean", "geohash large_veh_bin mean", "geohash NumberofLanes mean",
+    "gh_prefix4 hour mean", "gh_prefix4 day mean", "gh_prefix4 Weather mean",
+    "gh_prefix5 hour mean", "gh_prefix5 day mean", "gh_prefix6 hour mean",
+    "RoadType hour mean", "RoadType Weather mean", "RoadType peak_hour mean",
+    "Weather hour mean", "Weather large_veh_bin mean", "road_type_ord hour mean",
+    "geohash Weather hour mean", "gh_prefix4 hour Weather mean")]
+OFFSETS = [-60, -45, -30, -15, 15, 30, 45, 60]
+LAGS = ["demand_lag_1day", "demand_lag_1day_offset_m60", "demand_lag_1day_offset_m45", "demand_lag_1day_offset_m30",
+        "demand_lag_1day_offset_m15", "demand_lag_1day_offset_15", "demand_lag_1day_offset_30", "demand_lag_1day_offset_45",
+        "demand_lag_1day_offset_60"]
+STATS = ["gh_day48_mean", "gh_day48_std", "gh_day48_max", "gh_day48_min", "gh_day48_peak_mean", "gh_day48_morning_peak_mean",
+         "gh_day48_evening_peak_mean"]
 
 PANEL = """
 select lower(to_base(u, 32, 6)) as geohash,
@@ -25,7 +56,7 @@ select lower(to_base(u, 32, 6)) as geohash,
        cast(nullif(max(k) % 6, 0) as double) as NumberofLanes,
        case when min(k) % 11 <> 0 then cast(min(k) * 2 - 60 as double) end as Temperature,
        min(event_id) as Index
-from (select event_id, event_type, value, user_id, user_id as u, date_diff('day', DATE '2024-01-01', cast(ts as date)) + 1 as dy,
+from (select event_id, event_type, value, user_id, user_id // 10 as u, date_diff('day', DATE '2024-01-01', cast(ts as date)) + 1 as dy,
              cast(hour(ts) * 60 + floor(minute(ts) / 15) * 15 as int) as m,
              cast(regexp_extract(props, '([0-9]+)', 1) as int) as k
       from events) e
@@ -37,6 +68,10 @@ M = "CASE WHEN len(string_split(timestamp, ':')) > 1 THEN CAST(string_split(time
 D = "::DOUBLE"
 FOLD = "CAST(('0x' || substr(md5('42:' || CAST(Index AS VARCHAR)), 1, 8))::BIGINT % 5 AS INTEGER)"
 
+#: The target day is the last day of the data, the reference day the one before.
+TGT = "(SELECT target_day FROM days)"
+REF = "(SELECT ref_day FROM days)"
+
 RAW = ["geohash", "day", "timestamp", "demand", "RoadType", "Weather", "LargeVehicles", "Landmarks",
        "NumberofLanes", "Temperature", "Index"]
 
@@ -91,10 +126,11 @@ FROM (
 def base_ctes() -> str:
     raw_test = ", ".join(c for c in RAW if c != "demand")
     return f"""panel AS ({PANEL}),
+days AS (SELECT max(day) AS target_day, max(day) - 1 AS ref_day FROM panel),
 pp AS (SELECT *, {H} * 60 + {M} AS _tm FROM panel),
 train AS (SELECT {", ".join(RAW)} FROM pp
-          WHERE day <= 29 OR (day = 30 AND _tm < 135)),
-test AS (SELECT {raw_test} FROM pp WHERE day = 30 AND _tm BETWEEN 135 AND 825),
+          WHERE day <= {REF} OR (day = {TGT} AND _tm < 135)),
+test AS (SELECT {raw_test} FROM pp WHERE day = {TGT} AND _tm BETWEEN 135 AND 825),
 ftrain AS (SELECT *, {FOLD} AS fold FROM {_features("train")}),
 ftest AS (SELECT * FROM {_features("test")}),
 gm AS (SELECT avg(demand) AS gm FROM train)"""
@@ -108,8 +144,8 @@ def with_base(body: str, extra_ctes: str = "") -> str:
 # ---- lag CTEs -------------------------------------------------------------------------------------------
 
 def lag_ctes(fallback: str = "0.09394::DOUBLE", src_train: str = "ftrain", src_test: str = "ftest") -> str:
-    s = stat_names()
-    stats = f"""ref AS (SELECT * FROM ftrain WHERE day = 29),
+    s = STATS
+    stats = f"""ref AS (SELECT * FROM ftrain WHERE day = {REF}),
 stats AS (SELECT geohash, avg(demand) AS {s[0]}, stddev_samp(demand) AS {s[1]}, max(demand) AS {s[2]},
                  min(demand) AS {s[3]},
                  avg(CASE WHEN hour IN (7, 8, 9, 17, 18, 19) THEN demand END) AS {s[4]},
@@ -119,12 +155,12 @@ stats AS (SELECT geohash, avg(demand) AS {s[0]}, stddev_samp(demand) AS {s[1]},
 
     def lagged(src: str, masked: bool) -> str:
         joins, cols = [], []
-        for i, (off, name) in enumerate(zip([0] + OFFSETS, lag_names())):
+        for i, (off, name) in enumerate(zip([0] + OFFSETS, LAGS)):
             joins.append(f"LEFT JOIN ref r{i} ON r{i}.geohash = a.geohash AND r{i}.total_minutes = a.total_minutes + ({off})")
             cols.append((f"r{i}.demand", name))
         all_cols = [(f"st.{c}", c) for c in s] + cols
         if masked:
-            sel = ", ".join(f"CASE WHEN a.day <> 29 THEN {e} END AS {n}" for e, n in all_cols)
+            sel = ", ".join(f"CASE WHEN a.day <> {REF} THEN {e} END AS {n}" for e, n in all_cols)
         else:
             sel = ", ".join(f"{e} AS {n}" for e, n in all_cols)
         return f"""SELECT a.*, {sel}
@@ -218,7 +254,7 @@ dtest AS ({lag_domain_select(f"({domain_select('etest')})")})"""
 def ens_ctes() -> str:
     """Labelled rows with the three deterministic stand-in predictors p1..p3."""
     return lag_ctes() + f""",
-pred AS (SELECT Index, geohash, hour, RoadType, demand, te__geohash__hour__mean AS p1, te__geohash__mean AS p2,
+pred AS (SELECT Index, fold, geohash, hour, RoadType, demand, te__geohash__hour__mean AS p1, te__geohash__mean AS p2,
                 demand_lag_1day_imputed AS p3
          FROM ({te_rows(ENS_SPECS, 'ltrain', True)})),
 grid AS (SELECT i / 20 AS w1, j / 20 AS w2, (20 - i - j) / 20 AS w3
@@ -229,6 +265,27 @@ scores AS (SELECT g.w1, g.w2, g.w3,
            FROM grid g, pred p GROUP BY g.w1, g.w2, g.w3)"""
 
 
+def weights_sql(src: str = "pred") -> str:
+    """The best weights on the simplex: the least squares optimum of each of its 7 faces, written out from the sums of
+    products of residuals, and the best of those that have no negative weight."""
+    g = ", ".join(f"sum((p{i} - demand) * (p{j} - demand)) AS g{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3))
+    faces = [f"SELECT {', '.join(('1.0' if i == k else '0.0') + D + f' AS w{k}' for k in (1, 2, 3))} FROM gram" for i in (1, 2, 3)]
+    for i, j in ((1, 2), (1, 3), (2, 3)):
+        den = f"(g{i}{i} + g{j}{j} - 2 * g{i}{j})"
+        w = {i: f"(g{j}{j} - g{i}{j}) / {den}", j: f"(g{i}{i} - g{i}{j}) / {den}"}
+        faces.append(f"SELECT {', '.join(w.get(k, '0.0' + D) + f' AS w{k}' for k in (1, 2, 3))} FROM gram WHERE {den} > 0")
+    c = {1: "(g22 * g33 - g23 * g23) - (g12 * g33 - g13 * g23) + (g12 * g23 - g13 * g22)",
+         2: "-(g12 * g33 - g13 * g23) + (g11 * g33 - g13 * g13) - (g11 * g23 - g12 * g13)",
+         3: "(g12 * g23 - g13 * g22) - (g11 * g23 - g12 * g13) + (g11 * g22 - g12 * g12)"}
+    whole = " + ".join(f"({x})" for x in c.values())
+    faces.append(f"SELECT {', '.join(f'({c[k]}) / ({whole}) AS w{k}' for k in (1, 2, 3))} FROM gram WHERE ({whole}) > 0")
+    quad = " + ".join(f"w{i} * w{j} * g{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3))
+    return f"""(WITH gram AS (SELECT {g}, var_pop(demand) * count(demand) AS sstot FROM {src}),
+faces AS ({' UNION ALL '.join(faces)})
+SELECT w1, w2, w3, 1 - ({quad}) / sstot AS r2 FROM faces, gram WHERE w1 >= 0 AND w2 >= 0 AND w3 >= 0
+ORDER BY round(r2, 12) DESC, w1 DESC, w2 DESC LIMIT 1)"""
+
+
 def full_v1_ctes() -> str:
     """v1 flow: frequency + OOF encodings + domain features (no reference-day lags)."""
     return f"""qtrain AS ({freq_select('ftrain')}),

@@ -21,8 +21,9 @@ EVENT_TYPE_TO_ROAD = {"click": "Highway", "error": "Street", "purchase": "Reside
 K_MOD6_TO_WEATHER = {0: "Sunny", 1: "Foggy", 2: "Rainy", 3: "Snowy", 4: "Windy"}
 USER_MOD3_TO_LARGE_VEHICLES = {0: "Allowed", 1: "Not Allowed"}
 USER_MOD3_TO_LANDMARKS = {0: "Yes", 1: "No"}
-#: Day 1 of the panel's day numbers, and the fewest characters of a cell (cells nest by prefix).
+#: Day 1 of the panel's day numbers, user ids of one cell, and the fewest characters of a cell (cells nest by prefix).
 FIRST_DAY = "2024-01-01"
+CELL_USERS = 10
 CELL_CHARS = 6
 SLOT_MINUTES = 15
 DEMAND_SCALE = 500.0
@@ -32,13 +33,18 @@ DEMAND_SCALE = 500.0
 class PanelBinding:
     """Which panel rows form the labelled and unlabelled frames."""
 
-    ref_day: int = 29                 # the reference day (day 48 of the reference data)
-    target_day: int = 30              # the day to predict (day 49)
+    target_day: int                   # the day to predict (day 49 of the reference data)
+    ref_day: int                      # the reference day (day 48)
     target_start: int = 135           # first target-day slot of the unlabelled frame (2:15)
     target_end: int = 825             # last target-day slot of the unlabelled frame (13:45)
 
 
-BINDING = PanelBinding()
+def binding_of(events: DataFrame) -> PanelBinding:
+    """The target day is the last day of ``events`` and the reference day the one before: one aggregate, of which
+    one number comes back. Without events both are days that nothing is on."""
+    last = events.agg(F.max(day_number(F.col("ts")))).first()[0]
+    target = 0 if last is None else last
+    return PanelBinding(target, target - 1)
 
 
 def _case(col: Column, mapping: dict) -> Column:
@@ -48,10 +54,14 @@ def _case(col: Column, mapping: dict) -> Column:
     return expr
 
 
-def cell_of(user_id: Column) -> Column:
-    """Cell of a user: the id in base 32, at least CELL_CHARS characters. Every user is a cell of its own, and
-    cells with a common prefix are ids from one range."""
-    digits = F.lower(F.conv(user_id.cast("string"), 10, 32))
+def cell_number(user_id: Column) -> Column:
+    """Number of a user's cell: CELL_USERS ids in a row are one cell, so cells grow with the users."""
+    return F.floor(user_id / CELL_USERS)
+
+
+def cell_name(number: Column) -> Column:
+    """A cell's number in base 32, at least CELL_CHARS characters: cells with a common prefix are users of one range."""
+    digits = F.lower(F.conv(number.cast("string"), 10, 32))
     return F.lpad(digits, F.greatest(F.length(digits), F.lit(CELL_CHARS)), "0")
 
 
@@ -60,29 +70,24 @@ def day_number(ts: Column) -> Column:
     return (F.datediff(ts, F.lit(FIRST_DAY).cast("date")) + 1).cast("int")
 
 
-def panel_from_events(events: DataFrame) -> DataFrame:
-    e = events.select(
-        "event_id", "event_type", "value", "user_id",
-        F.col("user_id").alias("u"),
-        day_number(F.col("ts")).alias("dy"),
-        (F.hour("ts") * 60 + F.floor(F.minute("ts") / SLOT_MINUTES) * SLOT_MINUTES).cast("int").alias("m"),
-        F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
-    )
-    g = e.groupBy("u", "dy", "m").agg(
-        F.avg("value").alias("_avg"),
-        F.min("event_type").alias("_etype"),
-        F.min("k").alias("_kmin"),
-        F.max("k").alias("_kmax"),
-        F.min("user_id").alias("_umin"),
-        F.max("user_id").alias("_umax"),
-        F.min("event_id").alias("Index"),
-    )
-    m = F.col("m")
-    return g.select(
-        cell_of(F.col("u")).alias("geohash"),
-        F.col("dy").cast("int").alias("day"),
-        F.concat(F.floor(m / 60).cast("int").cast("string"), F.lit(":"),
-                 F.lpad((m % 60).cast("string"), 2, "0")).alias("timestamp"),
+#: The aggregates of a panel row, over the columns of ``event_columns``: batch and stream share them.
+def panel_aggregates() -> list[Column]:
+    return [F.avg("value").alias("_avg"), F.min("event_type").alias("_etype"), F.min("k").alias("_kmin"), F.max("k").alias("_kmax"),
+            F.min("user_id").alias("_umin"), F.max("user_id").alias("_umax"), F.min("event_id").alias("Index")]
+
+
+def event_columns() -> list[Column]:
+    return [F.col("event_id"), F.col("event_type"), F.col("value"), F.col("user_id"), cell_number(F.col("user_id")).alias("u"),
+            F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k")]
+
+
+def panel_columns(day: Column, minute: Column) -> list[Column]:
+    """A panel row from its aggregates, its cell number ``u``, its day and the minute its slot begins at."""
+    return [
+        cell_name(F.col("u")).alias("geohash"),
+        day.cast("int").alias("day"),
+        F.concat(F.floor(minute / 60).cast("int").cast("string"), F.lit(":"),
+                 F.lpad((minute % 60).cast("string"), 2, "0")).alias("timestamp"),
         F.least(F.col("_avg") / DEMAND_SCALE, F.lit(1.0)).alias("demand"),
         _case(F.col("_etype"), EVENT_TYPE_TO_ROAD).alias("RoadType"),
         _case(F.col("_kmin") % 6, K_MOD6_TO_WEATHER).alias("Weather"),
@@ -91,10 +96,17 @@ def panel_from_events(events: DataFrame) -> DataFrame:
         F.when(F.col("_kmax") % 6 != 0, F.col("_kmax") % 6).cast("double").alias("NumberofLanes"),
         F.when(F.col("_kmin") % 11 != 0, F.col("_kmin") * 2 - 60).cast("double").alias("Temperature"),
         F.col("Index"),
-    )
+    ]
 
 
-def split_panel(panel: DataFrame, binding: PanelBinding = BINDING) -> tuple[DataFrame, DataFrame]:
+def panel_from_events(events: DataFrame) -> DataFrame:
+    minute = (F.hour("ts") * 60 + F.floor(F.minute("ts") / SLOT_MINUTES) * SLOT_MINUTES).cast("int")
+    e = events.select(*event_columns(), day_number(F.col("ts")).alias("dy"), minute.alias("m"))
+    return e.groupBy("u", "dy", "m").agg(*panel_aggregates()).select(*panel_columns(F.col("dy"), F.col("m")))
+
+
+def split_panel(panel: DataFrame, binding: PanelBinding) -> tuple[DataFrame, DataFrame]:
+    """Labelled rows: all days up to the reference day, and the target day up to its first slot to predict."""
     tm = slot_minutes("timestamp")
     b = binding
     train = panel.filter((F.col("day") <= b.ref_day) | ((F.col("day") == b.target_day) & (tm < b.target_start)))
@@ -106,6 +118,15 @@ def load_panel(spark: SparkSession, data_dir: str) -> DataFrame:
     return panel_from_events(read_table(spark, data_dir, "events"))
 
 
-def load_frames(spark: SparkSession, data_dir: str, binding: PanelBinding = BINDING) -> tuple[DataFrame, DataFrame]:
+def load_binding(spark: SparkSession, data_dir: str) -> PanelBinding:
+    return binding_of(read_table(spark, data_dir, "events"))
+
+
+def load_frames(spark: SparkSession, data_dir: str, binding: PanelBinding | None = None) -> tuple[DataFrame, DataFrame]:
     """(labelled, unlabelled) frames bound to the data folder's ``events`` table."""
-    return split_panel(load_panel(spark, data_dir), binding)
+    return split_panel(load_panel(spark, data_dir), binding or load_binding(spark, data_dir))
+
+
+def sample_submission(test: DataFrame) -> DataFrame:
+    """The sample of the output: each unlabelled row's key and a constant."""
+    return test.select("Index", F.lit(0.0).alias("demand"))

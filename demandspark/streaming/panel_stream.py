@@ -1,8 +1,8 @@
 """Structured Streaming form of the panel and of scoring-time enrichment.
 
 * ``panel_stream``: the events → panel binding as a streaming aggregation over 15-minute event-time windows
-  per cell. With a watermark and ``append`` output each (cell, slot) row is emitted once, when the watermark
-  passes the end of its slot, and its state is dropped (bounded state); ``complete`` output is for checks.
+  per cell. With a watermark the state of a slot is dropped when it passes the slot's end; ``run_to_table`` keeps the
+  rows in files.
 * ``enrich_stream``: stream-static left joins of arriving panel rows with lookup tables computed in batch
   from the labelled frame (cell statistics and the wide lag table of the reference day, frequencies) — the
   scoring path of the unlabelled frame, applied to rows as they arrive.
@@ -22,8 +22,7 @@ from demandspark.operators import features as fe
 from demandspark.operators.features import frequency_tables
 from demandspark.operators.lags import IMPUTED, REFERENCE_FALLBACK, cell_stats, lag_table, reference_rows, stat_names
 from demandspark.session import ensure_checkpoint_dir
-from demandspark.sources.panel import (DEMAND_SCALE, EVENT_TYPE_TO_ROAD, K_MOD6_TO_WEATHER, SLOT_MINUTES,
-                                       USER_MOD3_TO_LANDMARKS, USER_MOD3_TO_LARGE_VEHICLES, _case, cell_of, day_number)
+from demandspark.sources.panel import SLOT_MINUTES, day_number, event_columns, panel_aggregates, panel_columns
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -50,42 +49,32 @@ def panel_stream(events: DataFrame, watermark: str | None = "30 minutes") -> Dat
     """Streaming panel rows: same columns and values as ``sources.panel.panel_from_events``."""
     if watermark:
         events = events.withWatermark("ts", watermark)
-    e = events.select(
-        "ts", "event_id", "event_type", "value", "user_id",
-        F.col("user_id").alias("u"),
-        F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"))
-    g = e.groupBy(F.window("ts", f"{SLOT_MINUTES} minutes").alias("w"), "u").agg(
-        F.avg("value").alias("_avg"), F.min("event_type").alias("_etype"), F.min("k").alias("_kmin"),
-        F.max("k").alias("_kmax"), F.min("user_id").alias("_umin"), F.max("user_id").alias("_umax"),
-        F.min("event_id").alias("Index"))
+    g = events.select("ts", *event_columns()).groupBy(F.window("ts", f"{SLOT_MINUTES} minutes").alias("w"), "u").agg(*panel_aggregates())
     start = F.col("w.start")
-    m = F.hour(start) * 60 + F.minute(start)
-    return g.select(
-        cell_of(F.col("u")).alias("geohash"),
-        day_number(start).alias("day"),
-        F.concat(F.floor(m / 60).cast("int").cast("string"), F.lit(":"),
-                 F.lpad((m % 60).cast("string"), 2, "0")).alias("timestamp"),
-        F.least(F.col("_avg") / DEMAND_SCALE, F.lit(1.0)).alias("demand"),
-        _case(F.col("_etype"), EVENT_TYPE_TO_ROAD).alias("RoadType"),
-        _case(F.col("_kmin") % 6, K_MOD6_TO_WEATHER).alias("Weather"),
-        _case(F.col("_umin") % 3, USER_MOD3_TO_LARGE_VEHICLES).alias("LargeVehicles"),
-        _case(F.col("_umax") % 3, USER_MOD3_TO_LANDMARKS).alias("Landmarks"),
-        F.when(F.col("_kmax") % 6 != 0, F.col("_kmax") % 6).cast("double").alias("NumberofLanes"),
-        F.when(F.col("_kmin") % 11 != 0, F.col("_kmin") * 2 - 60).cast("double").alias("Temperature"),
-        F.col("Index"),
-    )
-
-
-def run_to_table(df: DataFrame, name: str, output_mode: str = "complete") -> DataFrame:
-    """Drive a streaming frame over all available input into an in-memory table (checks and tests).
-
-    The stream's own checkpoint goes under the session's reliable checkpoint folder."""
+    return g.select(*panel_columns(day_number(start), F.hour(start) * 60 + F.minute(start)))
+
+
+def run_to_table(df: DataFrame, name: str, keys=("geohash", "day", "timestamp")) -> DataFrame:
+    """Drive a streaming aggregation over all available input and return its result.
+
+    Each micro-batch's changed rows go to Parquet files in the session's shared folder, written by the tasks with the
+    batch's number; the result is the last version of each key. Nothing passes through the driver but file names. A
+    batch that is run again replaces its own files. With a watermark the state of closed windows is let go."""
     spark = df.sparkSession
-    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
-    q = (df.writeStream.outputMode(output_mode).format("memory").queryName(name)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    folder = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
+
+    q = (df.writeStream.outputMode("update").foreachBatch(write)
+         .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/rows")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], df.schema)  # no input at all
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{folder}/rows")
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), "batch").alias("_r"))
+    return last.select(*[F.col(f"_r.`{c}`").alias(c) for c in df.columns])
 
 
 def scoring_tables(train_features: DataFrame, ref_day: int) -> dict[str, DataFrame]:

@@ -52,7 +52,10 @@ def test_median_per_frame(spark):
     te = spark.createDataFrame([(10.0, 1.0), (None, None)], "NumberofLanes double, Temperature double")
     assert sorted(r[0] for r in impute_median(tr).collect()) == [1.0, 2.0, 2.0, 4.0]
     assert sorted(r[0] for r in impute_median(te).collect()) == [10.0, 10.0]
-    assert sorted(r[0] for r in impute_median(tr, distributed=True).collect()) == [1.0, 2.0, 2.0, 4.0]
+    both = tr.withColumn("f", F.lit(0)).unionByName(te.withColumn("f", F.lit(1)))
+    got = impute_median(both, frame_col="f", frames=(0, 1))
+    assert sorted(r[0] for r in got.where("f = 0").collect()) == [1.0, 2.0, 2.0, 4.0]
+    assert sorted(r[0] for r in got.where("f = 1").collect()) == [10.0, 10.0]
 
 
 def test_clip_keeps_null(spark):

@@ -26,7 +26,7 @@ def test_flagship_plan_and_row_counts(spark):
         assert "CartesianProduct" not in plan
     folds = fr.train.groupBy(FOLD).count().collect()
     assert {r[FOLD] for r in folds} <= set(range(5)) and sum(r["count"] for r in folds) == fr.train.count()
-    assert fr.train.filter(F.col("day") == 29).filter(F.col("demand_lag_1day").isNotNull()).count() == 0
+    assert fr.binding.ref_day == 29 and fr.train.filter(F.col("day") == 29).filter(F.col("demand_lag_1day").isNotNull()).count() == 0
 
 
 def test_same_result_with_other_shuffle_partitions(spark):
