@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step looks at; its temporaries are a small multiple of this.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -53,20 +53,41 @@ def row_key() -> Column:
     return F.monotonically_increasing_id()
 
 
-def numbered(docs: DataFrame, label: str) -> DataFrame:
-    """``docs`` with a key ``_row`` for each row, saved: a scan that is planned anew may cut its files otherwise, and
-    number the rows otherwise, so all later steps read this table."""
-    return save(docs.withColumn("_row", row_key()), label)
+def free_name(df: DataFrame, wish: str) -> str:
+    """``wish``, with as many underscores as it takes to be none of the columns of ``df`` (whatever their case)."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
 
 
-def by_number(rows: DataFrame) -> DataFrame:
+def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``docs`` with a key for each row, saved, and the name of the key's column: a scan that is planned anew may cut
+    its files otherwise, and number the rows otherwise, so all later steps read this table."""
+    name = free_name(docs, "_row")
+    return save(docs.withColumn(name, row_key()), label), name
+
+
+def by_number(rows: DataFrame, name: str) -> DataFrame:
     """What the operators look at of a numbered table: row, doc_id and text."""
-    return rows.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.select(F.col(name).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
-def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+def without(rows: DataFrame, name: str, gone: DataFrame) -> DataFrame:
     """A numbered table less the rows named in ``gone`` (row), without the numbers."""
-    return rows.join(gone.select(F.col("row").alias("_row")), "_row", "left_anti").drop("_row")
+    return rows.join(gone.select(F.col("row").alias(name)), name, "left_anti").drop(name)
+
+
+def filtered(docs: DataFrame, keep) -> DataFrame:
+    """The rows of ``docs`` that ``keep`` (from a slice of a record batch to booleans) lets through, all columns as they
+    are: what is decided by a row's text alone needs no key, no join and no shuffle."""
+    def run(batches):
+        for part in (p for b in batches for p in pieces(b)):
+            kept = part.filter(pa.array(keep(part), pa.bool_()))
+            if len(kept):
+                yield kept
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

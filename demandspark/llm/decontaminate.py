@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import by_number, numbered, pieces, row_key, save, text_buffer, without
+from demandspark.llm.common import by_number, filtered, numbered, pieces, row_key, save, text_buffer, without
 from demandspark.llm.rolling import FOLDED, char_hashes
 
 #: Bytes of benchmark text that one pass over the documents looks for.
@@ -27,6 +27,8 @@ _FOLD[0x41:0x5B] += 0x20
 _FOLD[[0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0x20
 _VALUES = FOLDED[_FOLD]
 _FILTER_BITS = 22
+#: Shared q-grams that are laid out at a time.
+PART_GRAMS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -36,6 +38,7 @@ class Item:
     window: int
     edits: int
     q: int
+    offset: int = 0
 
     @property
     def least(self) -> int:
@@ -43,14 +46,19 @@ class Item:
         return self.window + 1 - self.q * (self.edits + 1)
 
 
-def make_item(item: int, text: str | None, q: int, length: int, rate: float) -> Item | None:
-    """The item with its budget. One of fewer than q bytes is one q-gram of all of them: found by exact match."""
-    raw = _FOLD[np.frombuffer((text or "").strip().encode(), np.uint8)].tobytes()
-    if not raw:
-        return None
+def make_items(item: int, text: str | None, q: int, length: int, rate: float) -> list[Item]:
+    """The item with its budget, in the parts whose windows are not those of an earlier place: of an item that repeats
+    itself each window is looked for once. One of fewer than q bytes is one q-gram of all of them: found by exact match."""
+    raw = _FOLD[np.frombuffer((text or "").strip().encode(), np.uint8)]
+    if not len(raw):
+        return []
     window, q = min(length, len(raw)), min(q, len(raw))
     # as many edits as the rate allows and the lemma can still filter
-    return Item(item, raw, window, max(0, min(int(rate * window), window // q - 1)), q)
+    edits = max(0, min(int(rate * window), window // q - 1))
+    fresh = np.zeros(len(raw) - window + 1, bool)
+    fresh[np.unique(char_hashes(raw, window), return_index=True)[1]] = True
+    ends = np.flatnonzero(np.diff(np.concatenate([[False], fresh, [False]]).astype(np.int8)))
+    return [Item(item, raw[a: b - 1 + window].tobytes(), window, edits, q, int(a)) for a, b in zip(ends[::2], ends[1::2], strict=True)]
 
 
 class Index:
@@ -70,6 +78,8 @@ class Index:
         self.least = np.array([p.least for p in items], np.int64)
         self.window = np.array([p.window for p in items], np.int64)
         self.last = np.array([len(p.text) - p.window for p in items], np.int64)
+        #: Bytes of text that a window's match takes at most.
+        self.reach = max([p.window + p.edits + q for p in items], default=0)
 
     def regions(self, buf: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Rows (text, item, first diagonal of the band, first and last start of windows) that reach the bound;
@@ -83,16 +93,18 @@ class Index:
         inside = hit + self.q <= at[row + 1]
         hit, lo, many, row = hit[inside], lo[inside], many[inside], row[inside]
         found = [np.zeros((0, 5), np.int64)]
-        # a few million shared q-grams at a time, cut between texts
-        cuts = np.cumsum(many)
+        # a bounded number of shared q-grams at a time; each part takes up again what a match that the cut goes through has
+        cuts = np.concatenate([[0], np.cumsum(many)])
         start = 0
         while start < len(hit):
-            stop = int(np.searchsorted(cuts, (cuts[start - 1] if start else 0) + 2_000_000, "right"))
-            stop = max(stop, start + 1)
-            stop = int(np.searchsorted(row, row[stop - 1], "right")) if stop < len(hit) else stop
+            again = int(np.searchsorted(hit, hit[start] + self.reach, "right"))
+            most = max(PART_GRAMS, 4 * int(cuts[again] - cuts[start]))
+            stop = max(again, int(np.searchsorted(cuts, cuts[start] + most, "right")) - 1)
             found.append(self._bands(hit[start:stop], lo[start:stop], many[start:stop], row[start:stop], at))
-            start = stop
-        return np.concatenate(found)
+            if stop >= len(hit):
+                break
+            start = max(start + 1, int(np.searchsorted(hit, hit[stop] - self.reach, "left")))
+        return np.unique(np.concatenate(found), axis=0)
 
     def _bands(self, hit: np.ndarray, lo: np.ndarray, many: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
         entry = np.repeat(lo - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
@@ -164,7 +176,7 @@ def matches(item: Item, text: np.ndarray, diagonal: int, first: int, last: int)
             edits[rest], ends[rest] = window_distances(windows[rest], regions[rest], sizes[rest])
         for k in np.flatnonzero(edits <= item.edits):
             end = int(lo[k] + ends[k])
-            yield max(0, end - m), end, int(starts[k]), int(edits[k])
+            yield max(0, end - m), end, int(starts[k]) + item.offset, int(edits[k])
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, q: int = 12, length: int = 100, rate: float = 0.05,
@@ -185,54 +197,85 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, q: int = 12, length: in
 def _passages(keyed: DataFrame, saved: bool, benchmark: DataFrame, q: int = 12, length: int = 100, rate: float = 0.05,
               block_bytes: int = BLOCK_BYTES) -> DataFrame:
     schema = "row bigint, doc_id bigint, item_id bigint, start bigint, end bigint, probes bigint, edits bigint"
+    sized, blocks = _benchmark(benchmark, block_bytes)
+    if blocks == 1:
+        return keyed.mapInArrow(_finder(keyed, _indexes(sized, 0, 1, q, length, rate)), schema)
     out = keyed.sparkSession.createDataFrame([], schema)
-    items = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    sized = save(items.withColumn("key", F.monotonically_increasing_id()), "benchmark-items")
-    total = sized.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // block_bytes) or 1
-    if blocks > 1 and not saved:  # read once for each block
+    if not saved:  # read once for each block
         keyed = save(keyed, "leak-docs")
-    for block in range(blocks):
-        rows = sized.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).select("item_id", "text").collect()
-        made = [x for i, t in sorted(rows) if (x := make_item(i, t, q, length, rate))]
-        indexes = [Index([x for x in made if x.q == size], size) for size in sorted({x.q for x in made})]
-        if indexes:
-            out = out.unionByName(keyed.mapInArrow(_finder(keyed, indexes), schema))
-    if blocks == 1:
-        return out
+    for block in range(blocks):  # one index at a time, on the driver and in the tasks
+        finder = _finder(keyed, _indexes(sized, block, blocks, q, length, rate))
+        out = out.unionByName(save(keyed.mapInArrow(finder, schema), "leak-block"))
+        finder.shared.destroy()
     return out.groupBy("row", "doc_id", "item_id").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("probes").alias("probes"), F.min("edits").alias("edits"))
 
 
+def _benchmark(benchmark: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
+    """The items that are looked for, saved with a key, and the number of blocks they make."""
+    items = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    sized = save(items.withColumn("key", F.monotonically_increasing_id()), "benchmark-items")
+    total = sized.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return sized, -(-total // block_bytes) or 1
+
+
+def _indexes(sized: DataFrame, block: int, blocks: int, q: int, length: int, rate: float) -> list[Index]:
+    rows = sized.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).select("item_id", "text").collect()
+    made = [x for i, t in sorted(rows) for x in make_items(i, t, q, length, rate)]
+    return [Index([x for x in made if x.q == size], size) for size in sorted({x.q for x in made})]
+
+
+def found_in(part: pa.RecordBatch, indexes: list[Index]) -> dict[tuple[int, int], list]:
+    """(row of the batch, item_id) to its matches: start, end, window of the item, edits."""
+    buf, at = text_buffer(part.column("text"))
+    found: dict[tuple[int, int], list] = {}
+    folded = _FOLD[buf]
+    for ix in indexes:
+        regions, whole = ix.regions(buf, at), ix.window == ix.q
+        for row, k in np.unique(regions[whole[regions[:, 1]]][:, :2], axis=0).tolist():  # items of one q-gram
+            item, text = ix.items[k], folded[at[row]: at[row + 1]].tobytes()
+            for start in {text.find(item.text), text.rfind(item.text)} - {-1}:
+                found.setdefault((row, item.item), []).append((start, start + ix.q, 0, 0))
+        for row, k, diagonal, first, last in regions[~whole[regions[:, 1]]].tolist():
+            item, text = ix.items[k], folded[at[row]: at[row + 1]]
+            for match in matches(item, text, diagonal, first, last):
+                found.setdefault((row, item.item), []).append(match)
+    return found
+
+
 def _finder(docs: DataFrame, indexes: list[Index]):
     shared = docs.sparkSession.sparkContext.broadcast(indexes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (p for b in batches for p in pieces(b, limit=2 << 20)):
-            buf, at = text_buffer(part.column("text"))
-            found: dict[tuple[int, int], list] = {}
-            folded = _FOLD[buf]
-            for ix in shared.value:
-                regions, whole = ix.regions(buf, at), ix.window == ix.q
-                for row, k in np.unique(regions[whole[regions[:, 1]]][:, :2], axis=0).tolist():  # items of one q-gram
-                    item, text = ix.items[k], folded[at[row]: at[row + 1]].tobytes()
-                    for start in {text.find(item.text), text.rfind(item.text)} - {-1}:
-                        found.setdefault((row, item.item), []).append((start, start + ix.q, 0, 0))
-                for row, k, diagonal, first, last in regions[~whole[regions[:, 1]]].tolist():
-                    item, text = ix.items[k], folded[at[row]: at[row + 1]]
-                    for match in matches(item, text, diagonal, first, last):
-                        found.setdefault((row, item.item), []).append(match)
-            if found:
+        for part in (p for b in batches for p in pieces(b)):
+            if found := found_in(part, shared.value):
                 ids, keys = part.column("doc_id").to_pylist(), part.column("row").to_pylist()
                 rows = [(keys[r], ids[r], item, min(x[0] for x in m), max(x[1] for x in m), len({x[2] for x in m}), min(x[3] for x in m))
                         for (r, item), m in sorted(found.items())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
                                                  ["row", "doc_id", "item_id", "start", "end", "probes", "edits"])
 
+    run.shared = shared
     return run
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold a passage of the benchmark; all columns are kept."""
-    rows = numbered(docs, "leak-docs")
-    return without(rows, save(_passages(by_number(rows), True, benchmark).select("row").distinct(), "leaks"))
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, q: int = 12, length: int = 100, rate: float = 0.05,
+               block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without the rows that hold a passage of the benchmark; all columns are kept, whatever their names.
+
+    A row's own text decides: with a benchmark of one block, rows are looked at and filtered in one pass; a larger one is
+    looked for block by block, and the rows found go at the end. Null and empty texts stay, repeated rows go or stay
+    together, an empty table stays empty, and without items nothing goes."""
+    sized, blocks = _benchmark(benchmark, block_bytes)
+    if blocks == 1:
+        shared = docs.sparkSession.sparkContext.broadcast(_indexes(sized, 0, 1, q, length, rate))
+
+        def clean(part: pa.RecordBatch) -> np.ndarray:
+            keep = np.ones(len(part), bool)
+            keep[[r for r, _ in found_in(part, shared.value)]] = False
+            return keep
+
+        return filtered(docs, clean)
+    rows, name = numbered(docs, "leak-docs")
+    gone = _passages(by_number(rows, name), True, benchmark, q, length, rate, block_bytes)
+    return without(rows, name, save(gone.select("row").distinct(), "leaks"))

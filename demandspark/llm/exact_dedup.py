@@ -53,7 +53,10 @@ def _edge(schema: pa.Schema, name: int, key: bytes) -> pa.RecordBatch:
 def name_keys(rows: DataFrame) -> DataFrame:
     """``rows`` (row, doc_id, n, sha, pos, key) with a long ``name`` in place of the binary ``key``: equal keys
     have equal names, other keys other names. A key with many rows is dealt over several tasks by its row."""
-    ranged = rows.repartitionByRange("key", "row", "pos").sortWithinPartitions("key", "row", "pos")
+    # ranges are of hashes: what is sampled to place them does not carry the contents, which are compared within partitions
+    hashed = rows.withColumn("hash", F.xxhash64("key")).withColumn("digest", F.unhex(F.sha2("key", 256)))
+    order = ["hash", "digest", "key", "row", "pos"]
+    ranged = hashed.repartitionByRange("hash", "digest", "row", "pos").sortWithinPartitions(*order).select(*rows.columns)
     named = save(ranged.mapInArrow(_named, _CARRIED + ", name bigint, edge binary"), "block-names")
     edges = named.where("edge is not null").select("edge", "name")
     first = edges.groupBy("edge").agg(F.min("name").alias("first"))
@@ -125,6 +128,8 @@ def _grouped(named: DataFrame) -> DataFrame:
 
 
 def drop_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` without the rows that an equal text with a larger doc_id replaces; all columns are kept."""
-    rows = numbered(docs, "copied-docs")
-    return without(rows, _grouped(_name_rows(by_number(rows), block_bytes)).where(~F.col("kept")))
+    """``docs`` without the rows that an equal text with a larger doc_id replaces; all columns are kept, whatever their
+    names. Of null and empty texts one row stays, as of any other text, and of repeated rows one; an empty table stays
+    empty."""
+    rows, name = numbered(docs, "copied-docs")
+    return without(rows, name, save(_grouped(_name_rows(by_number(rows, name), block_bytes)).where(~F.col("kept")).select("row"), "copies"))

@@ -137,7 +137,8 @@ def index_entries(docs: DataFrame, n: int, percent: int, counters: int) -> DataF
                 ["token", "set", "n_shingles", "pos"])
 
     schema = "token bigint, set bigint, n_shingles bigint, pos bigint"
-    entries = _each_set(docs.select("text"), emit, schema, n)
+    # saved, since ranging looks at them twice: to place the ranges and to deal them out
+    entries = save(_each_set(docs.select("text"), emit, schema, n), "join-entries")
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Drops repeated entries, and lists of one entry unless they may go on in another partition."""
@@ -317,7 +318,7 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, counters:
     equal sets. A null doc_id is never the smallest unless alone. An empty table gives an empty result. ``docs``
     is read once, numbered and saved; all later steps read that.
     """
-    return _similar(by_number(numbered(docs.select("doc_id", "text"), "join-docs")), n, percent, counters)
+    return _similar(by_number(*numbered(docs.select("doc_id", "text"), "join-docs")), n, percent, counters)
 
 
 def _similar(keyed: DataFrame, n: int, percent: int, counters: int) -> DataFrame:
@@ -335,9 +336,11 @@ def _similar(keyed: DataFrame, n: int, percent: int, counters: int) -> DataFrame
 
 
 def drop_similar(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row, that of the smallest doc_id, of each group that links connect."""
-    rows = numbered(docs, "similar-docs")
-    return without(rows, _similar(by_number(rows), n, percent, COUNTERS).where(~F.col("kept")))
+    """``docs`` with one row, that of the smallest doc_id, of each group that links connect; all columns are kept,
+    whatever their names. Null and empty texts have no links and stay; of repeated rows one stays, a null doc_id
+    only if there is no other; an empty table stays empty."""
+    rows, name = numbered(docs, "similar-docs")
+    return without(rows, name, save(_similar(by_number(rows, name), n, percent, COUNTERS).where(~F.col("kept")).select("row"), "similar"))
 
 
 __all__ = ["components", "drop_similar", "set_links", "similar_documents"]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import by_number, numbered, pieces, row_key, text_buffer, without
+from demandspark.llm.common import filtered, pieces, row_key, text_buffer
 from demandspark.llm.rolling import FOLDED, NOT_SPACE, char_hashes, mix, word_hashes, word_spans
 
 BUCKET_BITS = 18
@@ -183,27 +183,30 @@ def _order(x: tuple, y: tuple) -> int:
     return (a > b) - (a < b)
 
 
+def text_scores(column: pa.Array, table: np.ndarray, offset: float) -> np.ndarray:
+    """Probability of toxic of each text, from the buckets' parts in the logit; empty and null texts get the prior."""
+    buf, at = text_buffer(column)
+    total, count = np.zeros(len(column)), np.zeros(len(column))
+    for a, b in _steps(buf, at):
+        bucket, owner = subwords(buf[a:b], np.clip(at, a, b) - a)
+        total += np.bincount(owner, table[bucket], len(column))
+        count += np.bincount(owner, minlength=len(column))
+    return 1 / (1 + np.exp(-np.clip(offset + total / np.maximum(count, 1), -50, 50)))
+
+
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     """row, doc_id and score (probability of toxic, 0 to 1) of each row; empty and null texts get the prior."""
     logits = docs.sparkSession.sparkContext.broadcast((model.bucket_logits(), model.offset))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, offset = logits.value
-        for part in (p for b in batches for p in pieces(b, limit=2 << 20)):
-            buf, at = text_buffer(part.column("text"))
-            total, count = np.zeros(len(part)), np.zeros(len(part))
-            for a, b in _steps(buf, at):
-                bucket, owner = subwords(buf[a:b], np.clip(at, a, b) - a)
-                total += np.bincount(owner, table[bucket], len(part))
-                count += np.bincount(owner, minlength=len(part))
-            z = offset + total / np.maximum(count, 1)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("row"), part.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(z, -50, 50))))], ["row", "doc_id", "score"])
+        for part in (p for b in batches for p in pieces(b)):
+            yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), pa.array(text_scores(part.column("text"), *logits.value))],
+                                             ["row", "doc_id", "score"])
 
     return docs.mapInArrow(run, "row bigint, doc_id bigint, score double")
 
 
-def _steps(buf: np.ndarray, at: np.ndarray, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def _steps(buf: np.ndarray, at: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Parts of a very long buffer, cut at white space where there is some."""
     a = 0
     while a < len(buf):
@@ -231,6 +234,11 @@ def _scored(keyed: DataFrame, labels: DataFrame, threshold: float, sample: int)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """``docs`` without the rows predicted toxic; all columns are kept."""
-    rows = numbered(docs, "scored-docs")
-    return without(rows, _scored(by_number(rows), labels, threshold, SAMPLE).where("predicted = 1"))
+    """``docs`` without the rows predicted toxic; all columns are kept, whatever their names.
+
+    A row's own text decides, so rows are scored and filtered in one pass. Null and empty texts stay unless the share
+    of toxic texts itself reaches the threshold; repeated rows go or stay together; an empty table stays empty, and
+    without labels nothing goes."""
+    model = fit(docs, labels)
+    logits = docs.sparkSession.sparkContext.broadcast((model.bucket_logits(), model.offset))
+    return filtered(docs, lambda part: text_scores(part.column("text"), *logits.value) < threshold)
