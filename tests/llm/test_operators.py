@@ -339,3 +339,52 @@ def test_empty_tables(spark, nothing):
                 license_scan.scan_licenses(nothing), toxicity.score_documents(nothing, labels),
                 lm_score.score_documents(nothing, F.lit(True)), url_filter.judge_pages(pages, [])):
         assert out.count() == 0
+
+
+def test_columns_of_any_name_stay(spark, tmp_path):
+    item, copy, near = prose(900, 40), prose(901, 40), prose(902, 80)
+    rows = [(1, f"{prose(903, 20)} {item}"), (2, copy), (3, copy), (4, near), (5, edited(near, 40)), (6, None), (7, ""), (None, "x"), (6, None)]
+    spark.createDataFrame([(i, t, 7, 8, "r", i) for i, t in rows], "doc_id bigint, text string, _row int, _ROW_ int, row string, kept bigint").write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    benchmark = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    labels = spark.createDataFrame([], "doc_id bigint, toxic int")
+    kept = {"toxic": toxicity.drop_toxic(docs, labels), "copies": exact_dedup.drop_duplicates(docs), "similar": set_join.drop_similar(docs),
+            "leaks": decontaminate.drop_leaks(docs, benchmark), "blocks": decontaminate.drop_leaks(docs, benchmark, block_bytes=100)}
+    for out in kept.values():
+        assert out.schema.names == docs.schema.names and out.where("_row <> 7 or _ROW_ <> 8").count() == 0
+    ids = {k: sorted((r.doc_id or 0) for r in out.select("doc_id").collect()) for k, out in kept.items()}
+    assert ids["toxic"] == [0, 1, 2, 3, 4, 5, 6, 6, 7]
+    assert len(ids["copies"]) == 6 and 3 in ids["copies"] and 2 not in ids["copies"]
+    assert ids["similar"] == [0, 1, 2, 4, 6, 6, 7]
+    assert ids["leaks"] == ids["blocks"] == [0, 2, 3, 4, 5, 6, 6, 7]
+
+
+def test_decontaminate_repetitive_texts(spark):
+    """A hundred thousand times one character against an item of a thousand: bounded parts, windows looked for once."""
+    rows = [(1, "x" * 100_000), (2, "ab" * 3000 + "!" + prose(1, 30)), (3, prose(2, 50)), (4, "x" * 90), (5, "y" * 400 + "x" * 100)]
+    benchmark = spark.createDataFrame([(1, "x" * 1000), (2, "ab" * 400), (3, "y" * 60 + "x" * 60)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.find_passages(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), benchmark).collect()}
+    assert set(got) == {(1, 1), (2, 2), (5, 1), (5, 3)}
+    assert (got[1, 1].start, got[1, 1].end, got[1, 1].edits) == (0, 100_000, 0)
+    assert (got[2, 2].start, got[2, 2].end) == (0, 6000) or got[2, 2].end >= 6000
+    assert (got[5, 1].end, got[5, 1].edits) == (500, 0)
+
+
+def test_parts_of_an_item_have_each_window_once():
+    parts = decontaminate.make_items(1, "a" * 300 + "b" * 50, 12, 100, 0.05)
+    windows = [(p.text[i: i + p.window], p.offset + i) for p in parts for i in range(len(p.text) - p.window + 1)]
+    assert len({w for w, _ in windows}) == len(windows) == 51
+    assert all(("a" * 300 + "b" * 50).encode()[o: o + 100] == w for w, o in windows)
+
+
+def test_found_windows_do_not_depend_on_the_parts(monkeypatch):
+    r = random.Random(12)
+    item = "".join(r.choice("ab ") for _ in range(400))
+    text = "".join(r.choice("ab ") for _ in range(700)) + item[50:330] + "".join(r.choice("ab ") for _ in range(500))
+    buf, at = np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)])
+    found = []
+    for size in (1 << 18, 64):
+        monkeypatch.setattr(decontaminate, "PART_GRAMS", size)
+        ix = decontaminate.Index(decontaminate.make_items(1, item, 12, 100, 0.05), 12)
+        found.append({m for row, k, d, a, b in ix.regions(buf, at).tolist() for m in decontaminate.matches(ix.items[k], buf, d, a, b)})
+    assert found[0] == found[1] and len({m[2] for m in found[0]}) >= 181
