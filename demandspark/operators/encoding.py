@@ -139,7 +139,8 @@ def assign_anchors(specs) -> list[Anchor]:
         anchor = found.setdefault(home, Anchor([], []))
         anchor.keys += [k for k in s.keys if k not in anchor.keys]
         anchor.specs.append(i)
-    return list(found.values())
+    order = {frozenset(a): i for i, a in enumerate(ANCHORS)}
+    return [found[a] for a in sorted(found, key=lambda a: order.get(a, len(order)))]
 
 
 def _key(s: EncodingSpec) -> Column:
@@ -237,7 +238,8 @@ def median_stats(rows: DataFrame, spec: int, s: EncodingSpec, target: str, n_fol
 
 
 def anchor_tables(rows: DataFrame, specs, target: str = TARGET, n_folds: int = N_FOLDS) -> list[tuple[Anchor, DataFrame]]:
-    """For each anchor the table that rows are looked up in: its keys and, for each of its specs, the array of values."""
+    """For each anchor the table that ``rows`` are looked up in: its keys and, for each of its specs, the array of values,
+    with the global mean where there is none."""
     from demandspark.session import cut_lineage
 
     anchors = assign_anchors(specs)
@@ -258,8 +260,11 @@ def anchor_tables(rows: DataFrame, specs, target: str = TARGET, n_folds: int = N
         stats = stats.unionByName(p)
     places = partials.select("_anchor", *keys).distinct()
     wanted = places.select("_anchor", *keys, _at_anchors(anchors, specs, set(range(len(specs)))).alias("_k")).select("_anchor", *keys, "_k.*")
-    back = wanted.join(stats, ["spec", "key"], "left").groupBy("_anchor", *keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("spec", "values"))).alias("_m"))
+    # rows have no other keys than these, so what is missing is filled in here and not once more for each row
+    gm = global_mean(rows, target)
+    filled = F.transform(F.coalesce("values", F.array_repeat(F.lit(None).cast("double"), n_folds + 1)), lambda v: F.coalesce(v, F.col("_gm")))
+    found = wanted.join(stats, ["spec", "key"], "left").withColumn("_gm", gm).withColumn("values", filled)
+    back = found.groupBy("_anchor", *keys).agg(F.map_from_entries(F.collect_list(F.struct("spec", "values"))).alias("_m"))
     table = cut_lineage(back.select("_anchor", *keys, *[F.try_element_at("_m", F.lit(i)).alias(s.name) for i, s in enumerate(specs)]), "_anchor")
     return [(a, table.filter(F.col("_anchor") == i).select(*a.keys, *[specs[p].name for p in a.specs])) for i, a in enumerate(anchors)]
 
@@ -306,7 +311,6 @@ def encode_rows(rows: DataFrame, specs=ENCODING_SPECS, target: str = TARGET, n_f
     for s in specs:
         if s.agg not in AGGS:
             raise ValueError(f"unknown aggregate {s.agg!r}")
-    gm = global_mean(rows.filter(F.col(FRAME) == LABELLED), target)
     narrow = rows.select(*dict.fromkeys(k for s in specs for k in s.keys), FOLD,
                          F.when(F.col(FRAME) == LABELLED, F.col(target)).alias(target))
     names = [s.name for s in specs]
@@ -316,7 +320,7 @@ def encode_rows(rows: DataFrame, specs=ENCODING_SPECS, target: str = TARGET, n_f
         t = table.select(*[F.col(k).alias(f"_k{i}_{k}") for k in anchor.keys], *[specs[p].name for p in anchor.specs])
         out = out.join(t, [F.col(k).eqNullSafe(F.col(f"_k{i}_{k}")) for k in anchor.keys], "left")
     at = F.col(FOLD) + 1
-    return out.select(*kept, *[F.coalesce(F.get(F.col(n), at), gm).alias(n) for n in names])
+    return out.select(*kept, *[F.get(F.col(n), at).alias(n) for n in names])
 
 
 def target_encode(train: DataFrame, test: DataFrame, specs=ENCODING_SPECS, target: str = TARGET,

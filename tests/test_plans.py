@@ -53,3 +53,56 @@ def test_optimum_at_least_grid_best(spark, rows):
     opt = ens.optimal_weights(stats).first()
     assert opt.r2 >= best.r2 - 1e-9
     assert abs(opt.w1 + opt.w2 + opt.w3 - 1) < 1e-9
+
+
+def test_wide_rows_move_at_most_three_times_to_be_encoded(spark):
+    """Of the tables that encodings are looked up in, the one without a cell is bounded by its categories; with that one
+    broadcast and all others beyond the threshold, the wide rows are dealt out once for each of the other three."""
+    import re
+
+    from demandspark.operators.encoding import (ENCODING_SPECS, FRAME, LABELLED, anchor_tables, assign_anchors, encode_rows)
+    from demandspark.plans.flagship import base_rows
+    from demandspark.session import cut_lineage
+
+    anchors = assign_anchors(ENCODING_SPECS)
+    assert len(anchors) == 4 and sorted(i for a in anchors for i in a.specs) == list(range(len(ENCODING_SPECS)))
+    assert not {"geohash", "gh_prefix4", "gh_prefix5", "gh_prefix6"} & set(anchors[0].keys)
+    rows = cut_lineage(base_rows(spark, SF_SMALL)[0])
+    table = anchor_tables(rows.filter(F.col(FRAME) == LABELLED), ENCODING_SPECS)[0][1]
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    wide = {}
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in (-1, size):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(threshold))
+            plan = encode_rows(rows)._jdf.queryExecution().explainString(
+                spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+            wide[threshold] = sum(int(n) >= len(rows.columns) for n in re.findall(r"\) Exchange\nInput \[(\d+)\]", plan))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert wide[-1] <= 4 and wide[size] <= 3
+
+
+def test_order_statistics_use_ranges_of_the_data(spark):
+    """A group of many distinct values is spread over range partitions, and both passes agree with the definition."""
+    from demandspark.operators.order_stats import exact_quantiles, pct_rank, prefix_weights
+
+    df = spark.range(20_000).select((F.col("id") % 9973).cast("double").alias("v"), (F.col("id") % 9973 % 7).alias("k"))
+    hist = df.groupBy("v").agg(F.count("*").cast("long").alias("_w"))
+    got = prefix_weights(hist, [], "v", 16)
+    assert got.agg(F.sum("_w"), F.max("_n")).first()[:] == (20_000, 20_000)
+    brute = {}
+    total = 0
+    for r in sorted((x.v, x._w) for x in hist.collect()):
+        brute[r[0]] = total
+        total += r[1]
+    assert all(brute[r.v] == r._before for r in got.collect())
+    q = exact_quantiles(df, [], "v", {"a": 0.25, "b": 0.999}).first()
+    values = sorted(x.v for x in df.collect())
+    for name, p in (("a", 0.25), ("b", 0.999)):
+        at = p * 19_999
+        assert abs(q[name] - (values[int(at)] + (at % 1) * (values[int(at) + 1] - values[int(at)]))) < 1e-9
+    by_value = pct_rank(df, "v", "r")
+    cells = df.withColumn("key", F.concat("v", F.lit("!")))
+    by_key = pct_rank(cells, "v", "r", key_cols=["key"]).select("v", "k", "r")
+    assert by_value.exceptAll(by_key).count() == 0 and by_key.exceptAll(by_value).count() == 0
