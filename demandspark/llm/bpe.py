@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 
 from demandspark.llm.common import pieces
 
-LEAF_CHARS = 16384
+#: Characters of a leaf: what is encoded in one call. Most texts are longer and go through joins.
+LEAF_CHARS = 512
 #: Characters that the window looks for an end in, before a seam inside one long match is joined by tokens.
-NEAR = 256
+NEAR = 12
 
 #: Places where a match of the split pattern ends whatever comes before or after: the classes of characters
 #: differ (an apostrophe may go on with a letter, white space with anything).

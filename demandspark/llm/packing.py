@@ -33,6 +33,8 @@ from demandspark.llm.common import pieces
 
 #: Ranks of the vocabulary of ``byte_bpe_50k.json``: the same ids, from a library that splits long texts.
 RANKS = "byte_bpe_50k.tiktoken"
+#: Characters that the codec encodes in one call.
+LEAF_CHARS = 1 << 14
 #: Tokens that one run of the dynamic programme looks at.
 BLOCK_TOKENS = 1 << 19
 _SENTENCE_ENDS = tuple(x.encode() for x in (".", "!", "?", "\n", "。", "！", "？"))
@@ -180,7 +182,7 @@ def pack_documents(docs: DataFrame, size: int = 1024, costs: Costs = Costs(), ra
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(codec(ranks), size, costs, block_tokens, TaskContext.get().partitionId())
+        packer = _Packer(codec(ranks, LEAF_CHARS), size, costs, block_tokens, TaskContext.get().partitionId())
 
         def rows(found: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names)

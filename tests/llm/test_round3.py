@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from demandspark.llm import filter_audit, packing, resample
+from demandspark.llm import filter_audit, packing, resample, url_filter
 from demandspark.llm.queries import ORACLE_SQL
 from tests.llm.test_operators import docs, nothing, prose, rows  # noqa: F401
 
@@ -227,3 +227,44 @@ def test_sql(spark, name):
     cols = [c[0] for c in res.description]
     assert sorted(cols) == sorted(got.columns)
     assert sorted((tuple(r) for r in got.select(*cols).collect()), key=str) == sorted(res.fetchall(), key=str)
+
+
+# ---- url filter ---------------------------------------------------------------------------------------------
+
+def test_propagation_is_personalised_pagerank(spark):
+    r = random.Random(5)
+    links = {(r.randrange(12), r.randrange(12)): float(r.randrange(1, 4)) for _ in range(30)}
+    links = {k: w for k, w in links.items() if k[0] != k[1]}
+    seeds = {0: (1.0, 0.0), 3: (0.25, 0.5), 11: (0.0, 1.0), 20: (0.0, 1.0)}
+    got = {x.host: x for x in url_filter.propagate(
+        spark.createDataFrame([(f"h{a}", f"h{b}", w) for (a, b), w in links.items()], "src string, dst string, weight double"),
+        spark.createDataFrame([(f"h{h}", *s) for h, s in seeds.items()], "host string, trust double, distrust double"), 1e-6).collect()}
+    w = np.zeros((21, 21))
+    for (a, b), x in links.items():
+        w[a, b] = x
+    given = np.array([seeds.get(i, (0.0, 0.0)) for i in range(21)])
+    rank = np.ones((21, 2)) * given.sum(0) / 21
+    for _ in range(300):  # the walk itself: all mass each time, what is not passed on goes back to the seeds
+        for k, m in enumerate((w, w.T)):
+            passed = 0.85 * (m / (m.sum(1, keepdims=True) + url_filter.SEED_WEIGHT)).T @ rank[:, k]
+            rank[:, k] = passed + (rank[:, k].sum() - passed.sum()) * given[:, k] / given[:, k].sum()
+    for i in range(21):
+        x = got.get(f"h{i}")
+        assert (x.trust, x.distrust) == pytest.approx(tuple(rank[i]), abs=3e-6) if x else not rank[i].any()
+    assert sum(x.trust for x in got.values()) == pytest.approx(1.25) and sum(x.distrust for x in got.values()) == pytest.approx(2.5)
+
+
+def test_deep_hosts_and_long_chains(spark):
+    rules = [url_filter.Rule("bad.net", "/", False), url_filter.Rule("good.com", "/", True), url_filter.Rule("f.com", "/x/", False)]
+    link = '<a href="http://{}/">'.format
+    rows = [(1, "http://bad.net/1", ""), (2, "http://good.com/", link("fine.org") + link("mixed.org")), (3, "http://a.b.c.d.e.f.com/", ""),
+            (4, "http://f.com/x/1", ""), (5, "http://mixed.org/", link("fine.org")), (6, "http://fine.org/", "")]
+    rows += [(100 + i, f"http://s{i}.net/", link(f"s{i - 1}.net" if i else "bad.net")) for i in range(14)]
+    rows += [(200 + i, f"http://u{i}.large.io/", "") for i in range(40)] + [(300, "http://u0.large.io/x", ""), (301, "http://u1.large.io/", link("bad.net"))]
+    got = {r.page_id: r for r in url_filter.judge_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string"), rules).collect()}
+    edges = {(r.src, r.dst) for r in url_filter.parent_links(spark.createDataFrame([("a.b.c.d.e.f.com",), ("x.org",)], "host string")).collect()}
+    assert {("e.f.com", "f.com"), ("f.com", "e.f.com"), ("a.b.c.d.e.f.com", "b.c.d.e.f.com")} <= edges and len(edges) == 10
+    assert got[3].distrust > 0, "through all its parents"
+    assert all(got[100 + i].verdict == "block" and got[100 + i].distrust > 0 for i in range(5)) and got[113].distrust > 0
+    assert got[6].verdict == got[5].verdict == "allow" and got[6].trust > 0, "trust wins"
+    assert got[201].verdict == "block" and all(got[200 + i].verdict == "allow" for i in range(40) if i != 1), "not all of a domain for one host"
