@@ -40,7 +40,3 @@ def temp_band(col) -> Column:
 def temp_extreme(col) -> Column:
     c = _c(col)
     return F.coalesce((c > TEMP_EXTREME_HIGH) | (c < TEMP_EXTREME_LOW), F.lit(False)).cast("int")
-
-
-def safe_ratio(num, den, eps: float) -> Column:
-    return _c(num) / (_c(den) + F.lit(float(eps)))

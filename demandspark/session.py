@@ -59,10 +59,7 @@ def get_session(master: str | None = None, app: str = "demandspark", shuffle_par
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting a private one only when the session has none."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a remote (Connect) session: the server's own setting applies
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -83,23 +80,6 @@ def cut_lineage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` (default: the cluster's parallelism) before a step
-    that multiplies rows (replication per key set or fold). A frame read back from a checkpoint of a small
-    aggregate often sits in one partition; without this the replicated work would run in one task.
-    Meant for materialised frames: counting partitions plans the frame (with AQE, running its shuffles)."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            return df.repartition(target)
-    except Exception:  # no RDD view (remote session): leave partitioning to AQE
-        pass
-    return df
-
-
 def session_id(spark: SparkSession) -> str:
-    """Identifier of the running application (classic or remote session)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:
-        return spark.conf.get("spark.app.id", None) or str(id(spark))
+    """Identifier of the running application."""
+    return spark.sparkContext.applicationId

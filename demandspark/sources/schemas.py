@@ -22,5 +22,3 @@ _COMMON = [
 TRAIN_SCHEMA = T.StructType([T.StructField(ROW_KEY, T.LongType(), True)] + _COMMON
                             + [T.StructField(TARGET, T.DoubleType(), True)])
 TEST_SCHEMA = T.StructType([T.StructField(ROW_KEY, T.LongType(), True)] + _COMMON)
-SUBMISSION_SCHEMA = T.StructType([T.StructField(ROW_KEY, T.LongType(), False),
-                                  T.StructField(TARGET, T.DoubleType(), False)])
