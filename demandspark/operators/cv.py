@@ -65,7 +65,8 @@ def assemble(train: DataFrame, test: DataFrame, specs: list[LearnerSpec]) -> Mat
     model = Pipeline(stages=stages).fit(train)
     tr = model.transform(train).select(ROW_KEY, FOLD, TARGET, FEATURES)
     te = model.transform(test).select(ROW_KEY, F.lit(-1).alias(FOLD), F.lit(None).cast("double").alias(TARGET), FEATURES)
-    return Matrix(cut_lineage(tr.unionByName(te)), [*numeric, *categorical])
+    # partitions by the size of the rows: a fit has several jobs for each level of each tree
+    return Matrix(cut_lineage(tr.unionByName(te).hint("rebalance")), [*numeric, *categorical])
 
 
 @dataclass

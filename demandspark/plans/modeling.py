@@ -27,7 +27,7 @@ from demandspark.sources.schemas import ROW_KEY, TARGET
 
 #: Rounds without a lower held loss that end the boosting of the registered queries. The learners' own settings wait
 #: longer; README has the figures. The number of rounds is theirs.
-QUERY_PATIENCE = 10
+QUERY_PATIENCE = 5
 LEARNERS = ("model_a", "model_b", "model_c")
 
 
