@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import by_number, numbered, pieces, save, text_buffer, without
+from demandspark.llm.common import by_number, discard, numbered, pieces, row_key, save, text_buffer, without
 from demandspark.llm.rolling import NOT_SPACE, kgram_hashes, mix, word_hashes, word_spans
 
 #: Lists up to this length are searched pair by pair for entries that no other can link with, before they are
@@ -83,15 +83,15 @@ def _each_set(docs: DataFrame, emit: Callable, schema: str, n: int) -> DataFrame
 
 
 def set_names(docs: DataFrame, n: int) -> DataFrame:
-    """row, doc_id, n_shingles, set (its name) and bins (how many of its hashes fall on each of BINS) of each row."""
+    """row, text_key, doc_id, n_shingles, set (its name) and bins (how many of its hashes fall on each of BINS) of each row."""
     def emit(part, sets, seen):
         bins = [np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=BINS).astype(np.uint32).tobytes() for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [part.column("row"), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+            [part.column("row"), part.column("text_key"), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([set_name(s) for s in sets], pa.int64()), pa.array(bins, pa.binary())],
-            ["row", "doc_id", "n_shingles", "set", "bins"])
+            ["row", "text_key", "doc_id", "n_shingles", "set", "bins"])
 
-    return _each_set(docs, emit, "row bigint, doc_id bigint, n_shingles bigint, set bigint, bins binary", n)
+    return _each_set(docs, emit, "row bigint, text_key bigint, doc_id bigint, n_shingles bigint, set bigint, bins binary", n)
 
 
 def slot_counts(docs: DataFrame, n: int, counters: int) -> np.ndarray:
@@ -114,7 +114,7 @@ def slot_counts(docs: DataFrame, n: int, counters: int) -> np.ndarray:
 
 
 def index_entries(docs: DataFrame, n: int, percent: int, counters: int) -> DataFrame:
-    """The lists of all n-grams that two sets or more have in their prefixes: token, set, n_shingles, pos.
+    """The lists of all n-grams that two sets or more have in their prefixes, saved: token, set, n_shingles, pos.
     Sorted over the cluster by token and set, so that a long list is spread over several tasks."""
     counts = docs.sparkSession.sparkContext.broadcast(slot_counts(docs, n, counters))
 
@@ -162,7 +162,9 @@ def index_entries(docs: DataFrame, n: int, percent: int, counters: int) -> DataF
             yield from _several(kept, edge, True, percent)
 
     ranged = entries.repartitionByRange("token", "set").sortWithinPartitions("token", "set")
-    return ranged.mapInArrow(shared, schema)
+    lists = save(ranged.mapInArrow(shared, schema), "join-lists")
+    discard(entries)
+    return lists
 
 
 def _several(cols: list[np.ndarray], first: bool, last: bool, percent: int) -> Iterator[pa.RecordBatch]:
@@ -188,18 +190,18 @@ def _several(cols: list[np.ndarray], first: bool, last: bool, percent: int) -> I
 
 
 class RowFilter:
-    """A bit table of fixed size over row keys: lets a scan pass on the rows of a table and little else."""
+    """A bit table of fixed size over text keys: lets a scan pass on the rows of a table and little else."""
 
     def __init__(self, rows: DataFrame, words: int = FILTER_WORDS):
         self.words = words
-        hashed = rows.select(F.xxhash64("row").alias("h"))
+        hashed = rows.select(F.xxhash64("text_key").alias("h"))
         bits = hashed.select(F.pmod("h", F.lit(words)).alias("word"), F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 58) as int))").alias("bit"))
         table = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
         self.bits = np.zeros(words, np.int64)
         self.bits[table.column("word").to_numpy()] = table.column("bits").to_numpy()
 
     def apply(self, table: DataFrame) -> DataFrame:
-        """The rows of ``table`` (with row) that may be wanted, all that are among them."""
+        """The rows of ``table`` (with text_key) that may be wanted, all that are among them."""
         shared, columns = table.sparkSession.sparkContext.broadcast(self.bits), table.columns
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,11 +210,11 @@ class RowFilter:
                 bits = shared.value[h % len(shared.value)].view(np.uint64)
                 yield batch.filter(pa.array((bits >> (h.view(np.uint64) >> np.uint64(58))) & np.uint64(1) == 1)).select(columns)
 
-        return table.withColumn("_h", F.xxhash64("row")).mapInArrow(run, table.schema)
+        return table.withColumn("_h", F.xxhash64("text_key")).mapInArrow(run, table.schema)
 
 
 def _sides(pairs: DataFrame, owners: DataFrame) -> DataFrame:
-    """set and row (one that has it) of both sides of the pairs."""
+    """set and text_key (of a text that has it) of both sides of the pairs."""
     return save(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct().join(owners, "set"), "join-wanted")
 
 
@@ -244,15 +246,19 @@ def verified(docs: DataFrame, names: DataFrame, owners: DataFrame, pairs: DataFr
         return enough(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))
 
     wanted = RowFilter(_sides(pairs, owners))
-    bins = wanted.apply(names.select("row", "set", F.col("bins").alias("value")))
-    likely = save(_compared(pairs, save(bins.select("set", "value"), "join-bins"), by_bins), "join-likely")
+    bins = wanted.apply(names.select("text_key", "set", F.col("bins").alias("value")))
+    held = save(bins.select("set", "value"), "join-bins")
+    likely = save(_compared(pairs, held, by_bins), "join-likely")
+    discard(held)
     wanted = RowFilter(_sides(likely, owners))
 
     def emit(part, sets, seen):
         yield pa.RecordBatch.from_arrays([pa.array([set_name(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["set", "value"])
 
-    sets = _each_set(wanted.apply(docs.select("row", "text")).select("text"), emit, "set bigint, value binary", n)
-    return save(_compared(likely, save(sets, "join-sets"), by_sets), "join-links")
+    held = save(_each_set(wanted.apply(docs.select("text_key", "text")).select("text"), emit, "set bigint, value binary", n), "join-sets")
+    links = save(_compared(likely, held, by_sets), "join-links")
+    discard(held)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -279,8 +285,8 @@ def _possible(x: str, y: str, percent: int) -> str:
 def set_links(docs: DataFrame, names: DataFrame, n: int = 5, percent: int = 80, counters: int = COUNTERS) -> DataFrame:
     """set and label for all sets that link with another set; sets with one label are connected by links.
     ``names`` is what ``set_names`` gives for ``docs``, saved."""
-    owners = save(names.where("n_shingles > 0").groupBy("set").agg(F.min("row").alias("row")), "join-owners")
-    lists = save(index_entries(docs, n, percent, counters), "join-lists")
+    owners = save(names.where("n_shingles > 0").groupBy("set").agg(F.min("text_key").alias("text_key")), "join-owners")
+    lists = index_entries(docs, n, percent, counters)
     # answers taken over: within each list, sets of about one size against the first of them
     banded = lists.withColumn("band", F.floor(F.log2("n_shingles") * 4))
     firsts = save(banded.groupBy("token", "band").agg(F.min(F.struct("pos", "set", "n_shingles")).alias("f"), F.count(F.lit(1)).alias("c"))
@@ -292,6 +298,7 @@ def set_links(docs: DataFrame, names: DataFrame, n: int = 5, percent: int = 80,
     # what is left: links between components, by blocks of lists
     named = save(lists.join(labels.select(F.col("node").alias("set"), "label"), "set", "left")
                  .withColumn("label", F.coalesce("label", "set")), "join-named")
+    discard(lists)
     blocks = named.groupBy("token", "label", "n_shingles", "pos").agg(F.count(F.lit(1)).alias("sets"))
     mixed = save(blocks.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
                  .where("lo <> hi").select("token"), "join-mixed")
@@ -306,6 +313,7 @@ def set_links(docs: DataFrame, names: DataFrame, n: int = 5, percent: int = 80,
     for side in "xy":
         pairs = pairs.join(members(side), ["token", *[f"{side}_{c}" for c in ("label", "n_shingles", "pos")]])
     pairs = save(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "join-pairs")
+    discard(named)
     more = verified(docs, names, owners, save(pairs.join(stars, ["a", "b"], "left_anti"), "join-rest"), n, percent)
     return components(found.union(more)).select(F.col("node").alias("set"), "label")
 
@@ -315,15 +323,17 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, counters:
     lead to, its own included; equal sets link).
 
     Null and empty texts have the empty set and link with nothing, as do texts of white space. Repeated rows are
-    equal sets. A null doc_id is never the smallest unless alone. An empty table gives an empty result. ``docs``
-    is read once, numbered and saved; all later steps read that.
+    equal sets. A null doc_id is never the smallest unless alone. An empty table gives an empty result. Rows
+    are numbered in one job, whose result is saved; texts are found again by a hash of their contents, whatever way the
+    files are cut then.
     """
-    return _similar(by_number(*numbered(docs.select("doc_id", "text"), "join-docs")), n, percent, counters)
+    return _similar(docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"), n, percent, counters)
 
 
 def _similar(keyed: DataFrame, n: int, percent: int, counters: int) -> DataFrame:
+    keyed = keyed.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     names = save(set_names(keyed, n), "join-names")
-    labels = set_links(keyed, names, n, percent, counters)
+    labels = set_links(keyed.select("text_key", "text"), names, n, percent, counters)
     rows = names.alias("r").join(labels.alias("l"), "set", "left").select(
         "r.row", "r.doc_id", "r.n_shingles", F.when(F.col("r.n_shingles") > 0, F.coalesce("l.label", "r.set")).alias("label"))
     rows = save(rows, "join-rows")
