@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 
 FAST = ["scan_train", "aud_missing_pct", "aud_duplicates", "aud_describe_target", "aud_slot_overlap",
         "feat_num_band", "feat_cat_ordinal", "lag_offsets", "lag_mask", "enc_frequency", "te_oof_std",
-        "te_oof_median", "dom_rank_pct", "ens_grid_best", "err_worst_cells", "stream_panel"]
+        "te_oof_median", "dom_rank_pct", "ens_grid_best", "err_worst_cells", "stream_panel", "join_day_pairs", "ens_weights", "ens_fold_summary"]
 
 
 def _norm(v):
