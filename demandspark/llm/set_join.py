@@ -253,7 +253,9 @@ def verified(docs: DataFrame, names: DataFrame, owners: DataFrame, pairs: DataFr
     wanted = RowFilter(_sides(likely, owners))
 
     def emit(part, sets, seen):
-        yield pa.RecordBatch.from_arrays([pa.array([set_name(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["set", "value"])
+        fresh = {name: s for s in sets if (name := set_name(s)) not in seen}
+        seen.update(fresh)
+        yield pa.RecordBatch.from_arrays([pa.array(list(fresh), pa.int64()), pa.array([s.tobytes() for s in fresh.values()], pa.binary())], ["set", "value"])
 
     held = save(_each_set(wanted.apply(docs.select("text_key", "text")).select("text"), emit, "set bigint, value binary", n), "join-sets")
     links = save(_compared(likely, held, by_sets), "join-links")
@@ -331,7 +333,8 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, counters:
 
 
 def _similar(keyed: DataFrame, n: int, percent: int, counters: int) -> DataFrame:
-    keyed = keyed.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    # of the id and the text: a text that many rows have is fetched from one of them
+    keyed = keyed.withColumn("text_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
     names = save(set_names(keyed, n), "join-names")
     labels = set_links(keyed.select("text_key", "text"), names, n, percent, counters)
     rows = names.alias("r").join(labels.alias("l"), "set", "left").select(
