@@ -1,102 +1,169 @@
 """Documents scored by cross-entropy difference between two n-gram language models.
 
-A target model (texts one wants more of) and a background model (all texts) are counted in one pass over the
-whole corpus, with one vocabulary of hashed words, one table of hashed word pairs, the same smoothing and the
-same interpolation, so that they differ in what they were trained on and nothing else. A document's score is the mean over its
-tokens of the target model's loss less the background model's: the lower, the closer to the target.
+A target model (texts one wants more of) and a background model (all texts) share one vocabulary, the words of the whole
+corpus, and the same smoothing and interpolation, so that they differ in what they were trained on and nothing else. A
+document's score is the mean over its tokens of the target model's loss less the background model's: the lower, the
+closer to the target.
+
+Counts are exact and grow with the corpus; neither the driver nor any one task holds them. Texts are laid out once in
+blocks. A block names each of its distinct words and word pairs once, so a word that a third of all tokens are is
+one entry for each block; the entries meet in bins of their hash, and the bins' sums go back to the blocks, whose texts
+are then scored. Texts lie in a table bucketed by block: what is joined to them moves, they do not.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import pieces, row_key, text_buffer
+from demandspark.llm.common import pieces, row_key, save, shared_folder, text_buffer
 from demandspark.llm.rolling import NOT_SPACE, mix, word_hashes, word_spans
 
-#: Sizes of the shared vocabulary and of the table of pairs: fixed, whatever the corpus.
-VOCABULARY = 1 << 18
-PAIRS = 1 << 20
-_START = np.uint64(0x5851F42D4C957F2D)
-
-
-def tokens(batch: pa.RecordBatch, vocabulary: int, pairs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, word id, id of the word before (of the text's start for the first) and pair id of every token."""
-    buf, at = text_buffer(batch.column("text"))
-    starts, ends, rows = word_spans(buf, at, NOT_SPACE)
-    h = word_hashes(buf, starts, ends)
-    before = np.empty_like(h)
-    before[1:] = h[:-1]
-    if len(h):
-        before[np.flatnonzero(np.diff(rows, prepend=-1))] = _START
-    word = (h % np.uint64(vocabulary)).astype(np.int64)
-    prior = (before % np.uint64(vocabulary)).astype(np.int64)
-    # pairs of vocabulary entries, so that both tables share the words that fall together
-    pair = (mix(mix(prior.astype(np.uint64)) ^ word.astype(np.uint64)) % np.uint64(pairs)).astype(np.int64)
-    return rows, word, prior, pair
-
-
-def count_models(docs: DataFrame, vocabulary: int = VOCABULARY, pairs: int = PAIRS) -> dict[str, np.ndarray]:
-    """Counts of both models from all rows of ``docs`` (text, target boolean): words, contexts and pairs, each an
-    array (2, size) of background and target. Every task sums its own part and Spark adds them up; what reaches
-    the driver has the fixed sizes above."""
-    sizes = [vocabulary, vocabulary, pairs]
-    offset = np.concatenate([[0], np.cumsum(sizes)])
+#: Bytes of text in a block (one text if that is longer) and, about, of the texts whose entries meet in one bin.
+BLOCK_BYTES = 8 << 20
+BIN_BYTES = 8 << 20
+#: The place before a text's first word. Keys of words are odd and those of pairs even.
+START = np.uint64(0x5851F42D4C957F2D)
+_ONE = np.uint64(1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, offset[-1]), np.int64)
-        for part in (p for b in batches for p in pieces(b)):
-            rows, *ids = tokens(part, vocabulary, pairs)
-            wanted = np.array([bool(x) for x in part.column("target").to_pylist()], bool)[rows]
-            for start, size, i in zip(offset, sizes, ids, strict=False):
-                counts[0, start: start + size] += np.bincount(i, minlength=size)
-                counts[1, start: start + size] += np.bincount(i[wanted], minlength=size)
-        used = np.flatnonzero(counts[0])
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[0, used]), pa.array(counts[1, used])], ["slot", "b", "t"])
-
-    summed = docs.select("text", "target").mapInArrow(run, "slot bigint, b bigint, t bigint").groupBy("slot").agg(
-        F.sum("b").alias("b"), F.sum("t").alias("t"))
-    table = summed.toArrow()
-    out = np.zeros((2, offset[-1]), np.float32)
-    slot = table.column("slot").to_numpy()
-    out[0, slot], out[1, slot] = table.column("b").to_numpy(), table.column("t").to_numpy()
-    return {name: out[:, offset[i]: offset[i + 1]] for i, name in enumerate(("word", "context", "pair"))}
-
-
-def losses(counts: dict[str, np.ndarray], model: int, word: np.ndarray, prior: np.ndarray, pair: np.ndarray, trust: float = 4.0) -> np.ndarray:
-    """-log p of each token under one model: add-one words, and pairs interpolated with them (Witten-Bell-like:
-    a context seen c times is trusted by c / (c + trust))."""
-    words = counts["word"][model]
-    single = (words[word] + 1.0) / (words.sum(dtype=np.float64) + len(words))
-    seen = counts["context"][model][prior].astype(np.float64)
-    joint = np.minimum(counts["pair"][model][pair], seen)
-    return -np.log((joint + trust * single) / (seen + trust))
-
-
-def score_documents(docs: DataFrame, target: Column, vocabulary: int = VOCABULARY, pairs: int = PAIRS,
-                    training: DataFrame | None = None) -> DataFrame:
-    """One row for each row of ``docs``: row, doc_id, n_tokens, target_loss, background_loss (means per token)
-    and difference (of the two: the lower, the more like the rows where ``target`` holds).
 
-    Words stand between white space, A-Z are taken as a-z. Null and empty texts have no tokens and 0 for all
-    three. A null ``target`` is false; if it never holds, the target model is uniform. ``target`` is looked up in
-    ``training`` (text and what ``target`` needs), which is ``docs`` unless given: scoring itself joins nothing."""
-    learnt = (docs if training is None else training).select("text", F.coalesce(target, F.lit(False)).alias("target"))
-    counts = docs.sparkSession.sparkContext.broadcast(count_models(learnt, vocabulary, pairs))
-    keyed = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _column(side: pa.Table, name: str) -> list:
+    """Values of a column of one side of a cogroup: none if the side has no rows (it then has no columns either)."""
+    return side.column(name).to_pylist() if len(side) else []
+
+
+def _numbers(binaries: list, kind: str = "<i8") -> np.ndarray:
+    return np.frombuffer(b"".join(binaries), kind)
+
+
+def events(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, key of the word, key of the word before (``START`` for the first) and key of the pair, of every token."""
+    found = []
+    for part in pieces(pa.record_batch([texts], ["text"])):
+        buf, at = text_buffer(part.column(0))
+        starts, ends, rows = word_spans(buf, at, NOT_SPACE)
+        found.append((rows + (found[-1][2] if found else 0), word_hashes(buf, starts, ends) | _ONE, (found[-1][2] if found else 0) + len(part)))
+    rows = np.concatenate([f[0] for f in found] or [np.zeros(0, np.int64)])
+    word = np.concatenate([f[1] for f in found] or [np.zeros(0, np.uint64)])
+    prior = np.empty_like(word)
+    prior[1:] = word[:-1]
+    prior[np.flatnonzero(np.diff(rows, prepend=-1))] = START
+    return rows, word, prior, mix(mix(prior) ^ word) & ~_ONE
+
+
+def entries(rows: np.ndarray, word: np.ndarray, prior: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of a block in order, the place in them of each occurrence, and the row it is in: all words, all
+    pairs, and ``START`` once for each text with words."""
+    first = prior == START
+    keys, place = np.unique(np.concatenate([word, pair, prior[first]]), return_inverse=True)
+    return keys, place, np.concatenate([rows, rows, rows[first]])
+
+
+def in_blocks(docs: DataFrame, target: Column, size: int) -> DataFrame:
+    """``docs`` as a saved table (block, row, doc_id, text, target) bucketed by block, in some 256 MB a bucket and, for
+    smaller tables, up to 200 buckets. It is written from the scan, without a shuffle, one file for each block."""
+    keyed = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text",
+                        F.coalesce(target, F.lit(False)).alias("target"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = TaskContext.get().partitionId() << 33, 0
         for part in (p for b in batches for p in pieces(b)):
-            rows, *ids = tokens(part, vocabulary, pairs)
-            n = np.bincount(rows, minlength=len(part))
-            t, b = (np.bincount(rows, losses(counts.value, m, *ids), len(part)) / np.maximum(n, 1) for m in (1, 0))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("row"), part.column("doc_id"), *map(pa.array, (n.astype(np.int64), t, b, t - b))],
-                ["row", "doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
-
-    return keyed.mapInArrow(
+            got = part.column("text").nbytes
+            if held and held + got > BLOCK_BYTES:
+                block, held = block + 1, 0
+            held += got
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), *part.columns], ["block", *part.schema.names])
+
+    name = f"lm_blocks_{uuid.uuid4().hex}"
+    (keyed.mapInArrow(run, "block bigint, row bigint, doc_id bigint, text string, target boolean").write.format("parquet")
+     .bucketBy(max(size >> 28, min(size >> 22, 200)) + 1, "block").option("compression", "zstd")
+     .option("path", f"{shared_folder(docs.sparkSession)}/{name}").saveAsTable(name))
+    return docs.sparkSession.table(name)
+
+
+def block_counts(blocks: DataFrame, wanted: DataFrame, bins: int) -> DataFrame:
+    """For each block and bin with entries of it: bin, block, keys (8 bytes each, in order), and how often they occur in
+    all rows and in the ``wanted`` ones (block, row), as binaries of 8 bytes a key. ``bins`` is a power of two."""
+    def run(texts: pa.Table, chosen: pa.Table) -> pa.Table:
+        names = ["bin", "block", "keys", "b", "t"]
+        keys, place, rows = entries(*events(texts.column("text").combine_chunks()))
+        marked = np.isin(texts.column("row").to_numpy(), np.array(_column(chosen, "chosen"), np.int64))
+        counts = (keys, np.bincount(place, minlength=len(keys)), np.bincount(place[marked[rows]], minlength=len(keys)))
+        edges = np.searchsorted(keys, np.arange(bins, dtype=np.uint64) * np.uint64((1 << 64) // bins % (1 << 64)))
+        edges = np.append(edges, len(keys))
+        used = np.flatnonzero(np.diff(edges))
+        cuts = pa.array(np.append(edges[used], len(keys)) * 8, pa.int64()).buffers()[1]
+        packed = [pa.Array.from_buffers(pa.large_binary(), len(used), [None, cuts, pa.py_buffer(c.astype("<u8").tobytes())]).cast(pa.binary())
+                  for c in counts]
+        return pa.Table.from_arrays([pa.array(used, pa.int32()), pa.array(np.full(len(used), texts.column("block")[0].as_py())),
+                                     *packed], names)
+
+    chosen_rows = wanted.select(F.col("block").alias("at"), F.col("row").alias("chosen"))  # names of its own: both sides are one table
+    return blocks.select("block", "row", "text").groupBy("block").cogroup(chosen_rows.groupBy("at")).applyInArrow(
+        run, "bin int, block bigint, keys binary, b binary, t binary")
+
+
+def corpus_counts(counted: DataFrame) -> DataFrame:
+    """Sums over all blocks for the keys of each block and bin (block, bin, b, t, in the order of the keys). One row of
+    each bin also tells how many distinct words the bin has, and their occurrences in all and in wanted rows."""
+    def run(rows: pa.Table) -> pa.Table:
+        keys, place = np.unique(_numbers(_column(rows, "keys"), "<u8"), return_inverse=True)
+        b, t = (np.bincount(place, _numbers(_column(rows, c)), len(keys)).astype("<i8") for c in "bt")
+        ends = np.cumsum([len(x) // 8 for x in _column(rows, "keys")])
+        words = (keys & _ONE == _ONE) & (keys != START)
+        once = np.zeros((3, len(rows)), np.int64)
+        once[:, 0] = words.sum(), b[words].sum(), t[words].sum()
+        back = [pa.array([x.tobytes() for x in np.split(c[place], ends[:-1])], pa.binary()) for c in (b, t)]
+        return pa.Table.from_arrays([rows.column("block"), rows.column("bin"), *back, *map(pa.array, once)],
+                                    ["block", "bin", "b", "t", "words", "all_tokens", "target_tokens"])
+
+    return counted.groupBy("bin").applyInArrow(
+        run, "block bigint, bin int, b binary, t binary, words bigint, all_tokens bigint, target_tokens bigint")
+
+
+def losses(word: np.ndarray, prior: np.ndarray, pair: np.ndarray, tokens: int, words: int, trust: float = 4.0) -> np.ndarray:
+    """-log p of each token from the counts of its word, the word before and their pair: add-one words, and pairs
+    interpolated with them (a word seen c times is trusted by c / (c + trust) as the one before; that a text ends
+    after it is one of the ways to go on)."""
+    single = (word + 1.0) / (tokens + words)
+    return -np.log((pair + trust * single) / (prior + trust))
+
+
+def score_documents(docs: DataFrame, target: Column | DataFrame) -> DataFrame:
+    """One row for each row of ``docs``: row, doc_id, n_tokens, target_loss, background_loss (means per token)
+    and difference (of the two: the lower, the more like the target).
+
+    ``target`` is a condition on ``docs`` (null is false), or a table whose ``doc_id`` are those of the target rows (nulls
+    and repeated ids in it count for nothing more). If it never holds, the target model is uniform over the words. Words
+    stand between white space, A-Z are taken as a-z; 63-bit hashes stand for words and pairs. Null and empty texts
+    have no tokens and 0 for all three; rows that repeat count and are scored one by one; an empty table gives no rows;
+    further columns are not looked at. A text is one task's work, whatever its length."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    given = isinstance(target, DataFrame)
+    blocks = in_blocks(docs, F.lit(False) if given else target, size)
+    wanted = blocks.select("block", "row", "doc_id").join(target.select("doc_id"), "doc_id", "left_semi") if given else blocks.where("target")
+    sums = save(corpus_counts(block_counts(blocks, wanted, 1 << max(0, (size // BIN_BYTES).bit_length()))), "lm-counts")
+    words, all_tokens, target_tokens = (x or 0 for x in sums.agg(F.sum("words"), F.sum("all_tokens"), F.sum("target_tokens")).first())
+
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        rows, *tokens = events(texts.column("text").combine_chunks())
+        _, place, _ = entries(rows, *tokens)
+        found = found.sort_by("bin") if len(found) else found
+        n, starts = len(rows), np.flatnonzero(tokens[1] == START)
+        before = np.empty(n, np.int64)
+        before[1:] = place[: max(n - 1, 0)]
+        before[starts] = place[2 * n:]
+        count = np.bincount(rows, minlength=len(texts))
+        t, b = (np.bincount(rows, losses(c[place[:n]], c[before], c[place[n: 2 * n]], total, words), len(texts)) / np.maximum(count, 1)
+                for c, total in ((_numbers(_column(found, "t")), target_tokens), (_numbers(_column(found, "b")), all_tokens)))
+        return pa.Table.from_arrays([texts.column("row"), texts.column("doc_id"), *map(pa.array, (count.astype(np.int64), t, b, t - b))],
+                                    ["row", "doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
+
+    return blocks.select("block", "row", "doc_id", "text").groupBy("block").cogroup(sums.select("block", "bin", "b", "t").groupBy("block")).applyInArrow(
         run, "row bigint, doc_id bigint, n_tokens bigint, target_loss double, background_loss double, difference double")

@@ -39,11 +39,8 @@ def op3_subword_bags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").select("doc_id").distinct()
-    docs = documents(spark, sf_dir)
-    # the labels grow with the documents: one form of join at every size
-    training = docs.select("doc_id", "text").join(good.withColumn("good", F.lit(True)).hint("merge"), "doc_id", "left")
-    return lm_score.score_documents(docs, F.col("good"), training=training).drop("row")
+    good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
+    return lm_score.score_documents(documents(spark, sf_dir), good).drop("row")
 
 
 def op5_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Training-data operators against brute force, on small tables with nulls, empty and long texts, ties, repeated
 rows, clashing extra columns, and no rows at all."""
 
+import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -330,6 +332,36 @@ def test_lm_score(spark):
     assert (got[200].n_tokens, got[200].difference, got[201].target_loss) == (0, 0.0, 0.0)
 
 
+def brute_losses(rows, good):
+    """Mean losses of both models for each row, from plain dictionaries of words and pairs."""
+    split = [re.sub("[A-Z]", lambda m: m[0].lower(), t or "").split() for _, t in rows]
+    models = []
+    for chosen in ([x in good for x, _ in rows], [True] * len(rows)):
+        word, pair = collections.Counter(), collections.Counter()
+        for ws in (w for w, c in zip(split, chosen, strict=True) if c and w):
+            word.update(["", *ws])
+            pair.update(zip(["", *ws], ws, strict=False))
+        models.append((word, pair, sum(n for w, n in word.items() if w)))
+    size = len({w for ws in split for w in ws})
+    return [tuple(sum(-math.log((pair[p, w] + 4 * (word[w] + 1) / (total + size)) / (word[p] + 4))
+                      for p, w in zip(["", *ws], ws, strict=False)) / max(len(ws), 1) for word, pair, total in models) for ws in split]
+
+
+@pytest.mark.parametrize("block", [8 << 20, 300])
+def test_lm_score_against_plain_counts(spark, rows, monkeypatch, block):
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", block)
+    monkeypatch.setattr(lm_score, "BIN_BYTES", 20_000 if block == 300 else 8 << 20)
+    rows = [*rows, *((200 + i, prose(i % 5, 50 + i) + " Hot hot hot") for i in range(30))]
+    good = {x for x, _ in rows if x is not None and x % 3 == 0}
+    docs = spark.createDataFrame([(x, t, "b", 1) for x, t in rows], "doc_id bigint, text string, block string, target int").repartition(3)
+    ids = spark.createDataFrame([(x,) for x in [*good, *good, None]], "doc_id bigint")
+    want = sorted((-1 if x is None else x, round(t, 9), round(b, 9)) for (x, _), (t, b) in zip(rows, brute_losses(rows, good), strict=True))
+    for target in (ids, F.col("doc_id") % 3 == 0):
+        got = lm_score.score_documents(docs, target).collect()
+        assert sorted((-1 if r.doc_id is None else r.doc_id, round(r.target_loss, 9), round(r.background_loss, 9)) for r in got) == want
+        assert len({r.row for r in got}) == len(rows) and all(abs(r.difference - (r.target_loss - r.background_loss)) < 1e-12 for r in got)
+
+
 def test_empty_tables(spark, nothing):
     labels = spark.createDataFrame([], "doc_id bigint, toxic int")
     bench = spark.createDataFrame([], "item_id bigint, text string")
