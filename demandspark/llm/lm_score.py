@@ -38,8 +38,32 @@ def _column(side: pa.Table, name: str) -> list:
     return side.column(name).to_pylist() if len(side) else []
 
 
-def _numbers(binaries: list, kind: str = "<i8") -> np.ndarray:
-    return np.frombuffer(b"".join(binaries), kind)
+def _cut(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` from each of ``edges`` to the next as a binary."""
+    ends = pa.py_buffer((edges * values[:1].nbytes).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, ends, pa.py_buffer(values.tobytes())])
+
+
+def pack(b: np.ndarray, t: np.ndarray, edges: np.ndarray) -> list[pa.Array]:
+    """Counts in all and in target rows (the second at most the first), a binary of each from each of ``edges`` to the next:
+    one byte a count, and for those of 255 or more their place, b and t as 8 bytes each in a third binary."""
+    large = np.flatnonzero(b >= 255)
+    starts = np.searchsorted(large, edges)
+    own = large - np.repeat(edges[:-1], np.diff(starts))
+    small = np.where(b < 255, t, 0).astype(np.uint8)
+    return [_cut(np.minimum(b, 255).astype(np.uint8), edges), _cut(small, edges), _cut(np.stack([own, b[large], t[large]], 1).astype("<i8"), starts)]
+
+
+def unpack(side: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The counts of all rows' binaries one after the other, and where each row begins and the last ends."""
+    rows = _column(side, "b")
+    edges = np.concatenate([[0], np.cumsum([len(x) for x in rows], dtype=np.int64)])
+    b, t = (np.frombuffer(b"".join(x), np.uint8).astype(np.int64) for x in (rows, _column(side, "t")))
+    large = _column(side, "large")
+    places = np.frombuffer(b"".join(large), "<i8").reshape(-1, 3)
+    at = places[:, 0] + np.repeat(edges[:-1], [len(x) // 24 for x in large])
+    b[at], t[at] = places[:, 1], places[:, 2]
+    return b, t, edges
 
 
 def events(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,42 +113,38 @@ def in_blocks(docs: DataFrame, target: Column, size: int) -> DataFrame:
 
 def block_counts(blocks: DataFrame, wanted: DataFrame, bins: int) -> DataFrame:
     """For each block and bin with entries of it: bin, block, keys (8 bytes each, in order), and how often they occur in
-    all rows and in the ``wanted`` ones (block, row), as binaries of 8 bytes a key. ``bins`` is a power of two."""
+    all rows and in the ``wanted`` ones (block, row), as in ``pack``. ``bins`` is a power of two."""
     def run(texts: pa.Table, chosen: pa.Table) -> pa.Table:
-        names = ["bin", "block", "keys", "b", "t"]
         keys, place, rows = entries(*events(texts.column("text").combine_chunks()))
         marked = np.isin(texts.column("row").to_numpy(), np.array(_column(chosen, "chosen"), np.int64))
-        counts = (keys, np.bincount(place, minlength=len(keys)), np.bincount(place[marked[rows]], minlength=len(keys)))
         edges = np.searchsorted(keys, np.arange(bins, dtype=np.uint64) * np.uint64((1 << 64) // bins % (1 << 64)))
-        edges = np.append(edges, len(keys))
-        used = np.flatnonzero(np.diff(edges))
-        cuts = pa.array(np.append(edges[used], len(keys)) * 8, pa.int64()).buffers()[1]
-        packed = [pa.Array.from_buffers(pa.large_binary(), len(used), [None, cuts, pa.py_buffer(c.astype("<u8").tobytes())]).cast(pa.binary())
-                  for c in counts]
+        used = np.flatnonzero(np.diff(np.append(edges, len(keys))))
+        edges = np.append(edges[used], len(keys))
+        counts = pack(np.bincount(place, minlength=len(keys)), np.bincount(place[marked[rows]], minlength=len(keys)), edges)
         return pa.Table.from_arrays([pa.array(used, pa.int32()), pa.array(np.full(len(used), texts.column("block")[0].as_py())),
-                                     *packed], names)
+                                     _cut(keys.astype("<u8"), edges), *counts], ["bin", "block", "keys", "b", "t", "large"])
 
     chosen_rows = wanted.select(F.col("block").alias("at"), F.col("row").alias("chosen"))  # names of its own: both sides are one table
     return blocks.select("block", "row", "text").groupBy("block").cogroup(chosen_rows.groupBy("at")).applyInArrow(
-        run, "bin int, block bigint, keys binary, b binary, t binary")
+        run, "bin int, block bigint, keys binary, b binary, t binary, large binary")
 
 
 def corpus_counts(counted: DataFrame) -> DataFrame:
-    """Sums over all blocks for the keys of each block and bin (block, bin, b, t, in the order of the keys). One row of
-    each bin also tells how many distinct words the bin has, and their occurrences in all and in wanted rows."""
+    """Sums over all blocks for the keys of each block and bin (block, bin, and counts as in ``pack`` in the order of the
+    keys). One row of each bin also tells how many distinct words the bin has, and their occurrences in all and in
+    wanted rows."""
     def run(rows: pa.Table) -> pa.Table:
-        keys, place = np.unique(_numbers(_column(rows, "keys"), "<u8"), return_inverse=True)
-        b, t = (np.bincount(place, _numbers(_column(rows, c)), len(keys)).astype("<i8") for c in "bt")
-        ends = np.cumsum([len(x) // 8 for x in _column(rows, "keys")])
+        keys, place = np.unique(np.frombuffer(b"".join(_column(rows, "keys")), "<u8"), return_inverse=True)
+        *own, edges = unpack(rows)
+        b, t = (np.bincount(place, c, len(keys)).astype(np.int64) for c in own)
         words = (keys & _ONE == _ONE) & (keys != START)
         once = np.zeros((3, len(rows)), np.int64)
         once[:, 0] = words.sum(), b[words].sum(), t[words].sum()
-        back = [pa.array([x.tobytes() for x in np.split(c[place], ends[:-1])], pa.binary()) for c in (b, t)]
-        return pa.Table.from_arrays([rows.column("block"), rows.column("bin"), *back, *map(pa.array, once)],
-                                    ["block", "bin", "b", "t", "words", "all_tokens", "target_tokens"])
+        return pa.Table.from_arrays([rows.column("block"), rows.column("bin"), *pack(b[place], t[place], edges), *map(pa.array, once)],
+                                    ["block", "bin", "b", "t", "large", "words", "all_tokens", "target_tokens"])
 
     return counted.groupBy("bin").applyInArrow(
-        run, "block bigint, bin int, b binary, t binary, words bigint, all_tokens bigint, target_tokens bigint")
+        run, "block bigint, bin int, b binary, t binary, large binary, words bigint, all_tokens bigint, target_tokens bigint")
 
 
 def losses(word: np.ndarray, prior: np.ndarray, pair: np.ndarray, tokens: int, words: int, trust: float = 4.0) -> np.ndarray:
@@ -160,10 +180,11 @@ def score_documents(docs: DataFrame, target: Column | DataFrame) -> DataFrame:
         before[1:] = place[: max(n - 1, 0)]
         before[starts] = place[2 * n:]
         count = np.bincount(rows, minlength=len(texts))
+        in_all, in_target, _ = unpack(found)
         t, b = (np.bincount(rows, losses(c[place[:n]], c[before], c[place[n: 2 * n]], total, words), len(texts)) / np.maximum(count, 1)
-                for c, total in ((_numbers(_column(found, "t")), target_tokens), (_numbers(_column(found, "b")), all_tokens)))
+                for c, total in ((in_target, target_tokens), (in_all, all_tokens)))
         return pa.Table.from_arrays([texts.column("row"), texts.column("doc_id"), *map(pa.array, (count.astype(np.int64), t, b, t - b))],
                                     ["row", "doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
 
-    return blocks.select("block", "row", "doc_id", "text").groupBy("block").cogroup(sums.select("block", "bin", "b", "t").groupBy("block")).applyInArrow(
+    return blocks.select("block", "row", "doc_id", "text").groupBy("block").cogroup(sums.select("block", "bin", "b", "t", "large").groupBy("block")).applyInArrow(
         run, "row bigint, doc_id bigint, n_tokens bigint, target_loss double, background_loss double, difference double")

@@ -351,7 +351,7 @@ def brute_losses(rows, good):
 def test_lm_score_against_plain_counts(spark, rows, monkeypatch, block):
     monkeypatch.setattr(lm_score, "BLOCK_BYTES", block)
     monkeypatch.setattr(lm_score, "BIN_BYTES", 20_000 if block == 300 else 8 << 20)
-    rows = [*rows, *((200 + i, prose(i % 5, 50 + i) + " Hot hot hot") for i in range(30))]
+    rows = [*rows, *((200 + i, prose(i % 5, 50 + i) + " Hot hot hot" * 20) for i in range(30))]
     good = {x for x, _ in rows if x is not None and x % 3 == 0}
     docs = spark.createDataFrame([(x, t, "b", 1) for x, t in rows], "doc_id bigint, text string, block string, target int").repartition(3)
     ids = spark.createDataFrame([(x,) for x in [*good, *good, None]], "doc_id bigint")
