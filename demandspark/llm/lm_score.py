@@ -28,6 +28,8 @@ from demandspark.llm.rolling import NOT_SPACE, mix, word_hashes, word_spans
 #: Bytes of text in a block (one text if that is longer) and, about, of the texts whose entries meet in one bin.
 BLOCK_BYTES = 8 << 20
 BIN_BYTES = 8 << 20
+#: Tokens whose losses are worked out in one step.
+TOKENS = 1 << 18
 #: The place before a text's first word. Keys of words are odd and those of pairs even.
 START = np.uint64(0x5851F42D4C957F2D)
 _ONE = np.uint64(1)
@@ -67,26 +69,49 @@ def unpack(side: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def events(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, key of the word, key of the word before (``START`` for the first) and key of the pair, of every token."""
-    found = []
+    """Row, key of the word, whether it is its text's first, and key of its pair with the word before, of every token."""
+    found, row = [], 0
     for part in pieces(pa.record_batch([texts], ["text"])):
         buf, at = text_buffer(part.column(0))
         starts, ends, rows = word_spans(buf, at, NOT_SPACE)
-        found.append((rows + (found[-1][2] if found else 0), word_hashes(buf, starts, ends) | _ONE, (found[-1][2] if found else 0) + len(part)))
-    rows = np.concatenate([f[0] for f in found] or [np.zeros(0, np.int64)])
-    word = np.concatenate([f[1] for f in found] or [np.zeros(0, np.uint64)])
-    prior = np.empty_like(word)
-    prior[1:] = word[:-1]
-    prior[np.flatnonzero(np.diff(rows, prepend=-1))] = START
-    return rows, word, prior, mix(mix(prior) ^ word) & ~_ONE
-
-
-def entries(rows: np.ndarray, word: np.ndarray, prior: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys of a block in order, the place in them of each occurrence, and the row it is in: all words, all
-    pairs, and ``START`` once for each text with words."""
-    first = prior == START
-    keys, place = np.unique(np.concatenate([word, pair, prior[first]]), return_inverse=True)
-    return keys, place, np.concatenate([rows, rows, rows[first]])
+        word, first = word_hashes(buf, starts, ends) | _ONE, np.diff(rows, prepend=-1) > 0
+        prior = np.empty_like(word)
+        prior[1:] = word[:-1]
+        prior[first] = START
+        found.append(((rows + row).astype(np.int32), word, first, mix(mix(prior) ^ word) & ~_ONE))
+        row += len(part)
+    none = (np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.uint64))
+    return tuple(np.concatenate(x) for x in zip(*(found or [none]), strict=True))
+
+
+def entries(word: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Distinct keys of a block in order (words, pairs and, if there are any, ``START``), and the places in them of each
+    token's word, of its pair, and of ``START``."""
+    words, at_word = np.unique(word, return_inverse=True)
+    pairs, at_pair = np.unique(pair, return_inverse=True)
+    keys = np.concatenate([words, pairs, [START][: len(words)]]).astype(np.uint64)
+    order = np.argsort(keys)
+    place = np.empty(len(keys), np.int32)
+    place[order] = np.arange(len(keys), dtype=np.int32)
+    return keys[order], place[at_word], place[at_pair + len(words)], int(place[-1]) if len(keys) else 0
+
+
+def shorten(keys: np.ndarray, edges: np.ndarray, bases: np.ndarray) -> np.ndarray:
+    """Ordered keys as differences (the first after each of ``edges`` from its base), in as many bytes as the largest takes."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    steps[edges[:-1]] = keys[edges[:-1]] - bases
+    width = max(1, -(-int(steps.max(initial=0)).bit_length() // 8))
+    return np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width])
+
+
+def lengthen(shorts: list[bytes], numbers: np.ndarray, base: np.uint64) -> np.ndarray:
+    """The keys of one bin's rows, one after the other, from their differences and how many each row has."""
+    out = []
+    for x, n in zip(shorts, numbers, strict=True):
+        steps = np.zeros((n, 8), np.uint8)
+        steps[:, : len(x) // n] = np.frombuffer(x, np.uint8).reshape(n, -1)
+        out.append(np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64) + base)
+    return np.concatenate(out or [np.zeros(0, np.uint64)])
 
 
 def in_blocks(docs: DataFrame, target: Column, size: int) -> DataFrame:
@@ -111,31 +136,43 @@ def in_blocks(docs: DataFrame, target: Column, size: int) -> DataFrame:
     return docs.sparkSession.table(name)
 
 
+def _bases(bins: int) -> np.ndarray:
+    """The smallest key of each bin; ``bins`` is a power of two."""
+    return np.arange(bins, dtype=np.uint64) * np.uint64((1 << 64) // bins % (1 << 64))
+
+
 def block_counts(blocks: DataFrame, wanted: DataFrame, bins: int) -> DataFrame:
-    """For each block and bin with entries of it: bin, block, keys (8 bytes each, in order), and how often they occur in
-    all rows and in the ``wanted`` ones (block, row), as in ``pack``. ``bins`` is a power of two."""
+    """For each block and bin with entries of it: bin, block, the keys as in ``shorten``, and how often they occur in all
+    rows and in the ``wanted`` ones (block, row), as in ``pack``."""
     def run(texts: pa.Table, chosen: pa.Table) -> pa.Table:
-        keys, place, rows = entries(*events(texts.column("text").combine_chunks()))
-        marked = np.isin(texts.column("row").to_numpy(), np.array(_column(chosen, "chosen"), np.int64))
-        edges = np.searchsorted(keys, np.arange(bins, dtype=np.uint64) * np.uint64((1 << 64) // bins % (1 << 64)))
+        rows, word, first, pair = events(texts.column("text").combine_chunks())
+        keys, at_word, at_pair, start = entries(word, pair)
+        marked = np.isin(texts.column("row").to_numpy(), np.array(_column(chosen, "chosen"), np.int64))[rows]
+        counts = []
+        for taken in (np.ones(len(rows), bool), marked):
+            counts.append(np.bincount(at_word[taken], minlength=len(keys)) + np.bincount(at_pair[taken], minlength=len(keys)))
+            counts[-1][start: start + 1] += (first & taken).sum()
+        lows = _bases(bins)
+        edges = np.searchsorted(keys, lows)
         used = np.flatnonzero(np.diff(np.append(edges, len(keys))))
         edges = np.append(edges[used], len(keys))
-        counts = pack(np.bincount(place, minlength=len(keys)), np.bincount(place[marked[rows]], minlength=len(keys)), edges)
         return pa.Table.from_arrays([pa.array(used, pa.int32()), pa.array(np.full(len(used), texts.column("block")[0].as_py())),
-                                     _cut(keys.astype("<u8"), edges), *counts], ["bin", "block", "keys", "b", "t", "large"])
+                                     _cut(shorten(keys, edges, lows[used]), edges), *pack(*counts, edges)],
+                                    ["bin", "block", "keys", "b", "t", "large"])
 
     chosen_rows = wanted.select(F.col("block").alias("at"), F.col("row").alias("chosen"))  # names of its own: both sides are one table
     return blocks.select("block", "row", "text").groupBy("block").cogroup(chosen_rows.groupBy("at")).applyInArrow(
         run, "bin int, block bigint, keys binary, b binary, t binary, large binary")
 
 
-def corpus_counts(counted: DataFrame) -> DataFrame:
+def corpus_counts(counted: DataFrame, bins: int) -> DataFrame:
     """Sums over all blocks for the keys of each block and bin (block, bin, and counts as in ``pack`` in the order of the
     keys). One row of each bin also tells how many distinct words the bin has, and their occurrences in all and in
     wanted rows."""
     def run(rows: pa.Table) -> pa.Table:
-        keys, place = np.unique(np.frombuffer(b"".join(_column(rows, "keys")), "<u8"), return_inverse=True)
         *own, edges = unpack(rows)
+        keys = lengthen(_column(rows, "keys"), np.diff(edges), _bases(bins)[rows.column("bin")[0].as_py()])
+        keys, place = np.unique(keys, return_inverse=True)
         b, t = (np.bincount(place, c, len(keys)).astype(np.int64) for c in own)
         words = (keys & _ONE == _ONE) & (keys != START)
         once = np.zeros((3, len(rows)), np.int64)
@@ -168,21 +205,22 @@ def score_documents(docs: DataFrame, target: Column | DataFrame) -> DataFrame:
     given = isinstance(target, DataFrame)
     blocks = in_blocks(docs, F.lit(False) if given else target, size)
     wanted = blocks.select("block", "row", "doc_id").join(target.select("doc_id"), "doc_id", "left_semi") if given else blocks.where("target")
-    sums = save(corpus_counts(block_counts(blocks, wanted, 1 << max(0, (size // BIN_BYTES).bit_length()))), "lm-counts")
+    bins = 1 << (size // BIN_BYTES).bit_length()
+    sums = save(corpus_counts(block_counts(blocks, wanted, bins), bins), "lm-counts")
     words, all_tokens, target_tokens = (x or 0 for x in sums.agg(F.sum("words"), F.sum("all_tokens"), F.sum("target_tokens")).first())
 
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        rows, *tokens = events(texts.column("text").combine_chunks())
-        _, place, _ = entries(rows, *tokens)
-        found = found.sort_by("bin") if len(found) else found
-        n, starts = len(rows), np.flatnonzero(tokens[1] == START)
-        before = np.empty(n, np.int64)
-        before[1:] = place[: max(n - 1, 0)]
-        before[starts] = place[2 * n:]
+        rows, word, first, pair = events(texts.column("text").combine_chunks())
+        _, at_word, at_pair, start = entries(word, pair)
+        del word, pair
+        before = np.where(first, start, np.concatenate([at_word[:1], at_word[:-1]]))
+        in_all, in_target, _ = unpack(found.sort_by("bin") if len(found) else found)
         count = np.bincount(rows, minlength=len(texts))
-        in_all, in_target, _ = unpack(found)
-        t, b = (np.bincount(rows, losses(c[place[:n]], c[before], c[place[n: 2 * n]], total, words), len(texts)) / np.maximum(count, 1)
-                for c, total in ((in_target, target_tokens), (in_all, all_tokens)))
+        t, b = np.zeros((2, len(texts)))
+        for part in (slice(i, i + TOKENS) for i in range(0, len(rows), TOKENS)):
+            for out, c, total in ((t, in_target, target_tokens), (b, in_all, all_tokens)):
+                out += np.bincount(rows[part], losses(c[at_word[part]], c[before[part]], c[at_pair[part]], total, words), len(texts))
+        t, b = t / np.maximum(count, 1), b / np.maximum(count, 1)
         return pa.Table.from_arrays([texts.column("row"), texts.column("doc_id"), *map(pa.array, (count.astype(np.int64), t, b, t - b))],
                                     ["row", "doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
 
