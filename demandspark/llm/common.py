@@ -86,6 +86,7 @@ def filtered(docs: DataFrame, keep) -> DataFrame:
             kept = part.filter(pa.array(keep(part), pa.bool_()))
             if len(kept):
                 yield kept
+        pa.default_memory_pool().release_unused()  # the worker lives on and would hold it through later stages
 
     return docs.mapInArrow(run, docs.schema)
 

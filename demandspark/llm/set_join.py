@@ -78,6 +78,7 @@ def _each_set(docs: DataFrame, emit: Callable, schema: str, n: int) -> DataFrame
         seen: set[int] = set()
         for part in (p for b in batches for p in pieces(b)):
             yield from emit(part, text_sets(part, n), seen)
+        pa.default_memory_pool().release_unused()  # the worker lives on and would hold it through later stages
 
     return docs.mapInArrow(run, schema)
 

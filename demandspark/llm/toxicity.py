@@ -167,6 +167,7 @@ def train_in_task(sample: DataFrame, prior: float) -> Model:
         yield pa.RecordBatch.from_pydict({
             "embeddings": pa.array([model.embeddings.tobytes()], pa.binary()), "softmax": pa.array([model.softmax.tobytes()], pa.binary()),
             "bias": pa.array([model.bias.tobytes()], pa.binary()), "scale": pa.array([model.scale], pa.float64())})
+        pa.default_memory_pool().release_unused()
 
     trained = sample.repartition(1).mapInArrow(run, "embeddings binary, softmax binary, bias binary, scale double").head()
     if trained is None:  # no rows, no task
@@ -206,8 +207,8 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(run, "row bigint, doc_id bigint, score double")
 
 
-def _steps(buf: np.ndarray, at: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Parts of a very long buffer, cut at white space where there is some."""
+def _steps(buf: np.ndarray, at: np.ndarray, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Parts of a buffer, cut at white space where there is some: the n-grams of one take about a hundred bytes a byte."""
     a = 0
     while a < len(buf):
         b = min(len(buf), a + limit)
