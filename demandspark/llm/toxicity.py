@@ -96,7 +96,9 @@ def train(sample: list[tuple[int, np.ndarray, np.ndarray]], prior: float, dims:
     b = np.zeros(2, np.float32)
     ge, gw, gb = np.full((n, dims), 1e-6, np.float32), np.full_like(w, 1e-6), np.full_like(b, 1e-6)
     # what only a text or two have tells nothing of others
-    texts = np.bincount(np.concatenate([s[1] for s in sample] or [np.zeros(0, np.int32)]), minlength=n)
+    texts = np.zeros(n, np.int64)
+    for _, i, _ in sample:  # each bucket once; one text at a time, so that no second copy of the sample is made
+        texts[i] += 1
     common = texts >= least
     e[~common] = 0
     for at, (y, i, c) in enumerate(sample):  # in place, so that the longer arrays go
@@ -160,7 +162,7 @@ def train_in_task(sample: DataFrame, prior: float) -> Model:
     """The model of ``sample`` (label, buckets, counts; bounded), trained in one task: the driver gets the weights
     only. The task sorts its rows, so a repeated one gives the same model."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(y.as_py(), np.frombuffer(i.as_py(), np.int32), np.frombuffer(c.as_py(), np.float32)) for batch in batches
+        rows = [(y.as_py(), np.frombuffer(i.as_buffer(), np.int32), np.frombuffer(c.as_buffer(), np.float32)) for batch in batches
                 for y, i, c in zip(*(batch.column(x) for x in ("label", "buckets", "counts")), strict=True)]
         rows.sort(key=cmp_to_key(_order))
         model = train(rows, prior)
