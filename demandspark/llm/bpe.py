@@ -22,7 +22,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import pieces
+from demandspark.llm.common import map_batches, pieces
 
 #: Characters of a leaf: what is encoded in one call. Most texts are longer and go through joins.
 LEAF_CHARS = 512
@@ -162,7 +162,7 @@ def encode_documents(docs: DataFrame, ranks: str = RANKS, leaf_chars: int = LEAF
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, ids array<int>")
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id bigint, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
@@ -173,7 +173,7 @@ def decode_documents(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
             text = [c.decode(np.array(x or [], np.int64)).decode("utf-8", "replace") for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(text, pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
+    return map_batches(encoded.select("doc_id", "ids"), run, "doc_id bigint, text string")
 
 
 def round_trip(docs: DataFrame, ranks: str = RANKS, leaf_chars: int = LEAF_CHARS, keep_ids: bool = False) -> DataFrame:
@@ -196,8 +196,8 @@ def round_trip(docs: DataFrame, ranks: str = RANKS, leaf_chars: int = LEAF_CHARS
                 columns["ids"] = pa.array(kept, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)
+    return map_batches(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)
 
 
 def token_counts(docs: DataFrame, ranks: str = RANKS, leaf_chars: int = LEAF_CHARS) -> DataFrame:
@@ -208,4 +208,4 @@ def token_counts(docs: DataFrame, ranks: str = RANKS, leaf_chars: int = LEAF_CHA
             n = [len(c.encode(t.as_py())) for t in part.column("text")]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, n_tokens bigint")
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id bigint, n_tokens bigint")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +81,27 @@ def without(rows: DataFrame, name: str, gone: DataFrame) -> DataFrame:
     return rows.join(gone.select(F.col("row").alias(name)), name, "left_anti").drop(name)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on and would hold it through later stages, Arrow's in its
+    pool and numpy's in the C heap, whose blocks stay below the last one in use."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, whose tasks give their memory back when they end."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(whole, schema)
+
+
 def filtered(docs: DataFrame, keep) -> DataFrame:
     """The rows of ``docs`` that ``keep`` (from a slice of a record batch to booleans) lets through, all columns as they
     are: what is decided by a row's text alone needs no key, no join and no shuffle."""
@@ -86,9 +110,8 @@ def filtered(docs: DataFrame, keep) -> DataFrame:
             kept = part.filter(pa.array(keep(part), pa.bool_()))
             if len(kept):
                 yield kept
-        pa.default_memory_pool().release_unused()  # the worker lives on and would hold it through later stages
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

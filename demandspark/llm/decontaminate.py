@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import by_number, filtered, numbered, pieces, row_key, save, text_buffer, without
+from demandspark.llm.common import by_number, filtered, map_batches, numbered, pieces, row_key, save, text_buffer, without
 from demandspark.llm.rolling import FOLDED, char_hashes
 
 #: Bytes of benchmark text that one pass over the documents looks for.
@@ -199,13 +199,13 @@ def _passages(keyed: DataFrame, saved: bool, benchmark: DataFrame, q: int = 12,
     schema = "row bigint, doc_id bigint, item_id bigint, start bigint, end bigint, probes bigint, edits bigint"
     sized, blocks = _benchmark(benchmark, block_bytes)
     if blocks == 1:
-        return keyed.mapInArrow(_finder(keyed, _indexes(sized, 0, 1, q, length, rate)), schema)
+        return map_batches(keyed, _finder(keyed, _indexes(sized, 0, 1, q, length, rate)), schema)
     out = keyed.sparkSession.createDataFrame([], schema)
     if not saved:  # read once for each block
         keyed = save(keyed, "leak-docs")
     for block in range(blocks):  # one index at a time, on the driver and in the tasks
         finder = _finder(keyed, _indexes(sized, block, blocks, q, length, rate))
-        out = out.unionByName(save(keyed.mapInArrow(finder, schema), "leak-block"))
+        out = out.unionByName(save(map_batches(keyed, finder, schema), "leak-block"))
         finder.shared.destroy()
     return out.groupBy("row", "doc_id", "item_id").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("probes").alias("probes"), F.min("edits").alias("edits"))

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import by_number, numbered, row_key, save, without
+from demandspark.llm.common import by_number, map_batches, numbered, row_key, save, without
 
 BLOCK_BYTES = 4096
 _CARRIED = "row bigint, doc_id bigint, n bigint, sha string, pos bigint"
@@ -57,7 +57,7 @@ def name_keys(rows: DataFrame) -> DataFrame:
     hashed = rows.withColumn("hash", F.xxhash64("key")).withColumn("digest", F.unhex(F.sha2("key", 256)))
     order = ["hash", "digest", "key", "row", "pos"]
     ranged = hashed.repartitionByRange("hash", "digest", "row", "pos").sortWithinPartitions(*order).select(*rows.columns)
-    named = save(ranged.mapInArrow(_named, _CARRIED + ", name bigint, edge binary"), "block-names")
+    named = save(map_batches(ranged, _named, _CARRIED + ", name bigint, edge binary"), "block-names")
     edges = named.where("edge is not null").select("edge", "name")
     first = edges.groupBy("edge").agg(F.min("name").alias("first"))
     # at most two rows for each partition: bounded by the number of tasks, whatever the size of the tables

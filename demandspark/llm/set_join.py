@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import by_number, discard, numbered, pieces, row_key, save, text_buffer, without
+from demandspark.llm.common import by_number, discard, map_batches, numbered, pieces, row_key, save, text_buffer, without
 from demandspark.llm.rolling import NOT_SPACE, kgram_hashes, mix, word_hashes, word_spans
 
 #: Lists up to this length are searched pair by pair for entries that no other can link with, before they are
@@ -78,9 +78,8 @@ def _each_set(docs: DataFrame, emit: Callable, schema: str, n: int) -> DataFrame
         seen: set[int] = set()
         for part in (p for b in batches for p in pieces(b)):
             yield from emit(part, text_sets(part, n), seen)
-        pa.default_memory_pool().release_unused()  # the worker lives on and would hold it through later stages
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def set_names(docs: DataFrame, n: int) -> DataFrame:
@@ -107,7 +106,7 @@ def slot_counts(docs: DataFrame, n: int, counters: int) -> np.ndarray:
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], ["slot", "count"])
 
-    found = docs.select("text").mapInArrow(run, "slot bigint, count bigint").groupBy("slot").agg(F.sum("count").alias("count"))
+    found = map_batches(docs.select("text"), run, "slot bigint, count bigint").groupBy("slot").agg(F.sum("count").alias("count"))
     table = found.toArrow()
     out = np.zeros(counters, np.int64)
     out[table.column("slot").to_numpy()] = table.column("count").to_numpy()
@@ -163,7 +162,7 @@ def index_entries(docs: DataFrame, n: int, percent: int, counters: int) -> DataF
             yield from _several(kept, edge, True, percent)
 
     ranged = entries.repartitionByRange("token", "set").sortWithinPartitions("token", "set")
-    lists = save(ranged.mapInArrow(shared, schema), "join-lists")
+    lists = save(map_batches(ranged, shared, schema), "join-lists")
     discard(entries)
     return lists
 
@@ -211,7 +210,7 @@ class RowFilter:
                 bits = shared.value[h % len(shared.value)].view(np.uint64)
                 yield batch.filter(pa.array((bits >> (h.view(np.uint64) >> np.uint64(58))) & np.uint64(1) == 1)).select(columns)
 
-        return table.withColumn("_h", F.xxhash64("text_key")).mapInArrow(run, table.schema)
+        return map_batches(table.withColumn("_h", F.xxhash64("text_key")), run, table.schema)
 
 
 def _sides(pairs: DataFrame, owners: DataFrame) -> DataFrame:
@@ -230,7 +229,7 @@ def _compared(pairs: DataFrame, held: DataFrame, good: Callable) -> DataFrame:
             keep = [good(xs[i].as_buffer(), ys[i].as_buffer()) for i in range(len(batch))]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint").distinct()
+    return map_batches(both.select("a", "b", "x", "y"), run, "a bigint, b bigint").distinct()
 
 
 def verified(docs: DataFrame, names: DataFrame, owners: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import filtered, pieces, row_key, text_buffer
+from demandspark.llm.common import filtered, map_batches, pieces, row_key, text_buffer
 from demandspark.llm.rolling import FOLDED, NOT_SPACE, char_hashes, mix, word_hashes, word_spans
 
 BUCKET_BITS = 18
@@ -81,7 +81,7 @@ def bags(texts: DataFrame) -> DataFrame:
                 [part.column("label"), pa.array([x.astype(np.int32).tobytes() for x, _ in found], pa.binary()),
                  pa.array([c.astype(np.float32).tobytes() for _, c in found], pa.binary())], ["label", "buckets", "counts"])
 
-    return texts.mapInArrow(run, "label int, buckets binary, counts binary")
+    return map_batches(texts, run, "label int, buckets binary, counts binary")
 
 
 def train(sample: list[tuple[int, np.ndarray, np.ndarray]], prior: float, dims: int = 8, epochs: int = 8, rate: float = 0.1,
@@ -169,9 +169,8 @@ def train_in_task(sample: DataFrame, prior: float) -> Model:
         yield pa.RecordBatch.from_pydict({
             "embeddings": pa.array([model.embeddings.tobytes()], pa.binary()), "softmax": pa.array([model.softmax.tobytes()], pa.binary()),
             "bias": pa.array([model.bias.tobytes()], pa.binary()), "scale": pa.array([model.scale], pa.float64())})
-        pa.default_memory_pool().release_unused()
 
-    trained = sample.repartition(1).mapInArrow(run, "embeddings binary, softmax binary, bias binary, scale double").head()
+    trained = map_batches(sample.repartition(1), run, "embeddings binary, softmax binary, bias binary, scale double").head()
     if trained is None:  # no rows, no task
         return train([], prior)
     embeddings, softmax, bias = (np.frombuffer(trained[c], np.float32) for c in ("embeddings", "softmax", "bias"))
@@ -206,7 +205,7 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), pa.array(text_scores(part.column("text"), *logits.value))],
                                              ["row", "doc_id", "score"])
 
-    return docs.mapInArrow(run, "row bigint, doc_id bigint, score double")
+    return map_batches(docs, run, "row bigint, doc_id bigint, score double")
 
 
 def _steps(buf: np.ndarray, at: np.ndarray, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
