@@ -102,11 +102,33 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
     return df.mapInArrow(whole, schema)
 
 
-def filtered(docs: DataFrame, keep) -> DataFrame:
+def by_group(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``run`` for ``applyInArrow`` on groups, giving memory back after each one."""
+    def whole(rows: pa.Table) -> pa.Table:
+        try:
+            return run(rows)
+        finally:
+            give_back()
+
+    return whole
+
+
+def by_cogroup(run: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """``run`` for ``applyInArrow`` on cogroups, giving memory back after each one."""
+    def whole(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return run(left, right)
+        finally:
+            give_back()
+
+    return whole
+
+
+def filtered(docs: DataFrame, keep, limit: int = STEP_BYTES) -> DataFrame:
     """The rows of ``docs`` that ``keep`` (from a slice of a record batch to booleans) lets through, all columns as they
-    are: what is decided by a row's text alone needs no key, no join and no shuffle."""
+    are: what is decided by a row's text alone needs no key, no join and no shuffle. ``limit``: as in ``pieces``."""
     def run(batches):
-        for part in (p for b in batches for p in pieces(b)):
+        for part in (p for b in batches for p in pieces(b, limit=limit)):
             kept = part.filter(pa.array(keep(part), pa.bool_()))
             if len(kept):
                 yield kept

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import pieces, row_key, save, shared_folder, text_buffer
+from demandspark.llm.common import by_cogroup, by_group, map_batches, pieces, row_key, save, shared_folder, text_buffer
 from demandspark.llm.rolling import NOT_SPACE, mix, word_hashes, word_spans
 
 #: Bytes of text in a block (one text if that is longer) and, about, of the texts whose entries meet in one bin.
@@ -130,7 +130,7 @@ def in_blocks(docs: DataFrame, target: Column, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), *part.columns], ["block", *part.schema.names])
 
     name = f"lm_blocks_{uuid.uuid4().hex}"
-    (keyed.mapInArrow(run, "block bigint, row bigint, doc_id bigint, text string, target boolean").write.format("parquet")
+    (map_batches(keyed, run, "block bigint, row bigint, doc_id bigint, text string, target boolean").write.format("parquet")
      .bucketBy(max(size >> 28, min(size >> 22, 200)) + 1, "block").option("compression", "zstd")
      .option("path", f"{shared_folder(docs.sparkSession)}/{name}").saveAsTable(name))
     return docs.sparkSession.table(name)
@@ -162,7 +162,7 @@ def block_counts(blocks: DataFrame, wanted: DataFrame, bins: int) -> DataFrame:
 
     chosen_rows = wanted.select(F.col("block").alias("at"), F.col("row").alias("chosen"))  # names of its own: both sides are one table
     return blocks.select("block", "row", "text").groupBy("block").cogroup(chosen_rows.groupBy("at")).applyInArrow(
-        run, "bin int, block bigint, keys binary, b binary, t binary, large binary")
+        by_cogroup(run), "bin int, block bigint, keys binary, b binary, t binary, large binary")
 
 
 def corpus_counts(counted: DataFrame, bins: int) -> DataFrame:
@@ -181,7 +181,7 @@ def corpus_counts(counted: DataFrame, bins: int) -> DataFrame:
                                     ["block", "bin", "b", "t", "large", "words", "all_tokens", "target_tokens"])
 
     return counted.groupBy("bin").applyInArrow(
-        run, "block bigint, bin int, b binary, t binary, large binary, words bigint, all_tokens bigint, target_tokens bigint")
+        by_group(run), "block bigint, bin int, b binary, t binary, large binary, words bigint, all_tokens bigint, target_tokens bigint")
 
 
 def losses(word: np.ndarray, prior: np.ndarray, pair: np.ndarray, tokens: int, words: int, trust: float = 4.0) -> np.ndarray:
@@ -225,4 +225,4 @@ def score_documents(docs: DataFrame, target: Column | DataFrame) -> DataFrame:
                                     ["row", "doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
 
     return blocks.select("block", "row", "doc_id", "text").groupBy("block").cogroup(sums.select("block", "bin", "b", "t", "large").groupBy("block")).applyInArrow(
-        run, "row bigint, doc_id bigint, n_tokens bigint, target_loss double, background_loss double, difference double")
+        by_cogroup(run), "row bigint, doc_id bigint, n_tokens bigint, target_loss double, background_loss double, difference double")
