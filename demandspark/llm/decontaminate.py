@@ -27,8 +27,9 @@ _FOLD[0x41:0x5B] += 0x20
 _FOLD[[0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0x20
 _VALUES = FOLDED[_FOLD]
 _FILTER_BITS = 22
-#: Shared q-grams that are laid out at a time.
-PART_GRAMS = 1 << 18
+#: Bytes of text whose q-grams are looked up in one step (about a hundred bytes a byte), and shared q-grams that are laid out at a time.
+STEP_BYTES = 1 << 17
+PART_GRAMS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -247,7 +248,7 @@ def _finder(docs: DataFrame, indexes: list[Index]):
     shared = docs.sparkSession.sparkContext.broadcast(indexes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (p for b in batches for p in pieces(b)):
+        for part in (p for b in batches for p in pieces(b, limit=STEP_BYTES)):
             if found := found_in(part, shared.value):
                 ids, keys = part.column("doc_id").to_pylist(), part.column("row").to_pylist()
                 rows = [(keys[r], ids[r], item, min(x[0] for x in m), max(x[1] for x in m), len({x[2] for x in m}), min(x[3] for x in m))
@@ -275,7 +276,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, q: int = 12, length: int =
             keep[[r for r, _ in found_in(part, shared.value)]] = False
             return keep
 
-        return filtered(docs, clean)
+        return filtered(docs, clean, STEP_BYTES)
     rows, name = numbered(docs, "leak-docs")
     gone = _passages(by_number(rows, name), True, benchmark, q, length, rate, block_bytes)
     return without(rows, name, save(gone.select("row").distinct(), "leaks"))
