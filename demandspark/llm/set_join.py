@@ -9,10 +9,12 @@ n-grams, of which two sets that link must share one. The index lists are sorted
   to it take over its component as their answer (they are highly similar, so its answers are theirs);
 * what remains to be found are links between different components. Lists are then cut into blocks by component,
   size and position; pairs of blocks whose size and position rule out enough shared n-grams are skipped whole,
-  pairs within one component are never looked at, and only the blocks left are opened and verified.
+  pairs within one component are never looked at, and only the blocks left are opened and verified;
+* two sets meet in the list of the first n-gram they share: each entry names the n-grams its set has in the lists
+  just before it, and pairs that have one of those in common are left to the list where they met.
 
-No pair is lost: a pair is skipped only if its bound rules the link out or both sets already are in one
-component. Counts that order the n-grams are approximate (a table of fixed size); any order gives the same result.
+No pair is lost: a pair is skipped only if its bound rules the link out, both sets already are in one component, or
+another list has it. Counts that order the n-grams are approximate (a table of fixed size); any order gives the same result.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import by_number, discard, map_batches, numbered, pieces, row_key, save, text_buffer, without
@@ -35,6 +37,8 @@ COUNTERS = 1 << 18
 FILTER_WORDS = 1 << 17
 #: Two sets share at most the sum, over this many ranges of hashes, of the fewer that either has there.
 BINS = 256
+#: N-grams before an entry that it names.
+EARLIER = 4
 
 
 def text_sets(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
@@ -284,6 +288,19 @@ def _possible(x: str, y: str, percent: int) -> str:
     return f"least({x}.n_shingles - {x}.pos, {y}.n_shingles - {y}.pos) >= {need}"
 
 
+def with_earlier(entries: DataFrame) -> DataFrame:
+    """``entries`` with ``earlier``: the tokens of the set's EARLIER entries before this one, the nearest first; null where
+    there are fewer."""
+    order = Window.partitionBy("set").orderBy("pos")
+    return entries.withColumn("earlier", F.array(*[F.lag("token", i + 1).over(order) for i in range(EARLIER)]))
+
+
+def _not_met(x: str, y: str) -> str:
+    """SQL: whether the n-grams named in x and y have none in common. All lists have one order, so this holds at the
+    first n-gram that two sets share."""
+    return f"not coalesce(arrays_overlap({x}, {y}), false)"
+
+
 def set_links(docs: DataFrame, names: DataFrame, n: int = 5, percent: int = 80, counters: int = COUNTERS) -> DataFrame:
     """set and label for all sets that link with another set; sets with one label are connected by links.
     ``names`` is what ``set_names`` gives for ``docs``, saved."""
@@ -301,21 +318,27 @@ def set_links(docs: DataFrame, names: DataFrame, n: int = 5, percent: int = 80,
     named = save(lists.join(labels.select(F.col("node").alias("set"), "label"), "set", "left")
                  .withColumn("label", F.coalesce("label", "set")), "join-named")
     discard(lists)
-    blocks = named.groupBy("token", "label", "n_shingles", "pos").agg(F.count(F.lit(1)).alias("sets"))
-    mixed = save(blocks.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    mixed = save(named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
                  .where("lo <> hi").select("token"), "join-mixed")
-    blocks = save(blocks.join(mixed, "token", "left_semi"), "join-blocks")
-    open_ = blocks.alias("x").join(blocks.alias("y"), "token").where("x.label < y.label").where(_possible("x", "y", percent))
+    entries = save(with_earlier(named.join(mixed, "token", "left_semi")), "join-held")
+    discard(named)
+    # of a block the earlier n-grams that all its sets name at the same place
+    places = [F.col("earlier")[i] for i in range(EARLIER)]
+    blocks = save(entries.groupBy("token", "label", "n_shingles", "pos").agg(F.array(*[
+        F.when((F.min(e) == F.max(e)) & (F.count(e) == F.count(F.lit(1))), F.min(e)) for e in places]).alias("earlier")), "join-blocks")
+    open_ = blocks.alias("x").join(blocks.alias("y"), "token").where("x.label < y.label").where(
+        _possible("x", "y", percent)).where(_not_met("x.earlier", "y.earlier"))
     open_ = save(open_.select("token", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("label", "n_shingles", "pos")]), "join-open")
 
     def members(side: str) -> DataFrame:
-        return named.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("label", "n_shingles", "pos")], F.col("set").alias(side))
+        return entries.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("label", "n_shingles", "pos", "earlier")], F.col("set").alias(side))
 
     pairs = open_
     for side in "xy":
         pairs = pairs.join(members(side), ["token", *[f"{side}_{c}" for c in ("label", "n_shingles", "pos")]])
+    pairs = pairs.where(_not_met("x_earlier", "y_earlier"))
     pairs = save(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "join-pairs")
-    discard(named)
+    discard(entries)
     more = verified(docs, names, owners, save(pairs.join(stars, ["a", "b"], "left_anti"), "join-rest"), n, percent)
     return components(found.union(more)).select(F.col("node").alias("set"), "label")
 
